@@ -92,10 +92,8 @@ def leader(df: DataFrame, qt: str, keys: list[str]) -> DataFrame:
 
 def flag_leader(df: DataFrame, qt: str, keys: list[str], name: str = "lider") -> DataFrame:
     """Mark the leader row with a boolean column (for emphasis)."""
-    lead = leader(df, qt, keys).select(*[F.col(k).alias(f"_tm_lead_{k}") for k in keys])
-    first = F.struct(*[F.col(f"_tm_lead_{k}") for k in keys])
-    lead_key = lead.select(first.alias("k")).scalar()
-    return df.withColumn(name, F.coalesce(F.struct(*[F.col(k) for k in keys]) == lead_key, F.lit(False)))
+    lead_key = leader(df, qt, keys).select(F.struct(*keys).alias("k")).scalar()
+    return df.withColumn(name, F.coalesce(F.struct(*keys) == lead_key, F.lit(False)))
 
 
 def leader_summary(df: DataFrame, qt: str, keys: list[str]) -> DataFrame:
@@ -105,15 +103,17 @@ def leader_summary(df: DataFrame, qt: str, keys: list[str]) -> DataFrame:
 
 
 def concentration(
-    ranked: DataFrame, qt: str, ks: tuple[int, ...] = (1, 5, 10)
+    ranked: DataFrame, qt: str, name: str, ks: tuple[int, ...] = (1, 5, 10)
 ) -> DataFrame:
-    """Share of the total held by the top ``k`` rows, for each ``k`` (one row).
+    """Leader and share of the total held by the top ``k`` rows (one row).
 
-    ``ranked`` must carry ``posicao`` (from :func:`with_position`).
+    ``ranked`` must carry ``posicao`` (from :func:`with_position`); the whole
+    summary is one partial aggregate over it.
     """
     aggs = [
         F.count(F.lit(1)).alias("n_itens"),
         F.sum(qt).cast("long").alias("total"),
+        F.min_by(F.col(name), F.col(POSITION)).alias("lider"),
     ]
     for k in ks:
         aggs.append(F.sum(F.when(F.col(POSITION) <= k, F.col(qt))).cast("long").alias(f"qt_top{k}"))
@@ -121,6 +121,8 @@ def concentration(
     return summary.select(
         "n_itens",
         "total",
+        "lider",
+        F.col(f"qt_top{ks[0]}").alias("qt_lider") if ks[0] == 1 else F.lit(None).cast("long").alias("qt_lider"),
         *[_percent(F.col(f"qt_top{k}"), F.col("total")).alias(f"share_top{k}") for k in ks],
     )
 

@@ -113,3 +113,41 @@ def write_raw_csv(raw: DataFrame, path: str, *, files: int | None = None) -> str
     out = raw.repartitionByRange(n, F.col(MONTH.upper()), row_hash)
     out.write.mode("overwrite").options(**RAW_WRITE_OPTIONS).csv(path)
     return path
+
+
+def expected_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected leaders for the reference-value checks, straight from the test tables.
+
+    An independent path (no raw file, no layers): the leading supplier,
+    age band and nation by summed line quantity, and the number of nations
+    with any line. One row with the reference-value columns.
+    """
+    t = lambda name: _table(spark, sf_dir, name)
+    line = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("q"))
+    lead = lambda df, key: df.groupBy(key).agg(F.sum("q").alias("qt"))
+
+    def top(df: DataFrame, order: list[Column], name: Column) -> Column:
+        row = df.orderBy(*order).limit(1)
+        return row.select(F.struct(name.alias("name"), F.col("qt").cast("long").alias("qt"))).scalar()
+
+    by_supp = lead(line, "l_suppkey").join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    op = top(by_supp, [F.col("qt").desc(), F.col("l_suppkey")], F.trim(F.col("s_name")))
+    by_band = lead(line.join(t("part"), F.col("l_partkey") == F.col("p_partkey")).withColumn("band", _age_band(F.col("p_size"))), "band")
+    band = top(by_band, [F.col("qt").desc(), F.col("band")], F.col("band"))
+    geo = t("orders").select("o_orderkey", "o_custkey").join(
+        t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    by_nation = (
+        lead(line.join(geo, F.col("l_orderkey") == F.col("o_orderkey")), "c_nationkey")
+        .join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    nat = top(by_nation, [F.col("qt").desc(), F.col("c_nationkey").cast("string")], F.col("n_name"))
+    return by_nation.agg(F.count(F.lit(1)).alias("_n")).select(
+        op.getField("name").alias("top_operadora_nome"),
+        op.getField("qt").alias("top_operadora_qt"),
+        band.getField("name").alias("top_faixa"),
+        band.getField("qt").alias("top_faixa_qt"),
+        nat.getField("name").alias("top_muni"),
+        nat.getField("qt").alias("top_muni_qt"),
+        F.col("_n").cast("long").alias("qt_municipios"),
+    )
