@@ -52,3 +52,8 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     if key not in _BUILT:
         _BUILT[key] = build_workspace(spark, sf_dir)
     return _BUILT[key]
+
+
+def adopt_workspace(spark: SparkSession, ws: Workspace) -> None:
+    """Register an already built lake so the registered queries reuse it."""
+    _BUILT[(spark.sparkContext.applicationId, ws.sf_dir)] = ws
