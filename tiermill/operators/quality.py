@@ -45,6 +45,15 @@ def _count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
+def _attach(base: DataFrame, **scalars: Column) -> DataFrame:
+    """Add scalar subqueries to the one-row base as plain columns.
+
+    Each subquery then appears once in the plan and runs once, however often
+    the check expressions refer to its value.
+    """
+    return base.select("*", *[c.alias(name) for name, c in scalars.items()])
+
+
 # ---------------------------------------------------------------- metrics --
 
 def silver_metrics(silver: DataFrame) -> DataFrame:
@@ -74,8 +83,8 @@ def bronze_metrics(bronze: DataFrame) -> DataFrame:
 
 def check_volume(raw: DataFrame, bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """V1: bronze keeps every raw row; silver keeps every bronze row."""
-    base = raw.agg(F.count(F.lit(1)).alias("n_raw"))
-    n_raw, n_bronze, n_silver = F.col("n_raw"), _count(bronze), _count(silver)
+    base = _attach(raw.agg(F.count(F.lit(1)).alias("n_raw")), n_bronze=_count(bronze), n_silver=_count(silver))
+    n_raw, n_bronze, n_silver = F.col("n_raw"), F.col("n_bronze"), F.col("n_silver")
     return _check_rows(
         base,
         [
@@ -89,8 +98,9 @@ def check_volume(raw: DataFrame, bronze: DataFrame, silver: DataFrame) -> DataFr
 
 def check_typing(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """V2: the lenient casts produced no NULL the source did not have."""
-    base = silver_metrics(silver)
-    bm = bronze_metrics(bronze).select(F.struct("*").alias("m")).scalar()
+    bm_row = bronze_metrics(bronze).select(F.struct("*").alias("m")).scalar()
+    base = _attach(silver_metrics(silver), bm=bm_row)
+    bm = F.col("bm")
     specs = []
     for col, raw_col in QUANTITY_PAIRS:
         ns, nb = F.col(f"null_{col}"), bm.getField(f"blank_{raw_col}")
@@ -172,21 +182,29 @@ RECONCILE = {
 
 def check_reconcile(silver: DataFrame, golds: Golds, mode: str = "strict") -> DataFrame:
     """V5: each gold equals an independent recompute from silver."""
-    base = silver.sparkSession.range(1)
-    specs = []
+    counts = {}
     for table, gold in golds.by_table().items():
         label, key = RECONCILE[table]
         keys = [key] if mode == "strict" else GOLD_KEYS[table]
-        n = _count(divergences(recompute(silver, keys), gold, keys, mode))
+        counts[f"div_{label}"] = _count(divergences(recompute(silver, keys), gold, keys, mode))
+    base = _attach(silver.sparkSession.range(1), **counts)
+    specs = []
+    for label in (v[0] for v in RECONCILE.values()):
+        n = F.col(f"div_{label}")
         specs.append((f"V5 gold {label} = recompute", n == 0, F.concat(F.lit("divergences="), _s(n))))
     return _check_rows(base, specs)
 
 
 def check_totals(silver: DataFrame, golds: Golds) -> DataFrame:
     """V7: the active total is identical in silver and the three golds."""
-    base = silver.agg(F.sum(ACTIVE).cast("long").alias("t_silver"))
-    t_s = F.col("t_silver")
-    t_o, t_f, t_m = (g.agg(F.sum(GOLD_MEASURE)).scalar() for g in (golds.operadora, golds.faixa, golds.municipio))
+    base = _attach(
+        silver.agg(F.sum(ACTIVE).cast("long").alias("t_silver")),
+        **{
+            f"t_{k}": g.agg(F.sum(GOLD_MEASURE)).scalar()
+            for k, g in (("o", golds.operadora), ("f", golds.faixa), ("m", golds.municipio))
+        },
+    )
+    t_s, t_o, t_f, t_m = F.col("t_silver"), F.col("t_o"), F.col("t_f"), F.col("t_m")
     passed = (t_s == t_o) & (t_o == t_f) & (t_f == t_m)
     detail = F.concat(
         F.lit("silver="), _s(t_s), F.lit(" operadora="), _s(t_o),
@@ -222,11 +240,15 @@ def check_outputs(spark: SparkSession, golds: Golds, out_dir: str) -> DataFrame:
     f_a = _file_in_order(spark, out_dir, "a_top5_operadoras", "beneficiarios_por_operadora")
     f_b = _file_in_order(spark, out_dir, "b_faixa_etaria_top", "beneficiarios_por_faixa_etaria")
     f_c = _file_in_order(spark, out_dir, "c_beneficiarios_por_municipio", "beneficiarios_por_municipio")
-    mis_a = _ordered_mismatches(f_a, g_op.filter(F.col(POSITION) <= 5), [GOLD_MEASURE])
-    mis_b = _ordered_mismatches(f_b, g_fx.filter(F.col(POSITION) <= 1), fx_keys + [GOLD_MEASURE])
-    n_file, n_gold = _count(f_c), _count(golds.municipio)
-    mis_d = _ordered_mismatches(f_c, g_mu, [GOLD_MEASURE])
-    base = spark.range(1)
+    base = _attach(
+        spark.range(1),
+        mis_a=_ordered_mismatches(f_a, g_op.filter(F.col(POSITION) <= 5), [GOLD_MEASURE]),
+        mis_b=_ordered_mismatches(f_b, g_fx.filter(F.col(POSITION) <= 1), fx_keys + [GOLD_MEASURE]),
+        n_file=_count(f_c),
+        n_gold=_count(golds.municipio),
+        mis_d=_ordered_mismatches(f_c, g_mu, [GOLD_MEASURE]),
+    )
+    mis_a, mis_b, n_file, n_gold, mis_d = (F.col(c) for c in ("mis_a", "mis_b", "n_file", "n_gold", "mis_d"))
     return _check_rows(
         base,
         [
@@ -257,16 +279,20 @@ def check_reference(golds: Golds, reference: DataFrame) -> DataFrame:
         )
         return row.scalar()
 
-    o = lead(golds.operadora, GOLD_KEYS["beneficiarios_por_operadora"], "nm_razao_social")
-    f = lead(golds.faixa, GOLD_KEYS["beneficiarios_por_faixa_etaria"], "de_faixa_etaria")
-    m = lead(golds.municipio, GOLD_KEYS["beneficiarios_por_municipio"], "nm_municipio")
-    n_mun = _count(golds.municipio)
+    base = _attach(
+        reference,
+        lead_o=lead(golds.operadora, GOLD_KEYS["beneficiarios_por_operadora"], "nm_razao_social"),
+        lead_f=lead(golds.faixa, GOLD_KEYS["beneficiarios_por_faixa_etaria"], "de_faixa_etaria"),
+        lead_m=lead(golds.municipio, GOLD_KEYS["beneficiarios_por_municipio"], "nm_municipio"),
+        n_mun=_count(golds.municipio),
+    )
+    o, f, m, n_mun = F.col("lead_o"), F.col("lead_f"), F.col("lead_m"), F.col("n_mun")
 
     def shown(s: Column) -> Column:
         return F.concat(s.getField("name"), F.lit(" = "), _s(s.getField("qt")))
 
     return _check_rows(
-        reference,
+        base,
         [
             ("V8a top operator = reference",
              accent_insensitive_equal(o.getField("name"), F.col("top_operadora_nome"))

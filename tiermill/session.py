@@ -72,11 +72,14 @@ def new_scratch_path(spark: SparkSession, prefix: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint directory.
+    """Materialise ``df`` as a Parquet table under the shared scratch folder.
 
     Used where a result is read by two branches of a later plan and both must
     see exactly the same rows (for example partition-local positions), and to
-    keep long lineages recoverable if executors are lost.
+    keep long lineages recoverable if executors are lost. One write job; the
+    returned frame is a plain scan with no lineage behind it.
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = new_scratch_path(spark, "cut")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
