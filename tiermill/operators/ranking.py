@@ -69,14 +69,15 @@ def _percent(part: Column, whole: Column) -> Column:
 def rank_with_share(df: DataFrame, qt: str, keys: list[str]) -> DataFrame:
     """Position (largest first), share of total and proportion of the leader."""
     ranked = with_position(df, order_desc(qt, keys))
-    total = _total(ranked, qt)
-    top = ranked.agg(F.max(qt)).scalar()
-    return ranked.select(
+    # Both figures come from one partial aggregate over the input itself.
+    stats = df.agg(F.struct(F.sum(qt).alias("t"), F.max(qt).alias("m"))).scalar()
+    with_stats = ranked.select("*", stats.alias("_tm_stats"))
+    return with_stats.select(
         POSITION,
         *keys,
         qt,
-        _percent(F.col(qt), total).alias(SHARE),
-        _percent(F.col(qt), top).alias(OF_LEADER),
+        _percent(F.col(qt), F.col("_tm_stats.t")).alias(SHARE),
+        _percent(F.col(qt), F.col("_tm_stats.m")).alias(OF_LEADER),
     )
 
 

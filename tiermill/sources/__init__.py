@@ -7,6 +7,7 @@ from tiermill.sources.layers import (
     list_tables,
     preview,
     read_layer,
+    read_table,
     register_table,
     write_layer,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "read_layer",
     "read_raw",
     "read_result",
+    "read_table",
     "register_table",
     "write_layer",
     "write_raw_csv",

@@ -107,3 +107,8 @@ def list_tables(spark: SparkSession, layer: str) -> list[str]:
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` rows, as a lazy DataFrame."""
     return df.limit(n)
+
+
+def read_table(spark: SparkSession, layer: str, table: str) -> DataFrame:
+    """Scan a layer table through the session catalog (``layer.table``)."""
+    return spark.table(f"`{layer}`.`{table}`")
