@@ -109,3 +109,25 @@ def test_gold_by_is_partial_aggregate(spark):
     raw = raw_rows(spark, [{}])
     plan = gold_by(to_silver(to_bronze(raw, "f")), ["cd_operadora"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan
+
+
+def test_one_pass_golds_equal_separate_scans(spark):
+    from tiermill.operators.layers import golds_one_pass, split_golds
+
+    raw = raw_rows(spark, [
+        {"DE_FAIXA_ETARIA": None}, {}, {"NM_RAZAO_SOCIAL": "OTHER NAME"}, {"CD_MUNICIPIO": None},
+        {"CD_OPERADORA": "000002", "QT_BENEFICIARIO_ATIVO": "7"}, {"QT_BENEFICIARIO_ATIVO": "x"},
+    ])
+    silver = to_silver(to_bronze(raw, "f"))
+    a, b = split_golds(golds_one_pass(silver)), to_golds(silver)
+    for x, y in zip(a.by_table().values(), b.by_table().values()):
+        assert sorted(map(tuple, x.collect()), key=str) == sorted(map(tuple, y.collect()), key=str)
+        assert x.dtypes == y.dtypes
+
+
+def test_full_suite_has_21_checks_on_clean_lake(spark):
+    import __spark_entry__ as e
+
+    rep = e.queries()["dq_report"](spark, "/root/testdata/sf0.001")
+    rows = rep.collect()
+    assert len(rows) == 21 and all(r.passed for r in rows)

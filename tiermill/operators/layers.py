@@ -78,8 +78,50 @@ class Golds:
         }
 
 
+GID = "_tm_gid"
+
+
+def _grouping_ids(dims: list[str]) -> dict[str, int]:
+    """grouping_id of each gold's key set: bit i set when dims[i] is not grouped
+    (the first dimension is the most significant bit)."""
+    out = {}
+    for table, keys in GOLD_KEYS.items():
+        out[table] = sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in keys)
+    return out
+
+
+def golds_one_pass(silver: DataFrame, measure: str = ACTIVE) -> DataFrame:
+    """All three gold aggregates from a single scan of silver (GROUPING SETS).
+
+    Each row carries ``_tm_gid`` telling which gold it belongs to, so a real
+    NULL key stays distinct from the NULLs of the other grouping sets. The
+    scan reads the five key columns and the measure once; rows are expanded
+    per grouping set inside the map stage and pre-aggregated before the one
+    shuffle. The result is gold-sized; split it with :func:`split_golds`.
+    """
+    dims = list(dict.fromkeys(k for keys in GOLD_KEYS.values() for k in keys))
+    return silver.groupingSets(list(GOLD_KEYS.values()), *dims).agg(
+        F.sum(measure).alias(GOLD_MEASURE), F.grouping_id().alias(GID)
+    )
+
+
+def split_golds(combined: DataFrame) -> Golds:
+    """The three gold tables out of :func:`golds_one_pass`'s result."""
+    dims = [c for c in combined.columns if c not in (GOLD_MEASURE, GID)]
+    gids = _grouping_ids(dims)
+    g = {
+        table: combined.filter(F.col(GID) == gids[table]).select(*keys, GOLD_MEASURE)
+        for table, keys in GOLD_KEYS.items()
+    }
+    return Golds(
+        g["beneficiarios_por_operadora"],
+        g["beneficiarios_por_faixa_etaria"],
+        g["beneficiarios_por_municipio"],
+    )
+
+
 def to_golds(silver: DataFrame) -> Golds:
-    """All three gold aggregates of a silver frame (lazy)."""
+    """All three gold aggregates of a silver frame (lazy, one scan each)."""
     g = {name: gold_by(silver, keys) for name, keys in GOLD_KEYS.items()}
     return Golds(
         g["beneficiarios_por_operadora"],

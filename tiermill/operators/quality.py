@@ -310,6 +310,35 @@ def check_reference(golds: Golds, reference: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ report --
 
+def checks(
+    raw: DataFrame,
+    bronze: DataFrame,
+    silver: DataFrame,
+    golds: Golds,
+    out_dir: str | None = None,
+    reference: DataFrame | None = None,
+    mode: str = "strict",
+) -> DataFrame:
+    """The whole validation suite (V1-V8) as one DataFrame of check rows.
+
+    V6 needs the published results folder and V8 the expected reference
+    row; each group is left out when its input is not given.
+    """
+    groups = [
+        check_volume(raw, bronze, silver),
+        check_typing(bronze, silver),
+        check_masking(silver),
+        check_sanity(silver),
+        check_reconcile(silver, golds, mode),
+    ]
+    if out_dir is not None:
+        groups.append(check_outputs(silver.sparkSession, golds, out_dir))
+    groups.append(check_totals(silver, golds))
+    if reference is not None:
+        groups.append(check_reference(golds, reference))
+    return report(*groups)
+
+
 def report(*groups: DataFrame) -> DataFrame:
     """All check rows of the given groups (V9)."""
     out = groups[0]

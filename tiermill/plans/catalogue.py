@@ -252,16 +252,7 @@ def dq_reference(spark, sf_dir):
 
 def full_report(spark, sf_dir) -> DataFrame:
     ws, raw, bronze, silver, golds = _layers(spark, sf_dir)
-    return Q.report(
-        Q.check_volume(raw, bronze, silver),
-        Q.check_typing(bronze, silver),
-        Q.check_masking(silver),
-        Q.check_sanity(silver),
-        Q.check_reconcile(silver, golds),
-        Q.check_outputs(spark, golds, ws.out_dir),
-        Q.check_totals(silver, golds),
-        Q.check_reference(golds, expected_reference(spark, sf_dir)),
-    )
+    return Q.checks(raw, bronze, silver, golds, ws.out_dir, expected_reference(spark, sf_dir))
 
 
 def dq_report(spark, sf_dir):

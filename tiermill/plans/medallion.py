@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.operators import quality
-from tiermill.operators.layers import Golds, to_bronze, to_golds, to_silver
+from tiermill.operators.layers import Golds, golds_one_pass, split_golds, to_bronze, to_golds, to_silver
 from tiermill.plans.results import RESULTS, result
 from tiermill.schemas import GOLD_KEYS, MONTH, SILVER_SCHEMA, gold_schema
 from tiermill.sources.layers import read_layer, register_table, write_layer
 from tiermill.sources.raw_csv import read_raw
+from tiermill.session import cut_lineage
 from tiermill.sources.results import export_result
 
 BRONZE = ("bronze", "beneficiarios")
@@ -53,6 +54,7 @@ def run(
     *,
     fmt: str = "parquet",
     silver_layout: str = "local",
+    gold_one_pass: bool = True,
     register: bool = False,
     gate: bool = False,
 ) -> dict[str, str]:
@@ -62,6 +64,10 @@ def run(
     layer is only promoted when the checks on its input pass: silver is
     written only if the raw and bronze volumes agree, gold only if silver's
     typing, masking and sanity checks pass, results only if gold reconciles.
+
+    ``gold_one_pass`` computes the three golds from one scan of silver
+    (grouping sets), materialised once in the shared scratch folder and then
+    split; otherwise each gold scans silver on its own.
     """
     chosen = [s.lower() for s in (steps or STEPS)]
     unknown = [s for s in chosen if s not in STEPS]
@@ -97,7 +103,8 @@ def run(
                         quality.check_sanity(silver),
                     )
                 )
-            for table, gold in to_golds(silver).by_table().items():
+            golds = split_golds(cut_lineage(golds_one_pass(silver))) if gold_one_pass else to_golds(silver)
+            for table, gold in golds.by_table().items():
                 paths[table] = write_layer(gold, root, "gold", table, fmt=fmt)
                 if register:
                     register_table(spark, root, "gold", table, fmt=fmt)
