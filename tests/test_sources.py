@@ -72,3 +72,22 @@ def test_export_keeps_order_and_leading_zeros(spark, scratch):
     pos = drop_order_columns(with_position(back, written_order())).orderBy("posicao").collect()
     expected = sorted(rows, key=lambda r: (-r[2], r[0]))
     assert [(r["cd_operadora"], r["qt_beneficiarios_ativos"]) for r in pos] == [(e[0], e[2]) for e in expected]
+
+
+def test_file_positions_across_parts_and_splits(spark, scratch):
+    from tiermill.sources.results import read_result_positions
+
+    rows = [(f"{i:06d}", f"name{i}", (i * 7919) % 1000) for i in range(2000)]
+    df = spark.createDataFrame(rows, "cd_operadora string, nm_razao_social string, qt_beneficiarios_ativos long")
+    order = [df.qt_beneficiarios_ativos.desc(), df.cd_operadora]
+    export_result(df.repartitionByRange(5, *order).sortWithinPartitions(*order), scratch, "r")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # many splits per file
+    try:
+        got = read_result_positions(spark, scratch, "r", gold_schema("beneficiarios_por_operadora")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = sorted(got, key=lambda r: r["posicao"])
+    expected = sorted(rows, key=lambda r: (-r[2], r[0]))
+    assert [r["posicao"] for r in got] == list(range(1, 2001))
+    assert [r["cd_operadora"] for r in got] == [e[0] for e in expected]

@@ -16,7 +16,7 @@ from tiermill.functions.text import MASK_KEEP, MASK_PATTERN, accent_insensitive_
 from tiermill.operators.layers import Golds
 from tiermill.operators.ranking import POSITION, leader, order_desc, with_position
 from tiermill.schemas import ACTIVE, GOLD_KEYS, GOLD_MEASURE, QUANTITY_PAIRS
-from tiermill.sources.results import drop_order_columns, read_result, written_order
+from tiermill.sources.results import read_result_positions
 from tiermill.schemas import gold_schema
 
 
@@ -225,18 +225,23 @@ def _ordered_mismatches(file_rows: DataFrame, gold_rows: DataFrame, cols: list[s
 
 
 def _file_in_order(spark: SparkSession, out_dir: str, name: str, table: str) -> DataFrame:
-    df = read_result(spark, out_dir, name, gold_schema(table), keep_order_columns=True)
-    return drop_order_columns(with_position(df, written_order()))
+    return read_result_positions(spark, out_dir, name, gold_schema(table), POSITION)
 
 
-def check_outputs(spark: SparkSession, golds: Golds, out_dir: str) -> DataFrame:
-    """V6: the exported result files equal gold, value by value, in order."""
-    op_keys = GOLD_KEYS["beneficiarios_por_operadora"]
+def check_outputs(
+    spark: SparkSession, golds: Golds, out_dir: str, ranked: Golds | None = None
+) -> DataFrame:
+    """V6: the exported result files equal gold, value by value, in order.
+
+    ``ranked`` are the golds with positions (the stored ranking tables);
+    they are computed here when not given.
+    """
     fx_keys = GOLD_KEYS["beneficiarios_por_faixa_etaria"]
-    mu_keys = GOLD_KEYS["beneficiarios_por_municipio"]
-    g_op = with_position(golds.operadora, order_desc(GOLD_MEASURE, op_keys))
-    g_fx = with_position(golds.faixa, order_desc(GOLD_MEASURE, fx_keys))
-    g_mu = with_position(golds.municipio, order_desc(GOLD_MEASURE, mu_keys))
+    if ranked is None:
+        ranked = Golds(*(
+            with_position(g, order_desc(GOLD_MEASURE, GOLD_KEYS[t])) for t, g in golds.by_table().items()
+        ))
+    g_op, g_fx, g_mu = ranked.operadora, ranked.faixa, ranked.municipio
     f_a = _file_in_order(spark, out_dir, "a_top5_operadoras", "beneficiarios_por_operadora")
     f_b = _file_in_order(spark, out_dir, "b_faixa_etaria_top", "beneficiarios_por_faixa_etaria")
     f_c = _file_in_order(spark, out_dir, "c_beneficiarios_por_municipio", "beneficiarios_por_municipio")
@@ -318,6 +323,7 @@ def checks(
     out_dir: str | None = None,
     reference: DataFrame | None = None,
     mode: str = "strict",
+    ranked: Golds | None = None,
 ) -> DataFrame:
     """The whole validation suite (V1-V8) as one DataFrame of check rows.
 
@@ -332,7 +338,7 @@ def checks(
         check_reconcile(silver, golds, mode),
     ]
     if out_dir is not None:
-        groups.append(check_outputs(silver.sparkSession, golds, out_dir))
+        groups.append(check_outputs(silver.sparkSession, golds, out_dir, ranked))
     groups.append(check_totals(silver, golds))
     if reference is not None:
         groups.append(check_reference(golds, reference))

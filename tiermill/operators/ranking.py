@@ -136,10 +136,8 @@ def order_by_domain(
     The domain is a fixed, small list, so it is broadcast; values outside it
     (and NULL) are dropped, as an inner join does.
     """
-    spark = df.sparkSession
-    dom = spark.createDataFrame(
-        [(v, i + 1) for i, v in enumerate(domain)], f"`{col}` string, `{order_name}` int"
-    )
+    entries = [F.struct(F.lit(v).alias(col), F.lit(i + 1).alias(order_name)) for i, v in enumerate(domain)]
+    dom = df.sparkSession.range(1).select(F.inline(F.array(*entries)))
     return df.join(F.broadcast(dom), col).orderBy(order_name)
 
 

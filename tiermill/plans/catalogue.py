@@ -21,6 +21,7 @@ from tiermill.plans.medallion import (
     load_bronze,
     load_golds,
     load_month,
+    load_rankings,
     load_silver,
     run,
     upsert,
@@ -66,6 +67,10 @@ def _golds(spark: SparkSession, sf_dir: str) -> Golds:
     return load_golds(spark, _ws(spark, sf_dir).root)
 
 
+def _ranked(spark: SparkSession, sf_dir: str) -> Golds:
+    return load_rankings(spark, _ws(spark, sf_dir).root)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_silver(spark, _ws(spark, sf_dir).root)
 
@@ -134,21 +139,20 @@ def faixa_por_idade(spark, sf_dir):
 
 
 def ranking_operadoras(spark, sf_dir):
-    return R.rank_with_share(_golds(spark, sf_dir).operadora, QT, OP)
+    """Stored ranked gold (written once by the results step with rank_with_share)."""
+    return _ranked(spark, sf_dir).operadora
 
 
 def ranking_municipios(spark, sf_dir):
-    return R.rank_with_share(_golds(spark, sf_dir).municipio, QT, MU)
+    return _ranked(spark, sf_dir).municipio
 
 
 def concentracao_municipios(spark, sf_dir):
-    ranked = R.with_position(_golds(spark, sf_dir).municipio, R.order_desc(QT, MU))
-    return R.concentration(ranked, QT, "nm_municipio")
+    return R.concentration(_ranked(spark, sf_dir).municipio, QT, "nm_municipio")
 
 
 def concentracao_operadoras(spark, sf_dir):
-    ranked = R.with_position(_golds(spark, sf_dir).operadora, R.order_desc(QT, OP))
-    return R.concentration(ranked, QT, "nm_razao_social")
+    return R.concentration(_ranked(spark, sf_dir).operadora, QT, "nm_razao_social")
 
 
 def lider_faixa(spark, sf_dir):
@@ -161,8 +165,7 @@ def kpis(spark, sf_dir):
 
 
 def municipios_pagina(spark, sf_dir):
-    ranked = R.rank_with_share(_golds(spark, sf_dir).municipio, QT, MU)
-    return R.page(ranked, PAGE_NUMBER, PAGE_SIZE)
+    return R.page(_ranked(spark, sf_dir).municipio, PAGE_NUMBER, PAGE_SIZE)
 
 
 def municipios_busca(spark, sf_dir):
@@ -170,7 +173,7 @@ def municipios_busca(spark, sf_dir):
 
 
 def municipios_formatado(spark, sf_dir):
-    return R.display_municipios(R.rank_with_share(_golds(spark, sf_dir).municipio, QT, MU))
+    return R.display_municipios(_ranked(spark, sf_dir).municipio)
 
 
 # ------------------------------------------------------------------ checks --
@@ -243,7 +246,7 @@ def dq_divergent_rows(spark, sf_dir):
 
 def dq_outputs(spark, sf_dir):
     ws = _ws(spark, sf_dir)
-    return Q.check_outputs(spark, load_golds(spark, ws.root), ws.out_dir)
+    return Q.check_outputs(spark, load_golds(spark, ws.root), ws.out_dir, load_rankings(spark, ws.root))
 
 
 def dq_reference(spark, sf_dir):
@@ -252,7 +255,9 @@ def dq_reference(spark, sf_dir):
 
 def full_report(spark, sf_dir) -> DataFrame:
     ws, raw, bronze, silver, golds = _layers(spark, sf_dir)
-    return Q.checks(raw, bronze, silver, golds, ws.out_dir, expected_reference(spark, sf_dir))
+    return Q.checks(
+        raw, bronze, silver, golds, ws.out_dir, expected_reference(spark, sf_dir), ranked=load_rankings(spark, ws.root)
+    )
 
 
 def dq_report(spark, sf_dir):

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tiermill.operators import quality
 from tiermill.operators.layers import Golds, golds_one_pass, split_golds, to_bronze, to_golds, to_silver
+from tiermill.operators.ranking import rank_with_share
 from tiermill.plans.results import RESULTS, result
-from tiermill.schemas import GOLD_KEYS, MONTH, SILVER_SCHEMA, gold_schema
+from tiermill.schemas import GOLD_KEYS, GOLD_MEASURE, MONTH, SILVER_SCHEMA, gold_schema
 from tiermill.sources.layers import read_layer, register_table, write_layer
 from tiermill.sources.raw_csv import read_raw
 from tiermill.session import cut_lineage
@@ -39,10 +40,32 @@ def load_golds(spark: SparkSession, root: str, fmt: str = "parquet") -> Golds:
     return Golds(g["beneficiarios_por_operadora"], g["beneficiarios_por_faixa_etaria"], g["beneficiarios_por_municipio"])
 
 
+# Ranked serving tables written next to the golds: gold table -> ranking table.
+RANKINGS = {
+    "beneficiarios_por_operadora": "ranking_operadora",
+    "beneficiarios_por_faixa_etaria": "ranking_faixa_etaria",
+    "beneficiarios_por_municipio": "ranking_municipio",
+}
+
+
+def load_rankings(spark: SparkSession, root: str, fmt: str = "parquet") -> Golds:
+    """The ranked golds (position, keys, quantity, share, proportion of leader)."""
+    r = {t: read_layer(spark, root, "gold", name, fmt=fmt) for t, name in RANKINGS.items()}
+    return Golds(r["beneficiarios_por_operadora"], r["beneficiarios_por_faixa_etaria"], r["beneficiarios_por_municipio"])
+
+
 def publish(spark: SparkSession, root: str, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    """Export every named result of the registry."""
+    """Export every named result of the registry (L5) and write the ranked golds.
+
+    Positions and shares are computed once here, so paging, concentration,
+    display and the output checks read a stored table instead of re-ranking.
+    """
     golds = load_golds(spark, root, fmt)
-    return {name: export_result(result(golds, name), out_dir, name) for name in RESULTS}
+    paths = {name: export_result(result(golds, name), out_dir, name) for name in RESULTS}
+    for table, gold in golds.by_table().items():
+        ranked = rank_with_share(gold, GOLD_MEASURE, GOLD_KEYS[table])
+        paths[RANKINGS[table]] = write_layer(ranked, root, "gold", RANKINGS[table], fmt=fmt)
+    return paths
 
 
 def run(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -69,3 +69,27 @@ def written_order() -> list:
 
 def drop_order_columns(df: DataFrame) -> DataFrame:
     return df.drop(_PART, _BLOCK, _LINE)
+
+
+def read_result_positions(
+    spark: SparkSession, out_dir: str, name: str, schema: StructType, position: str = "posicao"
+) -> DataFrame:
+    """Re-read an exported result with each row's 1-based position in the file order.
+
+    Lazy and deterministic: the order key is (part number, split start,
+    line id) read from the files themselves. Rows are numbered inside each
+    file split (one split is what one task reads), and per-split counts, one
+    row per split, give the starting offsets, which are broadcast back.
+    """
+    df = read_result(spark, out_dir, name, schema, keep_order_columns=True)
+    split = [F.col(_PART), F.col(_BLOCK)]
+    local = F.row_number().over(Window.partitionBy(*split).orderBy(F.col(_LINE)))
+    numbered = df.withColumn("_tm_local", local)
+    counts = df.groupBy(_PART, _BLOCK).agg(F.count(F.lit(1)).alias("_tm_n"))
+    before = Window.orderBy(_PART, _BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PART, _BLOCK, F.coalesce(F.sum("_tm_n").over(before), F.lit(0)).alias("_tm_off"))
+    return (
+        numbered.join(F.broadcast(offsets), [_PART, _BLOCK])
+        .withColumn(position, (F.col("_tm_off") + F.col("_tm_local")).cast("long"))
+        .drop(_PART, _BLOCK, _LINE, "_tm_local", "_tm_off")
+    )
