@@ -135,3 +135,17 @@ def test_entry_contract(spark):
     assert df.count() == 5
     assert set(e.oracle_sql()) <= set(e.queries())
     assert "stream_ingest" in e.queries()
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, scratch):
+    import os
+    from tiermill.sources.layers import write_layer
+
+    df = spark.createDataFrame([("m1", "1", 1), ("m1", "2", 2), ("m2", "1", 3)], "m string, k string, n int")
+    write_layer(df, scratch, "silver", "t", partition_by=["m"])
+    m2_files = sorted(os.listdir(f"{scratch}/silver/t/m=m2"))
+    new = spark.createDataFrame([("m1", "1", 10), ("m1", "9", 90)], "m string, k string, n int")
+    upsert(spark, new, scratch, "silver", "t", ["m", "k"], partition_by=["m"])
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/silver/t").select("m", "k", "n").collect())
+    assert got == [("m1", "1", 10), ("m1", "2", 2), ("m1", "9", 90), ("m2", "1", 3)]
+    assert sorted(os.listdir(f"{scratch}/silver/t/m=m2")) == m2_files  # untouched partition kept as is

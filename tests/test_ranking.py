@@ -92,3 +92,15 @@ def test_no_global_window_over_data(spark, gold):
     ranked = R.with_position(gold, R.order_desc(QT, ["cd_municipio"]))
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "row_number" not in plan
+
+
+def test_with_position_heavy_ties_many_partitions(spark):
+    # one value holds most rows: the keys break the tie, positions stay exact
+    df = spark.range(20000).selectExpr(
+        "lpad(CAST(id AS STRING), 6, '0') AS k", f"CASE WHEN id % 10 = 0 THEN id ELSE 7 END AS {QT}"
+    ).repartition(16)
+    out = R.with_position(df, R.order_desc(QT, ["k"])).select("posicao", "k", QT).collect()
+    got = sorted(out, key=lambda r: r.posicao)
+    expected = sorted(((r.k, r[QT]) for r in out), key=lambda x: (-x[1], x[0]))
+    assert [r.posicao for r in got] == list(range(1, 20001))
+    assert [(r.k, r[QT]) for r in got] == expected

@@ -91,3 +91,26 @@ def test_file_positions_across_parts_and_splits(spark, scratch):
     expected = sorted(rows, key=lambda r: (-r[2], r[0]))
     assert [r["posicao"] for r in got] == list(range(1, 2001))
     assert [r["cd_operadora"] for r in got] == [e[0] for e in expected]
+
+
+def test_range_layout_splits_hot_month(spark, scratch):
+    from pyspark.sql import functions as F
+
+    # one month holds 90% of the rows
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("2025-07")).otherwise(F.lit("2025-08")).alias("m"), "id"
+    )
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        write_layer(df, scratch, "silver", "hot", partition_by=["m"], layout="range")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    files = (
+        spark.read.parquet(f"{scratch}/silver/hot")
+        .filter(F.col("m") == "2025-08")
+        .select(F.input_file_name().alias("f"))
+        .groupBy("f").count().collect()
+    )
+    assert len(files) >= 4  # the hot month is written by several tasks
+    assert max(r["count"] for r in files) < 36000 * 0.5

@@ -180,12 +180,21 @@ def upsert(
 ) -> str:
     """Replace the rows whose key appears in ``new_rows`` and add the new ones.
 
-    Old rows whose key is in the batch are removed with a left anti join
-    (the batch's key set is the small side and is shuffled, not collected),
-    the batch is appended, and the result is staged under a fresh path
-    before it replaces the table, since a plan cannot overwrite its input.
+    Old rows whose key is in the batch are removed with a left anti join on
+    null-safe key equality (the batch's distinct keys are shuffled, never
+    collected) and the batch is appended. When the table is partitioned by
+    columns that are part of the key, only the partitions the batch touches
+    can change: just those are read (a semi join on the partition values,
+    which partition pruning turns into a scan of those folders) and written
+    back with dynamic partition overwrite; every other partition is left as
+    it is. The merged rows are staged under a fresh path first, since a plan
+    cannot overwrite its own input.
     """
     old = read_layer(spark, root, layer, table, schema=schema, fmt=fmt)
+    scoped = bool(partition_by) and set(partition_by) <= set(keys)
+    if scoped:
+        touched = new_rows.select(*partition_by).dropDuplicates()
+        old = old.join(touched, partition_by, "left_semi")
     batch_keys = new_rows.select(*keys).dropDuplicates().alias("b")
     cond = [F.col(f"o.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     kept = old.alias("o").join(batch_keys, cond, "left_anti")
@@ -193,4 +202,15 @@ def upsert(
     staging = f"_staging_{table}_{uuid.uuid4().hex[:10]}"
     write_layer(merged, root, layer, staging, partition_by=partition_by, fmt=fmt)
     staged = read_layer(spark, root, layer, staging, schema=schema, fmt=fmt)
-    return write_layer(staged, root, layer, table, partition_by=partition_by, fmt=fmt)
+    path = f"{root.rstrip('/')}/{layer}/{table}"
+    if not scoped:
+        return write_layer(staged, root, layer, table, partition_by=partition_by, fmt=fmt)
+    (
+        staged.sortWithinPartitions(*partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .format(fmt)
+        .partitionBy(*partition_by)
+        .save(path)
+    )
+    return path
