@@ -135,11 +135,11 @@ def _s(x: str) -> str:
 # Check-row SELECTs; each expects the metric CTEs of _CHECK_CTES.
 _CHECK_CTES = [
     "sm AS (SELECT COUNT(*) AS n_silver, "
-    + ", ".join(f"count_if({c} IS NULL) AS null_{c}" for c, _ in QUANTITY_PAIRS)
-    + ", count_if(dt_carga IS NOT NULL) AS nonnull_dt_carga"
-    + r", count_if(regexp_matches(nr_cnpj_masc, '\*{6}$')) AS masked"
+    + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c, _ in QUANTITY_PAIRS)
+    + ", CAST(count_if(dt_carga IS NOT NULL) AS BIGINT) AS nonnull_dt_carga"
+    + r", CAST(count_if(regexp_matches(nr_cnpj_masc, '\*{6}$')) AS BIGINT) AS masked"
     + ", CAST(MAX(length(regexp_replace(nr_cnpj_masc, '[^0-9]', '', 'g'))) AS INTEGER) AS max_visible_digits"
-    + ", count_if(qt_beneficiario_ativo < 0) AS negative_active"
+    + ", CAST(count_if(qt_beneficiario_ativo < 0) AS BIGINT) AS negative_active"
     + ", CAST(SUM(qt_beneficiario_ativo) AS BIGINT) AS total_active FROM silver)",
     "bm AS (SELECT COUNT(*) AS n_bronze, "
     + ", ".join(f"count_if({r} IS NULL OR trim({r}) = '') AS blank_{r}" for _, r in QUANTITY_PAIRS)
@@ -306,7 +306,7 @@ FROM g_faixa g JOIN dom d ON g.de_faixa_etaria = d.de_faixa_etaria""",
 SELECT de_faixa_etaria, {QT}, {_pct(QT, f'(SELECT SUM({QT}) FROM g_faixa)')} AS participacao
 FROM g_faixa ORDER BY {FX_ORDER} LIMIT 1""",
     "kpis": _with() + f"""
-SELECT (SELECT SUM({QT}) FROM g_municipio) AS total_beneficiarios,
+SELECT CAST((SELECT SUM({QT}) FROM g_municipio) AS BIGINT) AS total_beneficiarios,
        (SELECT COUNT(DISTINCT cd_operadora) FROM g_operadora) AS n_operadoras,
        (SELECT COUNT(DISTINCT cd_municipio) FROM g_municipio) AS n_municipios,
        de_faixa_etaria AS faixa_lider, {QT} AS qt_faixa_lider
