@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from tiermill.plans.medallion import run
-from tiermill.session import new_scratch_path
+from tiermill.session import new_scratch_path, session_id
 from tiermill.sources.fixture import raw_from_tpch, write_raw_csv
 
 
@@ -48,7 +48,7 @@ def build_workspace(spark: SparkSession, sf_dir: str) -> Workspace:
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     """The lake for ``sf_dir`` in this application, built on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_id(spark), sf_dir.rstrip("/"))
     if key not in _BUILT:
         _BUILT[key] = build_workspace(spark, sf_dir)
     return _BUILT[key]
@@ -56,4 +56,4 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
 
 def adopt_workspace(spark: SparkSession, ws: Workspace) -> None:
     """Register an already built lake so the registered queries reuse it."""
-    _BUILT[(spark.sparkContext.applicationId, ws.sf_dir)] = ws
+    _BUILT[(session_id(spark), ws.sf_dir)] = ws

@@ -47,23 +47,45 @@ def get_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext when the session has one (not under Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediates: the session's ``spark.checkpoint.dir``.
 
     Only when the session has none (local tests) is a private folder created
-    and registered as the checkpoint directory.
+    and, where the session allows it, registered as the checkpoint directory.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tiermill-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    global _LOCAL_SCRATCH
+    if _LOCAL_SCRATCH is None:
+        _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="tiermill-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(_LOCAL_SCRATCH)
+    return _LOCAL_SCRATCH
+
+
+_LOCAL_SCRATCH: str | None = None
+
+
+def session_id(spark: SparkSession) -> str:
+    """Identifier of the running application (works without a SparkContext)."""
+    app = spark.conf.get("spark.app.id", None)
+    if app:
+        return app
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else str(id(spark))
 
 
 def new_scratch_path(spark: SparkSession, prefix: str) -> str:
