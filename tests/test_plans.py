@@ -149,3 +149,32 @@ def test_upsert_rewrites_only_touched_partitions(spark, scratch):
     got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/silver/t").select("m", "k", "n").collect())
     assert got == [("m1", "1", 10), ("m1", "2", 2), ("m1", "9", 90), ("m2", "1", 3)]
     assert sorted(os.listdir(f"{scratch}/silver/t/m=m2")) == m2_files  # untouched partition kept as is
+
+
+def test_reference_style_sql_on_registered_tables(spark, lake, scratch):
+    run(spark, f"{lake}/raw", scratch, steps=["bronze", "silver", "gold"], register=True)
+    top = spark.sql(
+        "SELECT cd_operadora, nm_razao_social, qt_beneficiarios_ativos "
+        "FROM gold.beneficiarios_por_operadora ORDER BY qt_beneficiarios_ativos DESC, cd_operadora LIMIT 5"
+    ).collect()
+    expected = result(load_golds(spark, scratch), "a_top5_operadoras").collect()
+    assert [tuple(r) for r in top] == [tuple(r) for r in expected]
+    n = spark.sql("SELECT COUNT(*) FROM silver.beneficiarios WHERE id_cmpt_movel IS NOT NULL").first()[0]
+    assert n == spark.sql("SELECT COUNT(*) FROM bronze.beneficiarios").first()[0]
+
+
+def test_preview_and_single_file_export(spark, lake, scratch):
+    from tiermill.sources import export_result, preview
+
+    g = load_golds(spark, f"{lake}/lake")
+    assert preview(g.operadora, 5).count() == 5
+    export_result(result(g, "a_top5_operadoras"), scratch, "top", single_file=True)
+    files = [f for f in __import__("os").listdir(f"{scratch}/top") if f.startswith("part-")]
+    assert len(files) == 1
+
+
+def test_cli_runs_steps_and_checks(spark, lake, scratch):
+    from tiermill.__main__ import main
+
+    assert main([f"{lake}/raw", f"{scratch}/lake", f"{scratch}/out", "--checks"]) == 0
+    assert main([f"{scratch}/missing", f"{scratch}/lake2", f"{scratch}/out2", "bronze"]) == 1
