@@ -104,3 +104,20 @@ def test_with_position_heavy_ties_many_partitions(spark):
     expected = sorted(((r.k, r[QT]) for r in out), key=lambda x: (-x[1], x[0]))
     assert [r.posicao for r in got] == list(range(1, 20001))
     assert [(r.k, r[QT]) for r in got] == expected
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], f"cd_municipio string, nm_municipio string, {QT} long")
+    assert R.with_position(empty, R.order_desc(QT, ["cd_municipio"])).count() == 0
+    ranked = R.rank_with_share(empty, QT, ["cd_municipio", "nm_municipio"])
+    assert ranked.count() == 0
+    c = R.concentration(ranked, QT, "nm_municipio").collect()[0]
+    assert c.n_itens == 0 and c.total is None and c.share_top1 == 0.0
+    p = R.page(ranked, 3, 25).collect()
+    assert p == []
+
+
+def test_flag_leader_with_null_key(spark):
+    df = spark.createDataFrame([(None, 9), ("a", 3)], f"de_faixa_etaria string, {QT} long")
+    out = {r.de_faixa_etaria: r.lider for r in R.flag_leader(df, QT, ["de_faixa_etaria"]).collect()}
+    assert out == {None: True, "a": False}

@@ -94,7 +94,7 @@ def leader(df: DataFrame, qt: str, keys: list[str]) -> DataFrame:
 def flag_leader(df: DataFrame, qt: str, keys: list[str], name: str = "lider") -> DataFrame:
     """Mark the leader row with a boolean column (for emphasis)."""
     lead_key = leader(df, qt, keys).select(F.struct(*keys).alias("k")).scalar()
-    return df.withColumn(name, F.coalesce(F.struct(*keys) == lead_key, F.lit(False)))
+    return df.withColumn(name, F.struct(*keys).eqNullSafe(lead_key))
 
 
 def leader_summary(df: DataFrame, qt: str, keys: list[str]) -> DataFrame:
