@@ -8,6 +8,8 @@ lost later never forces a recompute from the raw file).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,23 @@ from tiermill.session import cut_lineage
 from tiermill.sources.results import export_result
 
 BRONZE = ("bronze", "beneficiarios")
+MAX_CONCURRENT_WRITES = 4
+
+
+def _concurrently(jobs: dict[str, Callable[[], str]]) -> dict[str, str]:
+    """Run independent write jobs from a few driver threads.
+
+    Spark schedules jobs submitted from different threads side by side, so
+    small independent writes (the gold splits, result exports, rankings)
+    share the executors instead of queueing one after the other. The first
+    failure is re-raised.
+    """
+    if len(jobs) <= 1:
+        return {name: job() for name, job in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_WRITES, len(jobs))) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
 SILVER = ("silver", "beneficiarios")
 STEPS = ("bronze", "silver", "gold", "results")
 
@@ -61,11 +80,14 @@ def publish(spark: SparkSession, root: str, out_dir: str, fmt: str = "parquet")
     display and the output checks read a stored table instead of re-ranking.
     """
     golds = load_golds(spark, root, fmt)
-    paths = {name: export_result(result(golds, name), out_dir, name) for name in RESULTS}
+    jobs: dict[str, Callable[[], str]] = {
+        name: (lambda name=name: export_result(result(golds, name), out_dir, name)) for name in RESULTS
+    }
     for table, gold in golds.by_table().items():
-        ranked = rank_with_share(gold, GOLD_MEASURE, GOLD_KEYS[table])
-        paths[RANKINGS[table]] = write_layer(ranked, root, "gold", RANKINGS[table], fmt=fmt)
-    return paths
+        jobs[RANKINGS[table]] = lambda table=table, gold=gold: write_layer(
+            rank_with_share(gold, GOLD_MEASURE, GOLD_KEYS[table]), root, "gold", RANKINGS[table], fmt=fmt
+        )
+    return _concurrently(jobs)
 
 
 def run(
@@ -127,9 +149,16 @@ def run(
                     )
                 )
             golds = split_golds(cut_lineage(golds_one_pass(silver))) if gold_one_pass else to_golds(silver)
-            for table, gold in golds.by_table().items():
-                paths[table] = write_layer(gold, root, "gold", table, fmt=fmt)
-                if register:
+            paths.update(
+                _concurrently(
+                    {
+                        t: (lambda t=t, g=g: write_layer(g, root, "gold", t, fmt=fmt))
+                        for t, g in golds.by_table().items()
+                    }
+                )
+            )
+            if register:
+                for table in golds.by_table():
                     register_table(spark, root, "gold", table, fmt=fmt)
         elif step == "results":
             if gate:
