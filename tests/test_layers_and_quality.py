@@ -131,3 +131,19 @@ def test_full_suite_has_21_checks_on_clean_lake(spark):
     rep = e.queries()["dq_report"](spark, "/root/testdata/sf0.001")
     rows = rep.collect()
     assert len(rows) == 21 and all(r.passed for r in rows)
+
+
+def test_reconcile_suite_modes(spark):
+    raw = raw_rows(spark, [{"DE_FAIXA_ETARIA": None}, {}, {"NM_RAZAO_SOCIAL": "OTHER NAME"}])
+    silver = to_silver(to_bronze(raw, "f"))
+    g = to_golds(silver)
+    strict = {r["check"]: r["detail"] for r in Q.check_reconcile(silver, g).collect()}
+    assert strict == {
+        "V5 gold operadora = recompute": "divergences=2",
+        "V5 gold faixa_etaria = recompute": "divergences=2",
+        "V5 gold municipio = recompute": "divergences=0",
+    }
+    safe = Q.check_reconcile(silver, g, mode="null_safe").collect()
+    assert all(r["passed"] for r in safe) and len(safe) == 3
+    with pytest.raises(ValueError):
+        Q.check_reconcile(silver, g, mode="other")

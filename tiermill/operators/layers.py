@@ -81,13 +81,11 @@ class Golds:
 GID = "_tm_gid"
 
 
-def _grouping_ids(dims: list[str]) -> dict[str, int]:
-    """grouping_id of each gold's key set: bit i set when dims[i] is not grouped
-    (the first dimension is the most significant bit)."""
-    out = {}
-    for table, keys in GOLD_KEYS.items():
-        out[table] = sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in keys)
-    return out
+def grouping_id_of(dims: list[str], keys: list[str]) -> int:
+    """``grouping_id()`` of the grouping set ``keys`` among ``dims``: bit i is
+    set when dims[i] is not grouped (the first dimension is the most
+    significant bit)."""
+    return sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in keys)
 
 
 def golds_one_pass(silver: DataFrame, measure: str = ACTIVE) -> DataFrame:
@@ -108,9 +106,8 @@ def golds_one_pass(silver: DataFrame, measure: str = ACTIVE) -> DataFrame:
 def split_golds(combined: DataFrame) -> Golds:
     """The three gold tables out of :func:`golds_one_pass`'s result."""
     dims = [c for c in combined.columns if c not in (GOLD_MEASURE, GID)]
-    gids = _grouping_ids(dims)
     g = {
-        table: combined.filter(F.col(GID) == gids[table]).select(*keys, GOLD_MEASURE)
+        table: combined.filter(F.col(GID) == grouping_id_of(dims, keys)).select(*keys, GOLD_MEASURE)
         for table, keys in GOLD_KEYS.items()
     }
     return Golds(
