@@ -142,12 +142,14 @@ def expected_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     nat = top(by_nation, [F.col("qt").desc(), F.col("c_nationkey").cast("string")], F.col("n_name"))
-    return by_nation.agg(F.count(F.lit(1)).alias("_n")).select(
-        op.getField("name").alias("top_operadora_nome"),
-        op.getField("qt").alias("top_operadora_qt"),
-        band.getField("name").alias("top_faixa"),
-        band.getField("qt").alias("top_faixa_qt"),
-        nat.getField("name").alias("top_muni"),
-        nat.getField("qt").alias("top_muni_qt"),
+    # each leader is attached once as a column, then its fields are read
+    leaders = by_nation.agg(F.count(F.lit(1)).alias("_n")).select("_n", op.alias("op"), band.alias("band"), nat.alias("nat"))
+    return leaders.select(
+        F.col("op.name").alias("top_operadora_nome"),
+        F.col("op.qt").alias("top_operadora_qt"),
+        F.col("band.name").alias("top_faixa"),
+        F.col("band.qt").alias("top_faixa_qt"),
+        F.col("nat.name").alias("top_muni"),
+        F.col("nat.qt").alias("top_muni_qt"),
         F.col("_n").cast("long").alias("qt_municipios"),
     )
