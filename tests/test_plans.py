@@ -178,3 +178,22 @@ def test_cli_runs_steps_and_checks(spark, lake, scratch):
 
     assert main([f"{lake}/raw", f"{scratch}/lake", f"{scratch}/out", "--checks"]) == 0
     assert main([f"{scratch}/missing", f"{scratch}/lake2", f"{scratch}/out2", "bronze"]) == 1
+
+
+def test_stream_ingest_archives_ingested_files(spark, scratch):
+    import os
+
+    raw = raw_from_tpch(spark, SF_SMALL)
+    months = sorted(r[0] for r in raw.select("ID_CMPT_MOVEL").distinct().collect())
+    first = raw.filter(F.col("ID_CMPT_MOVEL") < months[40])
+    second = raw.filter(F.col("ID_CMPT_MOVEL") >= months[40])
+    out, ck, arch = f"{scratch}/bronze", f"{scratch}/ck", f"{scratch}/archive"
+    first.coalesce(1).write.options(**RAW_WRITE_OPTIONS).csv(f"{scratch}/in/a")
+    stream_ingest(spark, f"{scratch}/in/*", out, ck, archive_dir=arch)
+    # a file is archived when the batch after the one that read it commits
+    second.coalesce(1).write.options(**RAW_WRITE_OPTIONS).csv(f"{scratch}/in/b")
+    stream_ingest(spark, f"{scratch}/in/*", out, ck, archive_dir=arch)
+    assert spark.read.parquet(out).count() == raw.count()
+    left_a = [f for f in os.listdir(f"{scratch}/in/a") if f.endswith(".csv")]
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
+    assert left_a == [] and len(archived) == 1

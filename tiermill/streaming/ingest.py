@@ -32,9 +32,22 @@ def stream_ingest(
     schema: StructType = RAW_SCHEMA,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
+    **source_options: str,
 ) -> str:
-    """Append the newly delivered raw files to a bronze table and stop."""
-    opts = {"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger else {}
+    """Append the newly delivered raw files to a bronze table and stop.
+
+    ``archive_dir`` moves each ingested file there once its batch commits
+    (``cleanSource=archive``), so the delivery folder the source lists on
+    every run stays small however many months have been loaded. Other file
+    source options (``latestFirst``, ``maxFileAge``...) pass through.
+    """
+    opts = dict(source_options)
+    if max_files_per_trigger:
+        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if archive_dir:
+        opts["cleanSource"] = "archive"
+        opts["sourceArchiveDir"] = archive_dir
     stream = raw_stream(spark, in_dir, schema, **opts)
     bronze = stream.select(
         "*",
