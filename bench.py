@@ -18,7 +18,7 @@ from tiermill.plans.catalogue import QUERIES
 from tiermill.plans.medallion import run
 from tiermill.plans.workspace import Workspace, adopt_workspace
 from tiermill.session import get_session, new_scratch_path
-from tiermill.sources.fixture import raw_from_tpch, write_raw_csv
+from tiermill.sources.fixture import raw_file_count, raw_from_tpch, write_raw_csv
 
 HEADLINE = [
     "a_top5_operadoras",
@@ -46,7 +46,7 @@ def main() -> None:
 
     ws = Workspace(sf_dir, new_scratch_path(spark, "bench"))
     t = time.perf_counter()
-    write_raw_csv(raw_from_tpch(spark, sf_dir), ws.raw_path)
+    write_raw_csv(raw_from_tpch(spark, sf_dir), ws.raw_path, files=raw_file_count(spark, sf_dir))
     timings["fixture_raw_csv"] = time.perf_counter() - t
 
     for step in ("bronze", "silver", "gold", "results"):

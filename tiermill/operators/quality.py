@@ -104,16 +104,23 @@ def bronze_metrics(bronze: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ check groups --
 
-def _volume(raw: DataFrame, bronze: DataFrame) -> _Group:
-    n_raw, n_bronze, n_silver = F.col("n_raw"), F.col("bm.n_bronze"), F.col("n_silver")
+def _ingest(raw: DataFrame, bronze: DataFrame) -> _Group:
+    n_raw, n_bronze = F.col("n_raw"), F.col("bm.n_bronze")
     return _Group(
-        [
-            ("V1a bronze rows = raw rows", n_bronze == n_raw,
-             F.concat(F.lit("raw="), _s(n_raw), F.lit(" bronze="), _s(n_bronze))),
-            ("V1b silver rows = bronze rows", n_silver == n_bronze,
-             F.concat(F.lit("bronze="), _s(n_bronze), F.lit(" silver="), _s(n_silver))),
-        ],
+        [("V1a bronze rows = raw rows", n_bronze == n_raw,
+          F.concat(F.lit("raw="), _s(n_raw), F.lit(" bronze="), _s(n_bronze)))],
         {"n_raw": _count(raw), "bm": _row_scalar(bronze_metrics(bronze))},
+    )
+
+
+def _volume(raw: DataFrame, bronze: DataFrame) -> _Group:
+    n_bronze, n_silver = F.col("bm.n_bronze"), F.col("n_silver")
+    ingest = _ingest(raw, bronze)
+    return _Group(
+        ingest.specs
+        + [("V1b silver rows = bronze rows", n_silver == n_bronze,
+            F.concat(F.lit("bronze="), _s(n_bronze), F.lit(" silver="), _s(n_silver)))],
+        ingest.scalars,
         uses_silver_metrics=True,
     )
 
@@ -153,6 +160,11 @@ def _sanity() -> _Group:
     )
 
 
+def check_ingest(raw: DataFrame, bronze: DataFrame) -> DataFrame:
+    """V1a alone: bronze keeps every raw row (usable before silver exists)."""
+    return _run(bronze.sparkSession, None, [_ingest(raw, bronze)])
+
+
 def check_volume(raw: DataFrame, bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """V1: bronze keeps every raw row; silver keeps every bronze row."""
     return _run(silver.sparkSession, silver, [_volume(raw, bronze)])

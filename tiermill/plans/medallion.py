@@ -132,7 +132,7 @@ def run(
         elif step == "silver":
             bronze = load_bronze(spark, root, fmt)
             if gate:
-                quality.assert_all(quality.check_volume(read_raw(spark, raw_path), bronze, bronze))
+                quality.assert_all(quality.check_ingest(read_raw(spark, raw_path), bronze))
             paths["silver"] = write_layer(
                 to_silver(bronze), root, *SILVER, partition_by=[MONTH], fmt=fmt, layout=silver_layout
             )

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from tiermill.plans.medallion import run
 from tiermill.session import new_scratch_path, session_id
-from tiermill.sources.fixture import raw_from_tpch, write_raw_csv
+from tiermill.sources.fixture import raw_file_count, raw_from_tpch, write_raw_csv
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ _BUILT: dict[tuple[str, str], Workspace] = {}
 def build_workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     """Derive the raw file and run all layers into a fresh scratch folder."""
     ws = Workspace(sf_dir.rstrip("/"), new_scratch_path(spark, "lake"))
-    write_raw_csv(raw_from_tpch(spark, ws.sf_dir), ws.raw_path)
+    write_raw_csv(raw_from_tpch(spark, ws.sf_dir), ws.raw_path, files=raw_file_count(spark, ws.sf_dir))
     run(spark, ws.raw_path, ws.root, ws.out_dir)
     return ws
 

@@ -101,6 +101,17 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(*[c.alias(n) for c, n in zip(cols, RAW_COLUMNS)])
 
 
+ROWS_PER_FILE = 75_000
+
+
+def raw_file_count(spark: SparkSession, sf_dir: str, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Number of raw files for a scale: one per ``rows_per_file`` lines, at
+    most the shuffle width (the line count is read from Parquet metadata)."""
+    rows = _table(spark, sf_dir, "lineitem").count()
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(width, -(-rows // rows_per_file)))
+
+
 def write_raw_csv(raw: DataFrame, path: str, *, files: int | None = None) -> str:
     """Write the raw frame as ``;``-separated, fully quoted UTF-8 text.
 
