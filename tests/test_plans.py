@@ -197,3 +197,14 @@ def test_stream_ingest_archives_ingested_files(spark, scratch):
     left_a = [f for f in os.listdir(f"{scratch}/in/a") if f.endswith(".csv")]
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
     assert left_a == [] and len(archived) == 1
+
+
+def test_gated_full_run_on_clean_data(spark, lake, scratch):
+    paths = run(spark, f"{lake}/raw", f"{scratch}/lake", f"{scratch}/out", gate=True)
+    assert {"bronze", "silver", "a_top5_operadoras", "ranking_municipio"} <= set(paths)
+    from tiermill.operators.quality import check_gold, check_silver
+    from tiermill.plans.medallion import load_bronze
+
+    silver = load_silver(spark, f"{scratch}/lake")
+    assert all(r.passed for r in check_silver(load_bronze(spark, f"{scratch}/lake"), silver).collect())
+    assert len(check_gold(silver, load_golds(spark, f"{scratch}/lake")).collect()) == 4

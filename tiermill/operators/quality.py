@@ -474,6 +474,16 @@ def checks(
     return _run(silver.sparkSession, silver, groups)
 
 
+def check_silver(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """V2-V4 on one base row (the gate before gold is built)."""
+    return _run(silver.sparkSession, silver, [_typing(bronze), _masking(), _sanity()])
+
+
+def check_gold(silver: DataFrame, golds: Golds, mode: str = "strict") -> DataFrame:
+    """V5 and V7 on one base row (the gate before results are published)."""
+    return _run(silver.sparkSession, silver, [_reconcile(silver, golds, mode), _totals(golds)])
+
+
 def report(*groups: DataFrame) -> DataFrame:
     """All check rows of the given groups (V9)."""
     out = groups[0]

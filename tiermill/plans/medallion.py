@@ -20,11 +20,13 @@ from tiermill.operators.ranking import rank_with_share
 from tiermill.plans.results import RESULTS, result
 from tiermill.schemas import GOLD_KEYS, GOLD_MEASURE, MONTH, SILVER_SCHEMA, gold_schema
 from tiermill.sources.layers import read_layer, register_table, write_layer
-from tiermill.sources.raw_csv import read_raw
 from tiermill.session import cut_lineage
+from tiermill.sources.raw_csv import read_raw
 from tiermill.sources.results import export_result
 
 BRONZE = ("bronze", "beneficiarios")
+SILVER = ("silver", "beneficiarios")
+STEPS = ("bronze", "silver", "gold", "results")
 MAX_CONCURRENT_WRITES = 4
 
 
@@ -42,9 +44,6 @@ def _concurrently(jobs: dict[str, Callable[[], str]]) -> dict[str, str]:
         futures = {name: pool.submit(job) for name, job in jobs.items()}
         return {name: f.result() for name, f in futures.items()}
 
-SILVER = ("silver", "beneficiarios")
-STEPS = ("bronze", "silver", "gold", "results")
-
 
 def load_bronze(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     return read_layer(spark, root, *BRONZE, fmt=fmt)
@@ -141,13 +140,7 @@ def run(
         elif step == "gold":
             silver = load_silver(spark, root, fmt)
             if gate:
-                quality.assert_all(
-                    quality.report(
-                        quality.check_typing(load_bronze(spark, root, fmt), silver),
-                        quality.check_masking(silver),
-                        quality.check_sanity(silver),
-                    )
-                )
+                quality.assert_all(quality.check_silver(load_bronze(spark, root, fmt), silver))
             golds = split_golds(cut_lineage(golds_one_pass(silver))) if gold_one_pass else to_golds(silver)
             paths.update(
                 _concurrently(
@@ -164,9 +157,7 @@ def run(
             if gate:
                 silver = load_silver(spark, root, fmt)
                 golds = load_golds(spark, root, fmt)
-                quality.assert_all(
-                    quality.report(quality.check_reconcile(silver, golds), quality.check_totals(silver, golds))
-                )
+                quality.assert_all(quality.check_gold(silver, golds))
             paths.update(publish(spark, root, out_dir, fmt))
     return paths
 
