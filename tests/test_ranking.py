@@ -121,3 +121,20 @@ def test_flag_leader_with_null_key(spark):
     df = spark.createDataFrame([(None, 9), ("a", 3)], f"de_faixa_etaria string, {QT} long")
     out = {r.de_faixa_etaria: r.lider for r in R.flag_leader(df, QT, ["de_faixa_etaria"]).collect()}
     assert out == {None: True, "a": False}
+
+
+def test_display_cards_and_highlights(spark):
+    df = spark.createDataFrame(
+        [(f"{i:03d}", f"Op {i}", v) for i, v in enumerate([5000, 2500, 1250, 625, 625, 1000])],
+        f"cd_operadora string, nm_razao_social string, {QT} long",
+    )
+    ranked = R.rank_with_share(df, QT, ["cd_operadora", "nm_razao_social"])
+    cards = [tuple(r) for r in R.display_cards(ranked, "nm_razao_social", 3).orderBy("posicao").collect()]
+    assert cards == [
+        (1, "Op 0", "5.000", "45,5%", 100.0),
+        (2, "Op 1", "2.500", "22,7%", 50.0),
+        (3, "Op 2", "1.250", "11,4%", 25.0),
+    ]
+    h = R.display_highlights(R.concentration(ranked, QT, "nm_razao_social")).collect()[0]
+    assert (h.lider, h.quantidade_lider, h.participacao_lider, h.n_itens) == ("Op 0", "5.000", "45,5%", "6")
+    assert (h.concentracao_top5, h.concentracao_top10) == ("90,9%", "100,0%")

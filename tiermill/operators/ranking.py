@@ -207,3 +207,32 @@ def kpis(operadora: DataFrame, faixa: DataFrame, municipio: DataFrame, qt: str =
         F.col("de_faixa_etaria").alias("faixa_lider"),
         F.col(qt).alias("qt_faixa_lider"),
     )
+
+
+def display_cards(ranked: DataFrame, label: str, n: int = 5, places: int = 1) -> DataFrame:
+    """Leaderboard cards: the first ``n`` positions with formatted figures.
+
+    Position, label, count with ``.`` thousands, share of the total with a
+    decimal comma (``places`` decimals) and the bar fill (percent of the
+    leader). ``ranked`` is a ranking table (see :func:`rank_with_share`).
+    """
+    return ranked.filter(F.col(POSITION) <= n).select(
+        POSITION,
+        F.col(label).alias("rotulo"),
+        format_thousands(GOLD_MEASURE).alias("quantidade"),
+        format_percent(F.col(SHARE), places).alias("participacao"),
+        F.col(OF_LEADER).alias("preenchimento"),
+    )
+
+
+def display_highlights(summary: DataFrame, places: int = 1) -> DataFrame:
+    """Formatted highlights from :func:`concentration`'s row: the leader, its
+    count and share, the number of items, and the top-5 / top-10 shares."""
+    return summary.select(
+        F.col("lider"),
+        format_thousands("qt_lider").alias("quantidade_lider"),
+        format_percent(F.col("share_top1"), places).alias("participacao_lider"),
+        format_thousands("n_itens").alias("n_itens"),
+        format_percent(F.col("share_top5"), places).alias("concentracao_top5"),
+        format_percent(F.col("share_top10"), places).alias("concentracao_top10"),
+    )

@@ -176,6 +176,16 @@ def municipios_formatado(spark, sf_dir):
     return R.display_municipios(_ranked(spark, sf_dir).municipio)
 
 
+def operadoras_cards(spark, sf_dir):
+    """Top-5 operator cards (formatted count, share with one decimal, bar fill)."""
+    return R.display_cards(_ranked(spark, sf_dir).operadora, "nm_razao_social", 5, 1)
+
+
+def municipios_destaques(spark, sf_dir):
+    """Municipality highlights: leader, its share, count, top-5 / top-10 shares."""
+    return R.display_highlights(R.concentration(_ranked(spark, sf_dir).municipio, QT, "nm_municipio"), 1)
+
+
 # ------------------------------------------------------------------ checks --
 
 def _layers(spark, sf_dir):
@@ -348,6 +358,8 @@ QUERIES: dict[str, Query] = {
     "municipios_pagina": municipios_pagina,
     "municipios_busca": municipios_busca,
     "municipios_formatado": municipios_formatado,
+    "operadoras_cards": operadoras_cards,
+    "municipios_destaques": municipios_destaques,
     "dq_volume": dq_volume,
     "dq_typing": dq_typing,
     "dq_masking": dq_masking,

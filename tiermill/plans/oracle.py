@@ -106,17 +106,31 @@ SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS posicao, {keys},
 FROM {gold}, (SELECT SUM({QT}) AS total, MAX({QT}) AS mx FROM {gold}) t"""
 
 
-def _concentration(gold: str, order: str, name: str) -> str:
-    return _with(
-        f"r AS (SELECT *, row_number() OVER (ORDER BY {order}) AS pos FROM {gold})"
-    ) + f"""
+def _concentration_ctes(gold: str, order: str, name: str) -> tuple[str, str]:
+    """CTEs ``r`` (rows with positions) and ``c`` (the concentration row)."""
+    r = f"r AS (SELECT *, row_number() OVER (ORDER BY {order}) AS pos FROM {gold})"
+    c = f"""c AS (
 SELECT CAST(COUNT(*) AS BIGINT) AS n_itens, CAST(SUM({QT}) AS BIGINT) AS total,
        arg_min({name}, pos) AS lider,
        CAST(SUM(CASE WHEN pos <= 1 THEN {QT} END) AS BIGINT) AS qt_lider,
        {_pct(f"SUM(CASE WHEN pos <= 1 THEN {QT} END)", f"SUM({QT})")} AS share_top1,
        {_pct(f"SUM(CASE WHEN pos <= 5 THEN {QT} END)", f"SUM({QT})")} AS share_top5,
        {_pct(f"SUM(CASE WHEN pos <= 10 THEN {QT} END)", f"SUM({QT})")} AS share_top10
-FROM r"""
+FROM r)"""
+    return r, c
+
+
+def _concentration(gold: str, order: str, name: str) -> str:
+    return _with(*_concentration_ctes(gold, order, name)) + "\nSELECT * FROM c"
+
+
+def _fmt_int(x: str) -> str:
+    return f"replace(format('{{:,}}', {x}), ',', '.')"
+
+
+def _fmt_pct1(x: str) -> str:
+    s = f"CAST(round({x} * CAST(10 AS DOUBLE)) AS BIGINT)"
+    return f"CAST({s} // 10 AS VARCHAR) || ',' || CAST({s} % 10 AS VARCHAR) || '%'"
 
 
 def _domain_cte() -> str:
@@ -327,6 +341,17 @@ SELECT posicao AS "Posição", cd_municipio AS "Código IBGE", nm_municipio AS "
        replace(format('{{:,}}', {QT}), ',', '.') AS "Beneficiários ativos",
        CAST(s // 100 AS VARCHAR) || ',' || lpad(CAST(s % 100 AS VARCHAR), 2, '0') || '%' AS "Participação"
 FROM f""",
+    "operadoras_cards": _with(
+        "r AS (" + _ranked("g_operadora", OP_ORDER, "cd_operadora, nm_razao_social") + ")"
+    ) + f"""
+SELECT posicao, nm_razao_social AS rotulo, {_fmt_int(QT)} AS quantidade,
+       {_fmt_pct1('participacao')} AS participacao, proporcao_lider AS preenchimento
+FROM r WHERE posicao <= 5""",
+    "municipios_destaques": _with(*_concentration_ctes("g_municipio", MU_ORDER, "nm_municipio")) + f"""
+SELECT lider, {_fmt_int('qt_lider')} AS quantidade_lider, {_fmt_pct1('share_top1')} AS participacao_lider,
+       {_fmt_int('n_itens')} AS n_itens, {_fmt_pct1('share_top5')} AS concentracao_top5,
+       {_fmt_pct1('share_top10')} AS concentracao_top10
+FROM c""",
     "dq_volume": _checks(_checks_volume()),
     "dq_typing": _checks(_checks_typing()),
     "dq_masking": _checks(_checks_masking()),
