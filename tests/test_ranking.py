@@ -138,3 +138,11 @@ def test_display_cards_and_highlights(spark):
     h = R.display_highlights(R.concentration(ranked, QT, "nm_razao_social")).collect()[0]
     assert (h.lider, h.quantidade_lider, h.participacao_lider, h.n_itens) == ("Op 0", "5.000", "45,5%", "6")
     assert (h.concentracao_top5, h.concentracao_top10) == ("94,3%", "100,0%")  # 10375 / 11000
+
+
+def test_kpis_on_empty_golds(spark):
+    ops = spark.createDataFrame([], f"cd_operadora string, nm_razao_social string, {QT} long")
+    fx = spark.createDataFrame([], f"de_faixa_etaria string, {QT} long")
+    mu = spark.createDataFrame([], f"cd_municipio string, nm_municipio string, {QT} long")
+    rows = R.kpis(ops, fx, mu).collect()
+    assert len(rows) == 1 and (rows[0].n_operadoras, rows[0].n_municipios, rows[0].faixa_lider) == (0, 0, None)

@@ -192,20 +192,24 @@ def display_municipios(ranked: DataFrame) -> DataFrame:
 def kpis(operadora: DataFrame, faixa: DataFrame, municipio: DataFrame, qt: str = GOLD_MEASURE) -> DataFrame:
     """KPI row: total active, operators, municipalities, leading band.
 
-    Built on the leading-band row with the other figures as scalar
+    Always one row (an aggregate), with the other figures as scalar
     subqueries, so every figure is one partial aggregate and nothing is
-    cross-joined.
+    cross-joined. With no data the counts are 0 and the rest NULL.
     """
-    total = _total(municipio, qt)
     n_ops = operadora.agg(F.count_distinct("cd_operadora")).scalar()
     n_mun = municipio.agg(F.count_distinct("cd_municipio")).scalar()
-    lead = leader(faixa, qt, ["de_faixa_etaria"])
-    return lead.select(
-        total.cast("long").alias("total_beneficiarios"),
+    lead = leader(faixa, qt, ["de_faixa_etaria"]).select(F.struct("de_faixa_etaria", qt).alias("s")).scalar()
+    return municipio.agg(F.sum(qt).cast("long").alias("total_beneficiarios")).select(
+        "total_beneficiarios",
         n_ops.cast("long").alias("n_operadoras"),
         n_mun.cast("long").alias("n_municipios"),
-        F.col("de_faixa_etaria").alias("faixa_lider"),
-        F.col(qt).alias("qt_faixa_lider"),
+        lead.alias("_tm_lead"),
+    ).select(
+        "total_beneficiarios",
+        "n_operadoras",
+        "n_municipios",
+        F.col("_tm_lead.de_faixa_etaria").alias("faixa_lider"),
+        F.col(f"_tm_lead.{qt}").alias("qt_faixa_lider"),
     )
 
 
