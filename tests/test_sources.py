@@ -114,3 +114,25 @@ def test_range_layout_splits_hot_month(spark, scratch):
     )
     assert len(files) >= 4  # the hot month is written by several tasks
     assert max(r["count"] for r in files) < 36000 * 0.5
+
+
+def test_rebalance_layout_splits_hot_month(spark, scratch):
+    from pyspark.sql import functions as F
+
+    df = spark.range(200000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("2025-07")).otherwise(F.lit("2025-08")).alias("m"),
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    ).repartition(8)
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        write_layer(df, scratch, "silver", "reb", partition_by=["m"], layout="rebalance")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    back = spark.read.parquet(f"{scratch}/silver/reb")
+    assert back.count() == 200000 and back.select("id").distinct().count() == 200000
+    files = back.filter(F.col("m") == "2025-08").select(F.input_file_name().alias("f")).groupBy("f").count().collect()
+    assert len(files) >= 4  # the hot month is split over several writers

@@ -24,7 +24,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--gate", action="store_true", help="promote a layer only when its checks pass")
     p.add_argument("--register", action="store_true", help="register layer tables in the session catalog")
     p.add_argument("--checks", action="store_true", help="run the validation suite afterwards")
-    p.add_argument("--silver-layout", default="local", choices=["local", "range"])
+    p.add_argument("--silver-layout", default="local", choices=["local", "rebalance", "range"])
     args = p.parse_args(argv)
 
     spark = get_session()

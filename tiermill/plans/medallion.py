@@ -172,7 +172,9 @@ def load_month(
     """
     path = f"{root.rstrip('/')}/{SILVER[0]}/{SILVER[1]}"
     out = month_rows.select(*[f.name for f in SILVER_SCHEMA.fields])
-    if layout == "range":
+    if layout == "rebalance":
+        out = out.hint("rebalance", MONTH)
+    elif layout == "range":
         n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         out = out.repartitionByRange(n, F.col(MONTH), F.xxhash64(*[F.col(c) for c in out.columns]))
     (

@@ -36,17 +36,23 @@ def write_layer(
     * ``"local"`` (default): no shuffle; each task sorts its rows by the
       partition columns and writes one file per partition value it holds.
       Right for monthly loads, where an input split holds one month.
-    * ``"range"``: range-partition on the partition columns plus a row hash,
-      so even a partition value holding a third of all rows is split across
-      many balanced tasks while each task still covers few values. Costs one
-      shuffle of the table; use it for multi-month backfills.
+    * ``"rebalance"``: one shuffle by the partition columns with Spark's
+      ``REBALANCE`` hint; adaptive execution splits a partition value that
+      holds a third of all rows into advisory-sized tasks and merges small
+      ones, so files come out near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+      whatever the data size. The choice for multi-month backfills.
+    * ``"range"``: range-partition on the partition columns plus a row hash
+      into ``spark.sql.shuffle.partitions`` tasks; balanced by sampling, but
+      the task count is fixed by the session rather than by the data.
 
     Never point this at a path the same plan reads; Spark refuses that.
     """
     path = layer_path(root, layer, table)
     out = df
     if partition_by:
-        if layout == "range":
+        if layout == "rebalance":
+            out = out.hint("rebalance", *partition_by)
+        elif layout == "range":
             n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
             out = out.repartitionByRange(n, *[F.col(c) for c in partition_by], row_hash)
