@@ -46,6 +46,8 @@ def main() -> None:
     cases = [
         ("Silver write input (local layout: no exchange, local sort by month)",
          to_silver(bronze).sortWithinPartitions("id_cmpt_movel"), False),
+        ("Silver write input with layout='rebalance' (one exchange, AQE splits skewed months)",
+         to_silver(bronze).hint("rebalance", "id_cmpt_movel"), False),
         ("Three golds from one silver scan (Expand, partial aggregate, one exchange)",
          golds_one_pass(silver), False),
         ("Month filter becomes a partition filter",
