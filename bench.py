@@ -12,13 +12,16 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import time
 
-from tiermill.plans.catalogue import QUERIES
-from tiermill.plans.medallion import run
-from tiermill.plans.workspace import Workspace, adopt_workspace
-from tiermill.session import get_session, new_scratch_path
-from tiermill.sources.fixture import raw_file_count, raw_from_tpch, write_raw_csv
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from tiermill.plans.catalogue import QUERIES  # noqa: E402
+from tiermill.plans.medallion import run  # noqa: E402
+from tiermill.plans.workspace import Workspace, adopt_workspace  # noqa: E402
+from tiermill.session import get_session, new_scratch_path  # noqa: E402
+from tiermill.sources.fixture import raw_file_count, raw_from_tpch, write_raw_csv  # noqa: E402
 
 HEADLINE = [
     "a_top5_operadoras",
