@@ -208,3 +208,14 @@ def test_gated_full_run_on_clean_data(spark, lake, scratch):
     silver = load_silver(spark, f"{scratch}/lake")
     assert all(r.passed for r in check_silver(load_bronze(spark, f"{scratch}/lake"), silver).collect())
     assert len(check_gold(silver, load_golds(spark, f"{scratch}/lake")).collect()) == 4
+
+
+def test_concurrent_writes_propagate_failures():
+    from tiermill.plans.medallion import _concurrently
+
+    def boom():
+        raise RuntimeError("write failed")
+
+    assert _concurrently({"a": lambda: "x", "b": lambda: "y"}) == {"a": "x", "b": "y"}
+    with pytest.raises(RuntimeError):
+        _concurrently({"a": lambda: "x", "b": boom})
