@@ -21,3 +21,10 @@ def scratch(spark):
     from tiermill.session import new_scratch_path
 
     return new_scratch_path(spark, "test")
+
+
+def local_path(path: str) -> str:
+    """Plain local path of a scratch location (tests only inspect local folders)."""
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    return path

@@ -9,7 +9,7 @@ from tiermill.sources.fixture import RAW_WRITE_OPTIONS, raw_from_tpch, write_raw
 from tiermill.sources.layers import list_tables
 from tiermill.streaming import stream_ingest
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, local_path
 
 
 @pytest.fixture(scope="module")
@@ -143,12 +143,12 @@ def test_upsert_rewrites_only_touched_partitions(spark, scratch):
 
     df = spark.createDataFrame([("m1", "1", 1), ("m1", "2", 2), ("m2", "1", 3)], "m string, k string, n int")
     write_layer(df, scratch, "silver", "t", partition_by=["m"])
-    m2_files = sorted(os.listdir(f"{scratch}/silver/t/m=m2"))
+    m2_files = sorted(os.listdir(local_path(f"{scratch}/silver/t/m=m2")))
     new = spark.createDataFrame([("m1", "1", 10), ("m1", "9", 90)], "m string, k string, n int")
     upsert(spark, new, scratch, "silver", "t", ["m", "k"], partition_by=["m"])
     got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/silver/t").select("m", "k", "n").collect())
     assert got == [("m1", "1", 10), ("m1", "2", 2), ("m1", "9", 90), ("m2", "1", 3)]
-    assert sorted(os.listdir(f"{scratch}/silver/t/m=m2")) == m2_files  # untouched partition kept as is
+    assert sorted(os.listdir(local_path(f"{scratch}/silver/t/m=m2"))) == m2_files  # untouched partition kept as is
 
 
 def test_reference_style_sql_on_registered_tables(spark, lake, scratch):
@@ -169,7 +169,7 @@ def test_preview_and_single_file_export(spark, lake, scratch):
     g = load_golds(spark, f"{lake}/lake")
     assert preview(g.operadora, 5).count() == 5
     export_result(result(g, "a_top5_operadoras"), scratch, "top", single_file=True)
-    files = [f for f in __import__("os").listdir(f"{scratch}/top") if f.startswith("part-")]
+    files = [f for f in __import__("os").listdir(local_path(f"{scratch}/top")) if f.startswith("part-")]
     assert len(files) == 1
 
 
@@ -194,8 +194,8 @@ def test_stream_ingest_archives_ingested_files(spark, scratch):
     second.coalesce(1).write.options(**RAW_WRITE_OPTIONS).csv(f"{scratch}/in/b")
     stream_ingest(spark, f"{scratch}/in/*", out, ck, archive_dir=arch)
     assert spark.read.parquet(out).count() == raw.count()
-    left_a = [f for f in os.listdir(f"{scratch}/in/a") if f.endswith(".csv")]
-    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
+    left_a = [f for f in os.listdir(local_path(f"{scratch}/in/a")) if f.endswith(".csv")]
+    archived = [f for _, _, fs in os.walk(local_path(arch)) for f in fs if f.endswith(".csv")]
     assert left_a == [] and len(archived) == 1
 
 
