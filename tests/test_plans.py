@@ -219,3 +219,19 @@ def test_concurrent_writes_propagate_failures():
     assert _concurrently({"a": lambda: "x", "b": lambda: "y"}) == {"a": "x", "b": "y"}
     with pytest.raises(RuntimeError):
         _concurrently({"a": lambda: "x", "b": boom})
+
+
+def test_register_result_is_published(spark, lake, scratch):
+    from tiermill.plans import publish, register_result, unregister_result
+    from tiermill.operators.ranking import top_n
+
+    register_result("top3_municipios", lambda g: top_n(g.municipio, "qt_beneficiarios_ativos", ["cd_municipio"], 3))
+    try:
+        with pytest.raises(ValueError):
+            register_result("top3_municipios", lambda g: g.municipio)
+        paths = publish(spark, f"{lake}/lake", f"{scratch}/out")
+        assert "top3_municipios" in paths
+        assert spark.read.option("header", True).csv(paths["top3_municipios"]).count() == 3
+    finally:
+        unregister_result("top3_municipios")
+    assert "top3_municipios" not in RESULTS

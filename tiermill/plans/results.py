@@ -67,6 +67,22 @@ RESULTS: dict[str, NamedResult] = _register(
 )
 
 
+def register_result(
+    name: str, build: Callable[[Golds], DataFrame], label: str | None = None, *, replace: bool = False
+) -> None:
+    """Add a named result (published by the results step, in insertion order)."""
+    if not name:
+        raise ValueError("a named result needs a name")
+    if name in RESULTS and not replace:
+        raise ValueError(f"duplicate result name: {name}")
+    RESULTS[name] = NamedResult(name, build, label)
+
+
+def unregister_result(name: str) -> None:
+    """Drop a named result; an unknown name raises ``KeyError``."""
+    del RESULTS[name]
+
+
 def result_names() -> list[str]:
     return list(RESULTS)
 
