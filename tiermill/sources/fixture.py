@@ -141,15 +141,22 @@ def expected_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         row = df.orderBy(*order).limit(1)
         return row.select(F.struct(name.alias("name"), F.col("qt").cast("long").alias("qt"))).scalar()
 
+    # Lines are summed per part and per order before joining the dimension,
+    # so each join sees one row per part / order instead of one per line.
     by_supp = lead(line, "l_suppkey").join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     op = top(by_supp, [F.col("qt").desc(), F.col("l_suppkey")], F.trim(F.col("s_name")))
-    by_band = lead(line.join(t("part"), F.col("l_partkey") == F.col("p_partkey")).withColumn("band", _age_band(F.col("p_size"))), "band")
+    per_part = lead(line, "l_partkey").withColumnRenamed("qt", "q")
+    by_band = lead(
+        per_part.join(t("part"), F.col("l_partkey") == F.col("p_partkey")).withColumn("band", _age_band(F.col("p_size"))),
+        "band",
+    )
     band = top(by_band, [F.col("qt").desc(), F.col("band")], F.col("band"))
     geo = t("orders").select("o_orderkey", "o_custkey").join(
         t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
     )
+    per_order = lead(line, "l_orderkey").withColumnRenamed("qt", "q")
     by_nation = (
-        lead(line.join(geo, F.col("l_orderkey") == F.col("o_orderkey")), "c_nationkey")
+        lead(per_order.join(geo, F.col("l_orderkey") == F.col("o_orderkey")), "c_nationkey")
         .join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     nat = top(by_nation, [F.col("qt").desc(), F.col("c_nationkey").cast("string")], F.col("n_name"))
