@@ -235,3 +235,45 @@ def test_register_result_is_published(spark, lake, scratch):
     finally:
         unregister_result("top3_municipios")
     assert "top3_municipios" not in RESULTS
+
+
+def test_output_and_reference_checks_detect_damage(spark, lake, scratch):
+    from tiermill.operators import quality as Q
+    from tiermill.plans import publish
+    from tiermill.plans.medallion import load_rankings
+    from tiermill.sources.fixture import expected_reference
+
+    root = f"{lake}/lake"
+    g = load_golds(spark, root)
+    out = f"{scratch}/out"
+    publish(spark, root, out)
+    ok = {r["check"]: r["passed"] for r in Q.check_outputs(spark, g, out, load_rankings(spark, root)).collect()}
+    assert all(ok.values()) and len(ok) == 4
+    # damage the municipality file: swap the order of the first two rows
+    c = result(g, "c_beneficiarios_por_municipio").collect()
+    swapped = [c[1], c[0]] + c[2:]
+    spark.createDataFrame(swapped, g.municipio.schema).coalesce(1).write.mode("overwrite").option(
+        "header", True).csv(f"{out}/c_beneficiarios_por_municipio")
+    bad = {r["check"]: r["passed"] for r in Q.check_outputs(spark, g, out).collect()}
+    assert bad["V6c municipality file row count = gold"] is True
+    assert bad["V6d municipality file = gold in order"] is (c[0][2] == c[1][2])
+    # wrong reference values
+    ref = expected_reference(spark, SF_SMALL)
+    assert all(r["passed"] for r in Q.check_reference(g, ref).collect())
+    wrong = ref.withColumn("top_faixa_qt", F.col("top_faixa_qt") + 1).withColumn("qt_municipios", F.lit(0).cast("long"))
+    res = {r["check"]: r["passed"] for r in Q.check_reference(g, wrong).collect()}
+    assert res["V8b leading age band = reference"] is False and res["V8d municipality count = reference"] is False
+    assert res["V8a top operator = reference"] is True
+
+
+def test_leader_summary(spark, lake):
+    from tiermill.operators.ranking import leader_summary
+
+    g = load_golds(spark, f"{lake}/lake")
+    row = leader_summary(g.faixa, "qt_beneficiarios_ativos", ["de_faixa_etaria"]).collect()
+    assert len(row) == 1
+    rows = g.faixa.collect()
+    total = sum(r.qt_beneficiarios_ativos for r in rows)
+    top = sorted(rows, key=lambda r: (-r.qt_beneficiarios_ativos, r.de_faixa_etaria))[0]
+    assert (row[0].de_faixa_etaria, row[0].qt_beneficiarios_ativos) == (top.de_faixa_etaria, top.qt_beneficiarios_ativos)
+    assert row[0].participacao == pytest.approx(100.0 * top.qt_beneficiarios_ativos / total)
