@@ -58,8 +58,9 @@ def _context(spark: SparkSession):
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediates: the session's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and, where the session allows it, registered as the checkpoint directory.
+    Only when the session has none and runs in local mode (tests) is a
+    private folder created and, where the session allows it, registered as
+    the checkpoint directory; a cluster session without the setting raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -68,6 +69,12 @@ def scratch_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+            "(HDFS, object store) that every executor can write and read"
+        )
     global _LOCAL_SCRATCH
     if _LOCAL_SCRATCH is None:
         _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="tiermill-ckpt-")
