@@ -34,7 +34,8 @@ def with_position(df: DataFrame, order: list[Column], name: str = POSITION) -> D
 
     1. ``orderBy`` range-partitions and sorts (balanced by sampling).
     2. Each row records its partition and its row number inside it; the
-       tagged frame is checkpointed so both uses below see the same rows.
+       tagged frame is written to the shared scratch folder (a lineage cut),
+       so both uses below read exactly the same rows and ids.
     3. Per-partition counts (one row per partition, bounded by the shuffle
        width, not by the data) are turned into starting offsets and
        broadcast back.
