@@ -277,3 +277,14 @@ def test_leader_summary(spark, lake):
     top = sorted(rows, key=lambda r: (-r.qt_beneficiarios_ativos, r.de_faixa_etaria))[0]
     assert (row[0].de_faixa_etaria, row[0].qt_beneficiarios_ativos) == (top.de_faixa_etaria, top.qt_beneficiarios_ativos)
     assert row[0].participacao == pytest.approx(100.0 * top.qt_beneficiarios_ativos / total)
+
+
+def test_upsert_matches_null_keys_null_safely(spark, scratch):
+    from tiermill.sources.layers import write_layer
+
+    df = spark.createDataFrame([(None, "a", 1), ("x", None, 2), ("x", "b", 3)], "k1 string, k2 string, n int")
+    write_layer(df, scratch, "gold", "t")
+    new = spark.createDataFrame([(None, "a", 10), ("x", None, 20)], "k1 string, k2 string, n int")
+    upsert(spark, new, scratch, "gold", "t", ["k1", "k2"])
+    got = sorted((tuple(r) for r in spark.read.parquet(f"{scratch}/gold/t").collect()), key=str)
+    assert got == sorted([(None, "a", 10), ("x", None, 20), ("x", "b", 3)], key=str)
