@@ -27,7 +27,7 @@ from tiermill.plans.medallion import (
     upsert,
 )
 from tiermill.plans.results import result
-from tiermill.plans.workspace import Workspace, workspace
+from tiermill.plans.workspace import Workspace, workspace, workspace_frame
 from tiermill.schemas import (
     GOLD_KEYS,
     GOLD_MEASURE,
@@ -64,15 +64,33 @@ def _ws(spark: SparkSession, sf_dir: str) -> Workspace:
 
 
 def _golds(spark: SparkSession, sf_dir: str) -> Golds:
-    return load_golds(spark, _ws(spark, sf_dir).root)
+    ws = _ws(spark, sf_dir)
+    return workspace_frame(spark, ws, "golds", lambda: load_golds(spark, ws.root))
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> Golds:
-    return load_rankings(spark, _ws(spark, sf_dir).root)
+    ws = _ws(spark, sf_dir)
+    return workspace_frame(spark, ws, "rankings", lambda: load_rankings(spark, ws.root))
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_silver(spark, _ws(spark, sf_dir).root)
+    ws = _ws(spark, sf_dir)
+    return workspace_frame(spark, ws, "silver", lambda: load_silver(spark, ws.root))
+
+
+def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    return workspace_frame(spark, ws, "bronze", lambda: load_bronze(spark, ws.root))
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    return workspace_frame(spark, ws, "raw", lambda: read_raw(spark, ws.raw_path))
+
+
+def _reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = _ws(spark, sf_dir)
+    return workspace_frame(spark, ws, "reference", lambda: expected_reference(spark, ws.sf_dir))
 
 
 def _by_month(silver: DataFrame) -> DataFrame:
@@ -84,7 +102,7 @@ def _by_month(silver: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ layers --
 
 def bronze_ingest(spark, sf_dir):
-    return load_bronze(spark, _ws(spark, sf_dir).root).drop(INGESTED_AT, SOURCE_FILE)
+    return _bronze(spark, sf_dir).drop(INGESTED_AT, SOURCE_FILE)
 
 
 def silver_refine(spark, sf_dir):
@@ -189,8 +207,7 @@ def municipios_destaques(spark, sf_dir):
 # ------------------------------------------------------------------ checks --
 
 def _layers(spark, sf_dir):
-    ws = _ws(spark, sf_dir)
-    return ws, read_raw(spark, ws.raw_path), load_bronze(spark, ws.root), load_silver(spark, ws.root), load_golds(spark, ws.root)
+    return _ws(spark, sf_dir), _raw(spark, sf_dir), _bronze(spark, sf_dir), _silver(spark, sf_dir), _golds(spark, sf_dir)
 
 
 def dq_volume(spark, sf_dir):
@@ -256,18 +273,16 @@ def dq_divergent_rows(spark, sf_dir):
 
 def dq_outputs(spark, sf_dir):
     ws = _ws(spark, sf_dir)
-    return Q.check_outputs(spark, load_golds(spark, ws.root), ws.out_dir, load_rankings(spark, ws.root))
+    return Q.check_outputs(spark, _golds(spark, sf_dir), ws.out_dir, _ranked(spark, sf_dir))
 
 
 def dq_reference(spark, sf_dir):
-    return Q.check_reference(_golds(spark, sf_dir), expected_reference(spark, sf_dir))
+    return Q.check_reference(_golds(spark, sf_dir), _reference(spark, sf_dir))
 
 
 def full_report(spark, sf_dir) -> DataFrame:
     ws, raw, bronze, silver, golds = _layers(spark, sf_dir)
-    return Q.checks(
-        raw, bronze, silver, golds, ws.out_dir, expected_reference(spark, sf_dir), ranked=load_rankings(spark, ws.root)
-    )
+    return Q.checks(raw, bronze, silver, golds, ws.out_dir, _reference(spark, sf_dir), ranked=_ranked(spark, sf_dir))
 
 
 def dq_report(spark, sf_dir):

@@ -57,3 +57,19 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
 def adopt_workspace(spark: SparkSession, ws: Workspace) -> None:
     """Register an already built lake so the registered queries reuse it."""
     _BUILT[(session_id(spark), ws.sf_dir)] = ws
+
+
+_FRAMES: dict[tuple[str, str, str], object] = {}
+
+
+def workspace_frame(spark: SparkSession, ws: Workspace, name: str, build):
+    """A loaded frame of the (immutable) built lake, kept per workspace.
+
+    A scan DataFrame holds its file listing, so reusing it across queries
+    avoids listing the month folders and reading Parquet footers again;
+    the lake is never rewritten after it is built.
+    """
+    key = (session_id(spark), ws.base, name)
+    if key not in _FRAMES:
+        _FRAMES[key] = build()
+    return _FRAMES[key]

@@ -39,6 +39,10 @@ def get_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "static")
     )
+    if master.startswith("local"):
+        # One machine: listing a few hundred partition folders on the driver
+        # is cheaper than a distributed listing job (Spark's default past 32).
+        builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "1024")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
