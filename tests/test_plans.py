@@ -288,3 +288,10 @@ def test_upsert_matches_null_keys_null_safely(spark, scratch):
     upsert(spark, new, scratch, "gold", "t", ["k1", "k2"])
     got = sorted((tuple(r) for r in spark.read.parquet(f"{scratch}/gold/t").collect()), key=str)
     assert got == sorted([(None, "a", 10), ("x", None, 20), ("x", "b", 3)], key=str)
+
+
+def test_run_with_explicit_raw_schema(spark, lake, scratch):
+    run(spark, f"{lake}/raw", scratch, steps=["bronze", "silver", "gold"], raw_schema=RAW_SCHEMA)
+    a = load_golds(spark, scratch).municipio
+    b = load_golds(spark, f"{lake}/lake").municipio
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

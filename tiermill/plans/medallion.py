@@ -101,6 +101,7 @@ def run(
     gold_one_pass: bool = True,
     register: bool = False,
     gate: bool = False,
+    raw_schema=None,
 ) -> dict[str, str]:
     """Run the selected steps in order (all by default).
 
@@ -111,7 +112,9 @@ def run(
 
     ``gold_one_pass`` computes the three golds from one scan of silver
     (grouping sets), materialised once in the shared scratch folder and then
-    split; otherwise each gold scans silver on its own.
+    split; otherwise each gold scans silver on its own. ``raw_schema``
+    (e.g. :data:`tiermill.schemas.RAW_SCHEMA`) fixes the raw columns instead
+    of taking their names from the header line.
     """
     chosen = [s.lower() for s in (steps or STEPS)]
     unknown = [s for s in chosen if s not in STEPS]
@@ -124,14 +127,14 @@ def run(
         if step not in chosen:
             continue
         if step == "bronze":
-            raw = read_raw(spark, raw_path)
+            raw = read_raw(spark, raw_path, raw_schema)
             paths["bronze"] = write_layer(to_bronze(raw, source=raw_path), root, *BRONZE, fmt=fmt)
             if register:
                 register_table(spark, root, *BRONZE, fmt=fmt)
         elif step == "silver":
             bronze = load_bronze(spark, root, fmt)
             if gate:
-                quality.assert_all(quality.check_ingest(read_raw(spark, raw_path), bronze))
+                quality.assert_all(quality.check_ingest(read_raw(spark, raw_path, raw_schema), bronze))
             paths["silver"] = write_layer(
                 to_silver(bronze), root, *SILVER, partition_by=[MONTH], fmt=fmt, layout=silver_layout
             )
