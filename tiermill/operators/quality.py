@@ -6,9 +6,9 @@ detail STRING]``. The numbers behind the checks are one-row aggregates
 it needs; they are attached once as columns of one base row (silver's
 metrics row when silver figures are used) and the row is spread into check
 rows with ``inline``. :func:`checks` builds the whole suite on a single base
-row, so each source is scanned once: silver by one metrics aggregate and
-one grouping-sets recompute, bronze by one aggregate, the raw file by one
-count. Only :func:`assert_all` brings anything to the driver: the failed
+row: silver is read by one metrics aggregate and one grouping-sets
+recompute (shared by the three reconciliations), bronze by one aggregate,
+the raw file by one count. Only :func:`assert_all` brings anything to the driver: the failed
 check rows.
 """
 
