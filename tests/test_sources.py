@@ -136,3 +136,20 @@ def test_rebalance_layout_splits_hot_month(spark, scratch):
     assert back.count() == 200000 and back.select("id").distinct().count() == 200000
     files = back.filter(F.col("m") == "2025-08").select(F.input_file_name().alias("f")).groupBy("f").count().collect()
     assert len(files) >= 4  # the hot month is split over several writers
+
+
+def test_fixture_dates_ignore_session_time_zone(spark):
+    from tiermill.sources.fixture import raw_from_tpch
+
+    base = sorted(r[0] for r in raw_from_tpch(spark, "/root/testdata/sf0.001").select("DT_CARGA").collect())
+    keys = ["spark.sql.parquet.inferTimestampNTZ.enabled", "spark.sql.session.timeZone"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        raw = raw_from_tpch(spark, "/root/testdata/sf0.001")
+        shifted = sorted(r[0] for r in raw.select("DT_CARGA").collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert shifted == base

@@ -38,6 +38,20 @@ def _age_band(size: Column) -> Column:
     )
 
 
+def _wall_clock_date(df: DataFrame, name: str, spark: SparkSession) -> Column:
+    """Calendar date of a timestamp column as written in the file.
+
+    The test tables store timestamps without a time zone; Spark reads them
+    as TIMESTAMP_NTZ by default and the cast is zone-free. If a session reads
+    them as local-zone timestamps instead, the instant is shifted back to its
+    UTC wall clock first, so the date never depends on the session zone.
+    """
+    col = F.col(name)
+    if dict(df.dtypes)[name] == "timestamp":
+        col = F.to_utc_timestamp(col, spark.conf.get("spark.sql.session.timeZone"))
+    return col.cast("date")
+
+
 def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw frame (19 text columns) derived from the test tables.
 
@@ -76,7 +90,7 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     supp_code = F.col("l_suppkey").cast("string")
-    ship = F.col("l_shipdate").cast("date").cast("string")
+    ship = _wall_clock_date(joined, "l_shipdate", spark).cast("string")
     cols = [
         F.lpad(supp_code, 6, "0"),
         F.concat(F.lit(" "), F.col("s_name"), F.lit(" ")),
