@@ -295,3 +295,15 @@ def test_run_with_explicit_raw_schema(spark, lake, scratch):
     a = load_golds(spark, scratch).municipio
     b = load_golds(spark, f"{lake}/lake").municipio
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bronze_source_per_file(spark, scratch):
+    raw = raw_from_tpch(spark, SF_SMALL)
+    raw.repartition(3).write.options(**RAW_WRITE_OPTIONS).csv(f"{scratch}/raw")
+    run(spark, f"{scratch}/raw", f"{scratch}/lake", steps=["bronze"], source_per_file=True)
+    from tiermill.plans.medallion import load_bronze
+
+    sources = [r[0] for r in load_bronze(spark, f"{scratch}/lake").select("_source_file").distinct().collect()]
+    assert len(sources) == 3 and all("part-" in s for s in sources)
+    run(spark, f"{scratch}/raw", f"{scratch}/lake", steps=["bronze"])
+    assert [r[0] for r in load_bronze(spark, f"{scratch}/lake").select("_source_file").distinct().collect()] == [f"{scratch}/raw"]

@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--register", action="store_true", help="register layer tables in the session catalog")
     p.add_argument("--checks", action="store_true", help="run the validation suite afterwards")
     p.add_argument("--silver-layout", default="local", choices=["local", "rebalance", "range"])
+    p.add_argument("--source-per-file", action="store_true", help="record each row's input file in bronze")
     args = p.parse_args(argv)
 
     spark = get_session()
@@ -32,6 +33,7 @@ def main(argv: list[str] | None = None) -> int:
         paths = run(
             spark, args.raw_path, args.root, args.out_dir, [s.lower() for s in args.steps] or None,
             silver_layout=args.silver_layout, register=args.register, gate=args.gate,
+            source_per_file=args.source_per_file,
         )
     except SourceNotFound as err:
         print(f"error: {err}", file=sys.stderr)

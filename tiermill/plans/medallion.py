@@ -102,6 +102,7 @@ def run(
     register: bool = False,
     gate: bool = False,
     raw_schema=None,
+    source_per_file: bool = False,
 ) -> dict[str, str]:
     """Run the selected steps in order (all by default).
 
@@ -114,7 +115,9 @@ def run(
     (grouping sets), materialised once in the shared scratch folder and then
     split; otherwise each gold scans silver on its own. ``raw_schema``
     (e.g. :data:`tiermill.schemas.RAW_SCHEMA`) fixes the raw columns instead
-    of taking their names from the header line.
+    of taking their names from the header line. ``source_per_file``
+    records each row's own input file in ``_source_file`` (useful when the
+    raw path is a folder or glob of deliveries) instead of the path given.
     """
     chosen = [s.lower() for s in (steps or STEPS)]
     unknown = [s for s in chosen if s not in STEPS]
@@ -128,7 +131,8 @@ def run(
             continue
         if step == "bronze":
             raw = read_raw(spark, raw_path, raw_schema)
-            paths["bronze"] = write_layer(to_bronze(raw, source=raw_path), root, *BRONZE, fmt=fmt)
+            source = None if source_per_file else raw_path
+            paths["bronze"] = write_layer(to_bronze(raw, source=source), root, *BRONZE, fmt=fmt)
             if register:
                 register_table(spark, root, *BRONZE, fmt=fmt)
         elif step == "silver":
