@@ -146,3 +146,10 @@ def test_kpis_on_empty_golds(spark):
     mu = spark.createDataFrame([], f"cd_municipio string, nm_municipio string, {QT} long")
     rows = R.kpis(ops, fx, mu).collect()
     assert len(rows) == 1 and (rows[0].n_operadoras, rows[0].n_municipios, rows[0].faixa_lider) == (0, 0, None)
+
+
+def test_search_is_literal_and_case_insensitive(spark):
+    df = spark.createDataFrame([("1", "NATION_1"), ("2", "NATIONX1"), ("3", "nation_10"), ("4", "50%_off")],
+                               "cd_municipio string, nm_municipio string")
+    assert sorted(r.cd_municipio for r in R.search(df, "nm_municipio", "nation_1").collect()) == ["1", "3"]
+    assert [r.cd_municipio for r in R.search(df, "nm_municipio", "%_").collect()] == ["4"]
