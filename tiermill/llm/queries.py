@@ -4,13 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import langid, quality
+from tiermill.llm import langid, packing, quality, spotsigs, toxicity
 from tiermill.llm.common import crc_of_id, read_table
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spotsigs.fingerprint_with_next(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("length_class", spotsigs.length_class(F.col("n_signatures")))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(crc_of_id("doc_id") % 3 != 1))
+    return quality.score(docs, model).select(
+        "doc_id", (crc_of_id("doc_id") % 3 == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(read_table(spark, sf_dir, "documents"), path, capacity=4096, end_id=2)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(crc_of_id("doc_id") % 5 != 0))
@@ -29,6 +49,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spotsigs": op1_spotsigs,
+    "op4_toxicity": op4_toxicity,
+    "op6_packing": op6_packing,
     "op8_quality": op8_quality,
     "op10_language_id": op10_language_id,
 }
