@@ -212,24 +212,17 @@ def smallest_reachable(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     for _ in range(max_rounds):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("n"), F.least("m", "a").alias("m")
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = cut_lineage(
+            both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         )
-        large = both.join(low, both["a"] == low["n"]).where(F.col("b") > F.col("n")).select(
-            F.col("b").alias("a"), F.col("m").alias("b")
-        ).distinct()
-        large = cut_lineage(large)
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
-        joined = large.join(low, large["a"] == low["n"])
-        small = (
-            joined.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(low.select(F.col("n").alias("a"), F.col("m").alias("b")))
-            .where("a <> b").distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = cut_lineage(
+            large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .union(low.toDF("a", "b")).where("a <> b").distinct()
         )
-        small = cut_lineage(small)
         # done when every node hangs on a root that hangs on nothing
-        roots = small.select("b").distinct()
-        deep = small.join(roots, small["a"] == roots["b"], "left_semi").limit(1).count()
+        deep = small.select("a").join(small.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count()
         multi = small.groupBy("a").count().where("count > 1").limit(1).count()
         edges = small
         if not deep and not multi:

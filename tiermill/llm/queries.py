@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import langid, packing, quality, spotsigs, toxicity
+from tiermill.llm import langid, ngram_join, packing, quality, spotsigs, toxicity
 from tiermill.llm.common import crc_of_id, read_table
 
 
@@ -26,6 +26,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(read_table(spark, sf_dir, "documents"), path, capacity=4096, end_id=2)
@@ -51,6 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op4_toxicity": op4_toxicity,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
     "op8_quality": op8_quality,
     "op10_language_id": op10_language_id,
