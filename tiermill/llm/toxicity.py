@@ -163,7 +163,7 @@ def fit(
     drawn = sample_per_class(known, "id", F.col("y"), per_class, 2, seed).select("id", "label")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         F.octet_length("text") <= max_text_bytes)
-    got = sorted((r["id"], r["label"], r["text"]) for r in texts.join(drawn, "id").select("id", "label", "text").collect())
+    got = sorted((r["id"], r["label"], r["text"]) for r in texts.join(F.broadcast(drawn), "id").select("id", "label", "text").collect())
     y = np.array([r[1] for r in got], np.float64)
     one = np.zeros((1, 1), np.float32)
     if len(set(y)) < 2:
