@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import langid, ngram_join, packing, quality, spotsigs, suffix_dedup, toxicity
+from tiermill.llm import langid, ngram_join, packing, quality, sharding, spotsigs, suffix_dedup, toxicity
 from tiermill.llm.common import crc_of_id, read_table
 
 
@@ -21,6 +21,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(read_table(spark, sf_dir, "documents"), length=400, keep="none")
 
 
+def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_rows(read_table(spark, sf_dir, "documents"), shards=24)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(crc_of_id("doc_id") % 3 != 1))
@@ -60,6 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_label_propagation": op3_label_propagation,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
