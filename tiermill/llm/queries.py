@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import langid, ngram_join, packing, quality, sharding, spotsigs, suffix_dedup, toxicity
+from tiermill.llm import decontamination, langid, ngram_join, packing, quality, sharding, spotsigs, suffix_dedup, toxicity
 from tiermill.llm.common import crc_of_id, read_table
 
 
@@ -44,6 +44,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), path, capacity=4096, end_id=2)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(crc_of_id("doc_id") % 5 != 0))
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
+    "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
     "op10_language_id": op10_language_id,
 }
