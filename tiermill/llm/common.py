@@ -177,14 +177,18 @@ def group_sums(values: np.ndarray, bounds: np.ndarray, op=np.add, empty=0) -> np
 # -- rows ----------------------------------------------------------------
 
 
-def with_key(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
-    """(key, id, text, others): ``key`` tells rows apart, ``id`` is the caller's.
+def with_key(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> DataFrame:
+    """(key, id, text) and, if asked, ``rest``, a struct of all other columns.
 
-    Ids that are unique and not null are the keys themselves. Otherwise the
-    rows are written once with a number each, so that repeated rows stay
-    separate documents, and every later read sees the same numbers.
+    ``key`` tells rows apart, ``id`` is the caller's. Ids that are unique and
+    not null are the keys themselves. Otherwise the rows are written once with
+    a number each, so that repeated rows stay separate documents, and every
+    later read sees the same numbers.
     """
-    cols = [docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), *(docs[c] for c in others)]
+    cols = [docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")]
+    if rest:
+        others = [docs[c] for c in docs.columns if c not in (id_col, text_col)]
+        cols.append(F.struct(*others).alias("rest") if others else F.lit(None).cast("string").alias("rest"))
     rows = docs.select(*cols)
     seen = docs.select(docs[id_col].cast("long").alias("id")).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("d")
@@ -194,6 +198,21 @@ def with_key(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataF
     return cut_lineage(rows.select(F.monotonically_increasing_id().alias("key"), "*"))
 
 
+def without_key(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of :func:`with_key` (with ``rest``) as rows of ``docs`` again."""
+    place = {id_col: F.col("id").cast(docs.schema[id_col].dataType), text_col: F.col("text")}
+    return rows.select(*[(place[c] if c in place else F.col("rest")[c]).alias(c) for c in docs.columns])
+
+
+#: A list of at most so many keys (8 bytes each) is sent to all tasks; a longer one is joined by a shuffle.
+SEND_KEYS = 500_000
+
+
+def sendable(keys: DataFrame) -> DataFrame:
+    """A written list of keys, marked to be sent to all tasks if it is counted to be short enough."""
+    return F.broadcast(keys) if keys.count() <= SEND_KEYS else keys
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -37,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import ascii_lower, mix64, slices, span_hashes, utf8_view, word_shingles
+from tiermill.llm.common import ascii_lower, mix64, sendable, slices, span_hashes, utf8_view, word_shingles
+from tiermill.session import cut_lineage
 
 BITS = 128
 RADIUS = 47
@@ -215,4 +216,4 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no item (rows with a null id always stay)."""
     bad = leaks(docs.select(id_col, text_col), benchmark, threshold, k, id_col, text_col).select(id_col).dropna().distinct()
-    return docs.join(bad, id_col, "left_anti")
+    return docs.join(sendable(cut_lineage(bad)), id_col, "left_anti")

@@ -209,16 +209,15 @@ def fit(
 
 
 def identify(
-    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
-    keep: tuple[str, ...] = (),
+    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, ``keep``, lang_pred, score, rejected) of each row of ``docs``.
+    """(id_col, lang_pred, score, rejected) of each row of ``docs``.
 
     ``lang_pred`` is the likeliest language, also of a rejected text, but
     ``und`` (score 0, rejected) for a text without a letter. ``rejected`` is
     set where the calibrated probability is under the model's floor.
     """
-    cols = docs.select(id_col, *keep, F.col(text_col).alias("_text"))
+    cols = docs.select(id_col, F.col(text_col).alias("_text"))
     schema = cols.drop("_text").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     names = np.array([*model.langs, UNDETERMINED], dtype=object)
 
@@ -233,11 +232,26 @@ def identify(
                 found = has_letter(part, off)
                 best[a:b] = np.where(found, p.argmax(axis=1), len(model.langs))
                 prob[a:b] = np.where(found, p.max(axis=1), 0.0)
-            rest = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "_text"]
             yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(names[best], pa.string()), pa.array(prob, pa.float64()),
+                [batch.column(0), pa.array(names[best], pa.string()), pa.array(prob, pa.float64()),
                  pa.array((best == len(model.langs)) | (prob < model.floor))],
                 names=schema.names,
             )
 
     return cols.mapInArrow(score, schema)
+
+
+def accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language the model does not reject, as they are."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8_view(batch.column(0).field(text_col))
+            keep = np.zeros(batch.num_rows, bool)
+            for a, b in slices(offsets) if model.langs else ():
+                part, off = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                keep[a:b] = has_letter(part, off) & (model.probabilities(part, off).max(axis=1) >= model.floor)
+            yield batch.filter(pa.array(keep))
+
+    return rows.mapInArrow(sift, rows.schema).select("row.*")

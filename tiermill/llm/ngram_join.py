@@ -45,18 +45,18 @@ from tiermill.llm.common import (
     distinct_by_row,
     group_sums,
     mix64,
+    sendable,
     slices,
     smallest_reachable,
     span_hashes,
     utf8_view,
     with_key,
+    without_key,
     word_shingles,
     word_spans,
 )
 from tiermill.session import cut_lineage
 
-#: A member list of at most so many keys (8 bytes each) is sent to all tasks; a longer one is joined by a shuffle.
-SEND_KEYS = 500_000
 #: N-grams in this share of the documents or more go last in the order; at most its inverse times the mean set size.
 FREQUENT = 1 / 400
 
@@ -173,9 +173,7 @@ def _may_link(percent: int):
 
 def _sets_of(rows: DataFrame, keys: DataFrame, words: int) -> DataFrame:
     """(key, elements) of the rows with these keys; elements: sorted 64-bit n-gram hashes."""
-    keys = cut_lineage(keys.distinct())
-    few = keys.count() <= SEND_KEYS
-    wanted = rows.select("key", "text").join(F.broadcast(keys) if few else keys, "key", "left_semi")
+    wanted = rows.select("key", "text").join(sendable(cut_lineage(keys.distinct())), "key", "left_semi")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, a, n, row, h in _per_slice(batches, words):
@@ -214,14 +212,11 @@ def _links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "linked", F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * percent)
 
 
-def components(
-    docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(key, id, n, component, component_id): the set size and the component of every row.
+def components(rows: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(key, id, n, component, component_id) of (key, id, text) rows: the set size and the component.
 
     ``component`` is the smallest key in it, ``component_id`` the smallest id.
     """
-    rows = with_key(docs, id_col, text_col)
     feat = cut_lineage(features(rows, words, percent, frequent_shingles(rows, words)))
     full = feat.where("n > 0")
     classes = cut_lineage(full.groupBy("h1", "h2").agg(F.min("key").alias("rep")))
@@ -286,8 +281,9 @@ def components(
 def one_per_component(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest (null ids: each row its own)."""
-    found = components(docs.select(id_col, text_col), words, percent, id_col, text_col)
-    drop = found.where("id <> component_id").select(F.col("id").alias(id_col)).distinct()
-    kept = docs.join(drop, id_col, "left_anti")
-    return kept
+    """The rows of ``docs`` but for all of a component except one, of the smallest id."""
+    rows = with_key(docs, id_col, text_col, rest=True)
+    found = components(rows, words, percent)
+    stays = F.min_by("key", F.struct(F.isnull("id"), "id", "key")).alias("stays")
+    drop = found.join(found.groupBy("component").agg(stays), "component").where("key <> stays").select("key")
+    return without_key(rows.join(sendable(cut_lineage(drop)), "key", "left_anti"), docs, id_col, text_col)

@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import decontamination, langid, ngram_join, packing, quality, sharding, spotsigs, suffix_dedup, toxicity
-from tiermill.llm.common import crc_of_id, read_table
+from tiermill.llm import (
+    decontamination,
+    html_text,
+    langid,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    spotsigs,
+    suffix_dedup,
+    toxicity,
+)
+from tiermill.llm.common import crc_of_id, read_table, with_key
 
 
 def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +46,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ngram_join.components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+    rows = with_key(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = ngram_join.components(rows, words=4, percent=85)
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
@@ -57,6 +69,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(crc_of_id("doc_id") % 5 != 0))
@@ -74,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
+    "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
 }
 

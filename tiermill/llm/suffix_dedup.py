@@ -40,11 +40,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import SLICE_BYTES, _powers, mix64, slices, utf8_view, with_key
+from tiermill.llm.common import (
+    SLICE_BYTES,
+    _powers,
+    mix64,
+    sendable,
+    slices,
+    utf8_view,
+    with_key,
+    without_key,
+)
 from tiermill.session import cut_lineage
 
-#: A member list of at most so many keys (8 bytes each) is sent to all tasks; a longer one is joined by a shuffle.
-SEND_KEYS = 500_000
 _PLACE = 22  # bits of a place inside a slice; the rest of a word orders grams
 
 
@@ -217,7 +224,7 @@ def removal_ranges(
     rows: DataFrame, length: int, keep: str, gram: int | None = None, group_limit: int = 2000,
     task_bytes: int = 2 << 20,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(ranges, held, rest) of (key, text) rows.
+    """(ranges, held, rest) of rows with key and text, and whatever else.
 
     ``ranges``: (key, lo, hi) of bytes to remove, they may overlap and pass
     the text's end. ``held``: the rows that may have ranges, written once.
@@ -240,10 +247,8 @@ def removal_ranges(
     # one of each context below a gram that has several
     several = groups.where("contexts > 1" if keep == "first" else "contexts > 1 and fewest = 1")
     mine = context.join(several, "kh").select("kh", "contexts", "first.key", "first.pos")
-    keys = cut_lineage(found.select("key").distinct())
-    few = keys.count() <= SEND_KEYS
-    keys = F.broadcast(keys) if few else keys
-    held = cut_lineage(rows.select("key", "text").join(keys, "key", "left_semi"))
+    keys = sendable(cut_lineage(found.select("key").distinct()))
+    held = cut_lineage(rows.join(keys, "key", "left_semi"))
     rest = rows.join(keys, "key", "left_anti")
     asked = mine.groupBy("key").agg(F.collect_list(F.struct("pos", "kh", "contexts")).alias("places"))
 
@@ -322,20 +327,19 @@ def _range_rows(todo: list[tuple], length: int, keep: str) -> Iterator[pa.Record
         yield pa.RecordBatch.from_pandas(pd.DataFrame(found, columns=["key", "lo", "hi"]).astype("int64"), preserve_index=False)
 
 
-def _with_ranges(rows: DataFrame, length: int, keep: str) -> DataFrame:
-    """(key, text, ranges): ``ranges`` is null where nothing goes."""
-    ranges, held, rest = removal_ranges(rows.select("key", "text"), length, keep)
+def _with_ranges(rows: DataFrame, length: int, keep: str) -> tuple[DataFrame, DataFrame]:
+    """(held, rest): the rows with a repeated gram, with their ``ranges`` (null if none go), and the others."""
+    ranges, held, rest = removal_ranges(rows, length, keep)
     of_row = cut_lineage(ranges).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    none = F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>")
-    return held.join(of_row, "key", "left").select("key", "text", "ranges").union(
-        rest.select("key", "text", none.alias("ranges")))
+    return held.join(of_row, "key", "left"), rest
 
 
 def digest(docs: DataFrame, length: int = 400, keep: str = "none", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    keyed = with_key(docs, id_col, text_col)
-    named = _with_ranges(keyed, length, keep)
-    schema = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    held, rest = _with_ranges(with_key(docs, id_col, text_col), length, keep)
+    none = F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>")
+    rows = held.select("id", "text", "ranges").union(rest.select("id", "text", none.alias("ranges")))
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,22 +357,9 @@ def digest(docs: DataFrame, length: int = 400, keep: str = "none", id_col: str =
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())],
-                names=["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    out = named.mapInArrow(apply, schema)
-    return _named(out, keyed, id_col)
-
-
-def _named(out: DataFrame, keyed: DataFrame, id_col: str) -> DataFrame:
-    """Keys back to ids; where they are the same, no join is needed."""
-    if keyed.select("key").schema and _key_is_id(keyed):
-        return out.withColumnRenamed("key", id_col)
-    return out.join(keyed.select("key", "id"), "key").drop("key").withColumnRenamed("id", id_col).select(
-        id_col, *[c for c in out.columns if c != "key"])
+                names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-
-def _key_is_id(keyed: DataFrame) -> bool:
-    return keyed.where("id is null or id <> key").limit(1).count() == 0
+    return rows.mapInArrow(apply, schema).withColumnRenamed("id", id_col)
 
 
 def remove_repeats(docs: DataFrame, length: int, keep: str = "first", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -376,30 +367,30 @@ def remove_repeats(docs: DataFrame, length: int, keep: str = "first", id_col: st
 
     A removed range shrinks to whole UTF-8 characters. A null text stays null.
     """
-    numbered = with_key(docs, id_col, text_col, *[c for c in docs.columns if c not in (id_col, text_col)])
-    numbered = numbered if _key_is_id(numbered) else cut_lineage(numbered)
-    named = _with_ranges(numbered, length, keep)
+    rows = with_key(docs, id_col, text_col, rest=True)
+    held, rest = _with_ranges(rows, length, keep)
+    names = ["key", "id", "text", "rest"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8_view(batch.column(1))
+            data, offsets = utf8_view(batch.column(2))
             texts = []
-            for i, lists in enumerate(batch.column(2).to_pylist()):
+            for i, lists in enumerate(batch.column(4).to_pylist()):
                 text = data[offsets[i] : offsets[i + 1]].tobytes()
                 a, b = _covered(lists, len(text))
                 parts, at = [], 0
                 for lo, hi in zip(a.tolist(), b.tolist(), strict=True):
                     while lo < hi and text[lo] & 0xC0 == 0x80:
                         lo += 1
-                    while hi < len(text) and hi > lo and text[hi] & 0xC0 == 0x80:
+                    while lo < hi < len(text) and text[hi] & 0xC0 == 0x80:
                         hi -= 1
                     parts.append(text[at:lo])
-                    at = max(at, hi)
+                    at = hi
                 texts.append(b"".join([*parts, text[at:]]).decode())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["key", "text_"])
+            columns = [pa.array(texts, pa.string()) if i == 2 else batch.column(i) for i in range(4)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    changed = named.where("ranges is not null").mapInArrow(apply, "key long, text_ string")
-    changed = cut_lineage(changed.withColumn("hit", F.lit(True)))
-    out = numbered.join(changed, "key", "left").withColumn("text", F.when(F.col("hit"), F.col("text_")).otherwise(F.col("text")))
-    return out.select(*[F.col("id").alias(id_col) if c == id_col else F.col("text").alias(text_col) if c == text_col
-                        else F.col(c) for c in docs.columns])
+    schema = rows.select(*names).schema
+    changed = held.where("ranges is not null").select(*names, "ranges").mapInArrow(apply, schema)
+    same = held.where("ranges is null").select(*names).union(rest.select(*names))
+    return without_key(changed.union(same), docs, id_col, text_col)
