@@ -19,6 +19,7 @@ and an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -41,47 +42,56 @@ class WordEncoder:
     punctuation, which the tokenizer splits as well.
     """
 
-    _PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,!?;:|%*&$#]*)")
+    _MARKS = ".,!?;:|%*&$#"
+    _LATIN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 500_000, remember_parts: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.remember = remember
+        self.remember, self.remember_parts = remember, remember_parts
         self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        # a plain word needs no splitting or composing: its bytes go to the tokenizer's model at once
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.as_symbols = {b: 256 + i for i, b in enumerate(others)}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        symbols = word.encode().decode("latin-1").translate(self.as_symbols)
+        ids = [token.id for token in self.tokenizer.model.tokenize(symbols)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, missing: set[str]) -> None:
-        if len(self.chunks) > self.remember:
-            self.chunks.clear()
-        if len(self.parts) > self.remember:
-            self.parts = {"": b""}
-        plain, odd, new = [], [], set()
+        odd, parts = [], self.parts
+        if len(parts) > self.remember_parts:
+            parts.clear()
+            parts[""] = b""
         for chunk in missing:
-            m = self._PLAIN.fullmatch(chunk)
-            if m:
-                pair = (m[1].lower(), m[2])
-                plain.append((chunk, pair))
-                new.update(p for p in pair if p not in self.parts)
-            else:
+            word = chunk.rstrip(self._MARKS)
+            if not (word.isalpha() and (word.isascii() or self._LATIN.fullmatch(word))):
                 odd.append(chunk)
-        ordered = list(new)
-        self.parts.update(zip(ordered, self._whole(ordered), strict=True))
-        for chunk, (word, mark) in plain:
-            self.chunks[chunk] = self.parts[word] + self.parts[mark]
-        self.chunks.update(zip(odd, self._whole(odd), strict=True))
+                continue
+            word, mark = word.lower(), chunk[len(word) :]
+            if word not in parts:
+                parts[word] = self._word(word)
+            if mark not in parts:
+                parts[mark] = self._whole([mark])[0]
+            self.chunks[chunk] = parts[word] + parts[mark]
+        if odd:
+            self.chunks.update(zip(odd, self._whole(odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         known = self.chunks
-        missing = {c for words in split for c in words if c not in known}
+        if len(known) > self.remember:
+            known.clear()
+        missing = set().union(*split).difference(known)
         if missing:
             self._learn(missing)
-            if any(c not in known for words in split for c in words):  # the table was emptied
-                self._learn({c for words in split for c in words if c not in known})
         get = known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
