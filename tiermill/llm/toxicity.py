@@ -35,6 +35,8 @@ from tiermill.llm.langid import sample_per_class
 
 DECAY = 0.7
 FLOOR = 0.55
+#: Landmarks that share a bound.
+_GROUP = 8
 #: Places of the second and third character after the first.
 _GAPS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
 _SIZE = 1 << 15
@@ -92,17 +94,47 @@ def _read(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
     return Words.of(_SYMBOL[data[places]], n), bounds
 
 
-def likeness(table: np.ndarray, bound: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(texts, landmarks): likeness of each text's nearest word, less the floor."""
+@dataclass(frozen=True)
+class Landmarks:
+    """Kernel features of the landmarks (a column each), and their greatest by group and over all."""
+
+    table: np.ndarray
+    group: np.ndarray
+    bound: np.ndarray
+
+    @classmethod
+    def of(cls, strings: list[np.ndarray]) -> Landmarks:
+        table = _table(strings)
+        table /= (table**2).sum(axis=0)  # a landmark's likeness to itself is 1
+        group = np.stack([table[:, a : a + _GROUP].max(axis=1) for a in range(0, len(strings), _GROUP)], 1)
+        return cls(table, group, table.max(axis=1))
+
+
+def likeness(landmarks: Landmarks, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(texts, landmarks): likeness of each text's nearest word, less the floor.
+
+    A word goes on only where its bound, first over all landmarks and then
+    over a group of them, reaches the floor.
+    """
     words, bounds = _read(data, offsets)
-    near = np.flatnonzero(words.sums(bound) >= FLOOR)
-    out = np.zeros((len(offsets) - 1, table.shape[1]), np.float32)
+    near = np.flatnonzero(words.sums(landmarks.bound) >= FLOOR)
+    out = np.zeros((len(offsets) - 1, landmarks.table.shape[1]), np.float32)
     if not len(near):
         return out
     code = span_hashes(words.symbols.astype(np.uint8), words.at[near], words.at[near + 1])
     _, first, back = np.unique(code, return_index=True, return_inverse=True)
-    found = np.clip(words.pick(near[first]).sums(table) - FLOOR, 0, 1)
-    return group_sums(found[back], np.searchsorted(near, bounds), np.maximum)
+    distinct = words.pick(near[first])
+    reach = distinct.sums(landmarks.group) >= FLOOR
+    text = np.searchsorted(bounds, near, side="right") - 1
+    for g in np.flatnonzero(reach.any(axis=0)):
+        these = np.flatnonzero(reach[:, g])
+        columns = slice(g * _GROUP, (g + 1) * _GROUP)
+        found = np.clip(distinct.pick(these).sums(landmarks.table[:, columns]) - FLOOR, 0, 1)
+        nth = np.full(len(first), -1)
+        nth[these] = np.arange(len(these))
+        mine = np.flatnonzero(nth[back] >= 0)
+        out[:, columns] = group_sums(found[nth[back[mine]]], np.searchsorted(text[mine], np.arange(len(out) + 1)), np.maximum)
+    return out
 
 
 def _candidates(words: Words, bounds: np.ndarray, y: np.ndarray, size: int, least: int) -> list[tuple[float, tuple]]:
@@ -112,9 +144,9 @@ def _candidates(words: Words, bounds: np.ndarray, y: np.ndarray, size: int, leas
     for j in range(size):
         code = (code << 5) | words.symbols[i + j]
     text = np.searchsorted(words.at[bounds], i, side="right") - 1
-    pairs = np.unique(np.stack([code, text], 1), axis=0)
-    codes, back = np.unique(pairs[:, 0], return_inverse=True)
-    label = y[pairs[:, 1]]
+    pairs = np.unique(code << 32 | text)
+    codes, back = np.unique(pairs >> 32, return_inverse=True)
+    label = y[pairs & 0xFFFFFFFF]
     pos, all_ = np.bincount(back, label), np.bincount(back)
     n1, n = y.sum(), len(y)
     p, q = (pos + 0.5) / (n1 + 1), (all_ - pos + 0.5) / (n - n1 + 1)
@@ -126,8 +158,7 @@ def _candidates(words: Words, bounds: np.ndarray, y: np.ndarray, size: int, leas
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    table: np.ndarray
-    bound: np.ndarray
+    landmarks: Landmarks | None
     weights: np.ndarray
     bias: float
     sigmoid: tuple[float, float]
@@ -136,7 +167,7 @@ class ToxicityModel:
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(offsets) - 1, self.constant)
-        z = likeness(self.table, self.bound, data, offsets) @ self.weights + self.bias
+        z = likeness(self.landmarks, data, offsets) @ self.weights + self.bias
         a, b = self.sigmoid
         return 1 / (1 + np.exp(-np.clip(a * z + b, -40, 40)))
 
@@ -147,9 +178,9 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    per_class: int = 2500,
-    max_text_bytes: int = 1 << 13,
-    landmarks: int = 160,
+    per_class: int = 3000,
+    max_text_bytes: int = 1 << 12,
+    landmarks: int = 96,
     ridge: float = 1e-3,
     seed: int = 5,
 ) -> ToxicityModel:
@@ -163,11 +194,16 @@ def fit(
     drawn = sample_per_class(known, "id", F.col("y"), per_class, 2, seed).select("id", "label")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         F.octet_length("text") <= max_text_bytes)
-    got = sorted((r["id"], r["label"], r["text"]) for r in texts.join(F.broadcast(drawn), "id").select("id", "label", "text").collect())
+    got = texts.join(F.broadcast(drawn), "id").select("id", "label", "text").collect()
+    return fit_texts(sorted((r["id"], r["label"], r["text"]) for r in got), landmarks, ridge)
+
+
+def fit_texts(got: list[tuple], landmarks: int = 96, ridge: float = 1e-3) -> ToxicityModel:
+    """Fit on (id, label, text) triples in memory."""
     y = np.array([r[1] for r in got], np.float64)
-    one = np.zeros((1, 1), np.float32)
+    one = np.zeros(1, np.float32)
     if len(set(y)) < 2:
-        return ToxicityModel(one, one, one, 0.0, (1.0, 0.0), float(y.mean()) if len(y) else 0.5)
+        return ToxicityModel(None, one, 0.0, (1.0, 0.0), float(y.mean()) if len(y) else 0.5)
     raw = [r[2].encode() for r in got]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     words, bounds = _read(data, offsets)
@@ -183,19 +219,19 @@ def fit(
             chosen.append(np.array(string, np.int32))
             columns = np.hstack([columns, new / norm])
     if not chosen:
-        return ToxicityModel(one, one, one, 0.0, (1.0, 0.0), float(y.mean()))
-    table = _table(chosen)
-    table /= (table**2).sum(axis=0)  # a landmark's likeness to itself is 1
-    bound = table.max(axis=1)
+        return ToxicityModel(None, one, 0.0, (1.0, 0.0), float(y.mean()))
+    order = sorted(range(len(chosen)), key=lambda j: chosen[j].tolist())  # like ones share a bound
+    chosen, columns = [chosen[j] for j in order], columns[:, order]
+    marks = Landmarks.of(chosen)
     parts = [(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
-    x = np.vstack([likeness(table, bound, *p) for p in parts]).astype(np.float64)
+    x = np.vstack([likeness(marks, *p) for p in parts]).astype(np.float64)
     values, vectors = np.linalg.eigh(columns.T.astype(np.float64) @ columns)
     nystroem = vectors @ np.diag(np.maximum(values, 1e-3) ** -0.5) @ vectors.T
     f = x @ nystroem
     held = np.arange(len(y)) % 5 == 0
     w, b = _squared_hinge(f[~held], 2 * y[~held] - 1, ridge)
     z = f @ w + b
-    return ToxicityModel(table, bound, (nystroem @ w).astype(np.float32), b, _platt(z[held], y[held]))
+    return ToxicityModel(marks, (nystroem @ w).astype(np.float32), b, _platt(z[held], y[held]))
 
 
 def _squared_hinge(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 40) -> tuple[np.ndarray, float]:
