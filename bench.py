@@ -22,7 +22,7 @@ from tiermill.plans.catalogue import QUERIES  # noqa: E402
 from tiermill.plans.medallion import run  # noqa: E402
 from tiermill.plans.workspace import Workspace, adopt_workspace  # noqa: E402
 from tiermill.session import get_session, new_scratch_path  # noqa: E402
-from tiermill.sources.fixture import raw_file_count, raw_from_tpch, write_raw_csv  # noqa: E402
+from tiermill.sources.fixture import raw_from_tpch, write_raw_csv  # noqa: E402
 
 HEADLINE = [
     "a_top5_operadoras",
@@ -54,7 +54,7 @@ def main() -> None:
 
     ws = Workspace(sf_dir, new_scratch_path(spark, "bench"))
     t = time.perf_counter()
-    write_raw_csv(raw_from_tpch(spark, sf_dir), ws.raw_path, files=raw_file_count(spark, sf_dir))
+    write_raw_csv(raw_from_tpch(spark, sf_dir), ws.raw_path)
     timings["fixture_raw_csv"] = time.perf_counter() - t
 
     for step in ("bronze", "silver", "gold", "results"):

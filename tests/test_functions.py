@@ -44,13 +44,14 @@ def test_visible_digits(spark):
 
 
 def test_format_thousands_and_percent(spark):
-    df = spark.createDataFrame([(1524135, 31.254), (0, 0.0), (999, 100.0), (12, 31.25)], "n long, p double")
+    df = spark.createDataFrame([(1524135, 31.254), (0, 0.0), (999, 100.0), (12, 31.25), (7, 0.15)], "n long, p double")
     rows = df.select(format_thousands("n"), format_percent("p", 2), format_percent("p", 1)).collect()
     assert [tuple(r) for r in rows] == [
         ("1.524.135", "31,25%", "31,3%"),
         ("0", "0,00%", "0,0%"),
         ("999", "100,00%", "100,0%"),
-        ("12", "31,25%", "31,3%"),
+        ("12", "31,25%", "31,2%"),  # a tie goes to the even digit
+        ("7", "0,15%", "0,1%"),  # 0.15 is a little less in binary
     ]
 
 

@@ -3,10 +3,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiermill.plans import RESULTS, load_golds, load_month, load_silver, result, run, upsert
-from tiermill.plans.medallion import SILVER
+from tiermill.operators.layers import to_bronze
+from tiermill.plans.medallion import BRONZE, SILVER, DuplicateKeys, WrongMonth, _touched, load_bronze
 from tiermill.schemas import RAW_SCHEMA, SILVER_SCHEMA
 from tiermill.sources.fixture import RAW_WRITE_OPTIONS, raw_from_tpch, write_raw_csv
-from tiermill.sources.layers import list_tables
+from tiermill.sources.layers import list_tables, write_layer
+from tiermill.sources.raw_csv import read_raw
 from tiermill.streaming import stream_ingest
 
 from conftest import SF_SMALL, local_path
@@ -92,10 +94,86 @@ def test_load_month_keeps_other_months(spark, lake, scratch):
     month = max(before)
     batch = load_silver(spark, f"{lake}/lake").filter(F.col("id_cmpt_movel") == month).limit(1)
     for _ in range(2):  # loading the same month twice gives the same state
-        load_month(batch, scratch)
+        load_month(batch, scratch, month)
     after = {r[0]: r[1] for r in load_silver(spark, scratch).groupBy("id_cmpt_movel").count().collect()}
     assert after[month] == 1
     assert {k: v for k, v in after.items() if k != month} == {k: v for k, v in before.items() if k != month}
+    # a stray row of another month is refused, or left out on request
+    both = batch.unionByName(silver.filter(F.col("id_cmpt_movel") == min(before)).limit(1))
+    with pytest.raises(WrongMonth):
+        load_month(both, scratch, month)
+    load_month(both, scratch, month, only=True)
+    assert load_silver(spark, scratch).filter(F.col("id_cmpt_movel") == min(before)).count() == before[min(before)]
+    with pytest.raises(ValueError, match="layout"):
+        load_month(batch, scratch, month, layout="unknown")
+
+
+def test_upsert_keeps_other_rows_of_the_null_partition(spark, scratch):
+    import os
+
+    from tiermill.sources.layers import write_layer
+
+    schema = "m string, k int, n int"
+    rows = [(None, 1, 1), (None, 2, 2), ("a", 1, 3), ("b", 1, 4)]
+    write_layer(spark.createDataFrame(rows, schema), scratch, "gold", "p", partition_by=["m"])
+    upsert(spark, spark.createDataFrame([(None, 1, 9)], schema), scratch, "gold", "p", ["m", "k"], partition_by=["m"])
+    got = sorted((r["m"] or "", r["k"], r["n"]) for r in spark.read.parquet(f"{scratch}/gold/p").collect())
+    assert got == [("", 1, 9), ("", 2, 2), ("a", 1, 3), ("b", 1, 4)]
+    assert [d for d in os.listdir(local_path(f"{scratch}/gold")) if "staging" in d] == []
+    twice = spark.createDataFrame([("a", 1, 5), ("a", 1, 6)], schema)
+    with pytest.raises(DuplicateKeys):
+        upsert(spark, twice, scratch, "gold", "p", ["m", "k"], partition_by=["m"])
+
+
+def test_upsert_reads_only_touched_partitions(spark, lake):
+    silver = load_silver(spark, f"{lake}/lake")
+    batch = silver.filter(F.col("id_cmpt_movel") == "1995-03")
+    plan = _touched(silver, batch, ["id_cmpt_movel"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "1995-03" in plan
+
+
+def test_stream_after_batch_load_hides_nothing(spark, scratch):
+    raw = raw_from_tpch(spark, SF_SMALL).limit(30)
+    write_layer(to_bronze(raw, source="batch"), scratch, *BRONZE)
+    write_raw_csv(raw.limit(10), f"{scratch}/in/a")
+    for _ in range(2):
+        stream_ingest(spark, f"{scratch}/in/*", f"{scratch}/{'/'.join(BRONZE)}", f"{scratch}/ck")
+    assert load_bronze(spark, scratch).count() == 40
+
+
+def test_a_file_with_other_column_order_is_an_error(spark, scratch):
+    raw = raw_from_tpch(spark, SF_SMALL).limit(5)
+    write_raw_csv(raw, f"{scratch}/in/a")
+    write_raw_csv(raw.select(*raw.columns[1::-1], *raw.columns[2:]).hint("rebalance", "ID_CMPT_MOVEL"), f"{scratch}/in/b")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, f"{scratch}/in/*", RAW_SCHEMA).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, f"{scratch}/in/*").collect()
+
+
+def test_a_null_outcome_or_no_check_is_not_a_pass(spark):
+    from tiermill.operators.quality import ChecksFailed, assert_all, summary
+
+    schema = "check string, passed boolean, detail string"
+    good, unknown = ("a", True, ""), ("b", None, "")
+    assert_all(spark.createDataFrame([good], schema))
+    for rows in ([good, unknown], []):
+        frame = spark.createDataFrame(rows, schema)
+        with pytest.raises(ChecksFailed):
+            assert_all(frame)
+        assert summary(frame).first()["all_passed"] is False
+
+
+def test_command_line_keeps_the_submitted_session_and_runs_the_whole_suite(spark, lake, scratch, capsys):
+    from tiermill.__main__ import main
+    from tiermill.sources.fixture import expected_reference
+
+    expected_reference(spark, SF_SMALL).write.json(f"{scratch}/reference")
+    width, master = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.master
+    code = main([f"{lake}/raw", f"{scratch}/lake", f"{scratch}/out", "--checks", "--show", "--reference", f"{scratch}/reference"])
+    out = capsys.readouterr().out
+    assert code == 0 and "21 of 21 checks passed" in out and "-- a_top5_operadoras" in out
+    assert (spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.master) == (width, master)
 
 
 def test_upsert_replaces_matching_keys(spark, scratch):
@@ -119,13 +197,14 @@ def test_stream_ingest_picks_up_each_file_once(spark, scratch):
     out, ck = f"{scratch}/bronze", f"{scratch}/ck"
     # the source folder holds one sub-folder per delivery
     stream_ingest(spark, f"{scratch}/in/*", out, ck)
-    n1 = spark.read.parquet(out).count()
+    read = lambda: spark.read.option("recursiveFileLookup", "true").parquet(out)
+    n1 = read().count()
     assert n1 == first.count()
     second.coalesce(1).write.options(**RAW_WRITE_OPTIONS).csv(f"{scratch}/in/b")
     stream_ingest(spark, f"{scratch}/in/*", out, ck)
     stream_ingest(spark, f"{scratch}/in/*", out, ck)
-    assert spark.read.parquet(out).count() == raw.count()
-    assert spark.read.parquet(out).select("_source_file").distinct().count() == 2
+    assert read().count() == raw.count()
+    assert read().select("_source_file").distinct().count() == 2
 
 
 def test_entry_contract(spark):
@@ -193,7 +272,7 @@ def test_stream_ingest_archives_ingested_files(spark, scratch):
     # a file is archived when the batch after the one that read it commits
     second.coalesce(1).write.options(**RAW_WRITE_OPTIONS).csv(f"{scratch}/in/b")
     stream_ingest(spark, f"{scratch}/in/*", out, ck, archive_dir=arch)
-    assert spark.read.parquet(out).count() == raw.count()
+    assert spark.read.option("recursiveFileLookup", "true").parquet(out).count() == raw.count()
     left_a = [f for f in os.listdir(local_path(f"{scratch}/in/a")) if f.endswith(".csv")]
     archived = [f for _, _, fs in os.walk(local_path(arch)) for f in fs if f.endswith(".csv")]
     assert left_a == [] and len(archived) == 1

@@ -1,7 +1,5 @@
 """Property tests: Spark expressions and operators against plain-Python brute force."""
 
-from decimal import ROUND_HALF_UP, Decimal
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -17,9 +15,7 @@ def py_thousands(n: int) -> str:
 
 
 def py_percent(x: float, places: int) -> str:
-    scaled = int((Decimal(repr(x * 10**places))).quantize(Decimal(1), rounding=ROUND_HALF_UP))
-    whole, frac = divmod(scaled, 10**places)
-    return f"{whole},{frac:0{places}d}%"
+    return f"{x:.{places}f}%".replace(".", ",")
 
 
 @SETTINGS

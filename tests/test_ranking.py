@@ -82,7 +82,7 @@ def test_concentration_and_kpis(spark, gold):
 def test_display_headings(spark, gold):
     ranked = R.rank_with_share(gold, QT, ["cd_municipio", "nm_municipio"])
     out = R.display_municipios(ranked)
-    assert out.columns == ["Posição", "Código IBGE", "Município", "Beneficiários ativos", "Participação"]
+    assert out.columns == ["Posição", "Cód. IBGE", "Município", "Beneficiários ativos", "Participação"]
     first = out.orderBy("Posição").first()
     assert first["Beneficiários ativos"] == "1.000" and first["Participação"].endswith("%")
 

@@ -134,12 +134,11 @@ def order_by_domain(
 ) -> DataFrame:
     """Keep values of a known domain and order them by the domain's order.
 
-    The domain is a fixed, small list, so it is broadcast; values outside it
-    (and NULL) are dropped, as an inner join does.
+    Values outside the domain (and NULL) are dropped, as an inner join does.
     """
     entries = [F.struct(F.lit(v).alias(col), F.lit(i + 1).alias(order_name)) for i, v in enumerate(domain)]
     dom = df.sparkSession.range(1).select(F.inline(F.array(*entries)))
-    return df.join(F.broadcast(dom), col).orderBy(order_name)
+    return df.join(dom, col).orderBy(order_name)
 
 
 def page(
@@ -161,6 +160,7 @@ def page(
         ranked.filter(F.col(position).between(lo, hi))
         .withColumn("pagina", current)
         .withColumn("n_paginas", n_pages)
+        .orderBy(position)
     )
 
 
@@ -172,7 +172,7 @@ def search(df: DataFrame, col: str, term: str) -> DataFrame:
 # --- fixed values: display headings of the municipality table ---
 DISPLAY_HEADINGS = {
     POSITION: "Posição",
-    "cd_municipio": "Código IBGE",
+    "cd_municipio": "Cód. IBGE",
     "nm_municipio": "Município",
     GOLD_MEASURE: "Beneficiários ativos",
     SHARE: "Participação",
@@ -187,7 +187,7 @@ def display_municipios(ranked: DataFrame) -> DataFrame:
         F.col("nm_municipio").alias(DISPLAY_HEADINGS["nm_municipio"]),
         format_thousands(GOLD_MEASURE).alias(DISPLAY_HEADINGS[GOLD_MEASURE]),
         format_percent(F.col(SHARE), 2).alias(DISPLAY_HEADINGS[SHARE]),
-    )
+    ).orderBy(DISPLAY_HEADINGS[POSITION])
 
 
 def kpis(operadora: DataFrame, faixa: DataFrame, municipio: DataFrame, qt: str = GOLD_MEASURE) -> DataFrame:
@@ -221,7 +221,7 @@ def display_cards(ranked: DataFrame, label: str, n: int = 5, places: int = 1) ->
     decimal comma (``places`` decimals) and the bar fill (percent of the
     leader). ``ranked`` is a ranking table (see :func:`rank_with_share`).
     """
-    return ranked.filter(F.col(POSITION) <= n).select(
+    return ranked.filter(F.col(POSITION) <= n).orderBy(POSITION).select(
         POSITION,
         F.col(label).alias("rotulo"),
         format_thousands(GOLD_MEASURE).alias("quantidade"),

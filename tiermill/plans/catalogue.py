@@ -15,19 +15,22 @@ from pyspark.sql import functions as F
 
 from tiermill.operators import quality as Q
 from tiermill.operators import ranking as R
-from tiermill.operators.layers import Golds, to_silver
+from tiermill.operators.layers import Golds, to_bronze
 from tiermill.plans.medallion import (
+    BRONZE,
     SILVER,
     load_bronze,
     load_golds,
     load_month,
     load_rankings,
     load_silver,
+    register_layers,
     run,
+    run_month,
     upsert,
 )
 from tiermill.plans.results import result
-from tiermill.plans.workspace import Workspace, workspace, workspace_frame
+from tiermill.plans.workspace import Workspace, reference_row, workspace, workspace_frame
 from tiermill.schemas import (
     GOLD_KEYS,
     GOLD_MEASURE,
@@ -39,9 +42,10 @@ from tiermill.schemas import (
     gold_schema,
 )
 from tiermill.session import new_scratch_path
-from tiermill.sources.fixture import expected_reference
 from tiermill.sources.raw_csv import read_raw
-from tiermill.sources.results import read_result
+from tiermill.sources.fixture import write_raw_csv
+from tiermill.sources.layers import list_tables, read_layer, read_table, write_layer
+from tiermill.sources.results import export_result, read_result, read_result_positions
 from tiermill.streaming.ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +58,7 @@ QT = GOLD_MEASURE
 # Parameters of the parameterised views (fixed for the registered queries).
 PAGE_NUMBER, PAGE_SIZE = 2, 10
 SEARCH_TERM = "nation_1"
-# Upsert / month-replacement batches: the latest month's rows of one sex code.
+# Upsert batch: the latest month's rows of one sex code.
 BATCH_SEX = "R"
 UPSERT_KEYS = ["id_cmpt_movel", "cd_operadora", "cd_municipio", "de_faixa_etaria"]
 
@@ -89,8 +93,7 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = _ws(spark, sf_dir)
-    return workspace_frame(spark, ws, "reference", lambda: expected_reference(spark, ws.sf_dir))
+    return reference_row(spark, _ws(spark, sf_dir))
 
 
 def _by_month(silver: DataFrame) -> DataFrame:
@@ -136,9 +139,47 @@ def _named(name: str) -> Query:
 
 
 def c_beneficiarios_por_municipio(spark, sf_dir):
-    """The published file, re-read with the gold schema."""
+    """The published file, re-read with the gold schema, in the order it was written in."""
+    ws = _ws(spark, sf_dir)
+    name, schema = "c_beneficiarios_por_municipio", gold_schema("beneficiarios_por_municipio")
+    return read_result_positions(spark, ws.out_dir, name, schema, R.POSITION).orderBy(R.POSITION)
+
+
+# Published result -> (gold table, its code column).
+RESULT_FILES = {
+    "a_top5_operadoras": ("beneficiarios_por_operadora", "cd_operadora"),
+    "b_faixa_etaria_top": ("beneficiarios_por_faixa_etaria", "de_faixa_etaria"),
+    "c_beneficiarios_por_municipio": ("beneficiarios_por_municipio", "cd_municipio"),
+}
+
+
+def results_content(spark, sf_dir):
+    """What the three published files hold: position, code, quantity."""
     ws = _ws(spark, sf_dir)
-    return read_result(spark, ws.out_dir, "c_beneficiarios_por_municipio", gold_schema("beneficiarios_por_municipio"))
+    parts = [
+        read_result_positions(spark, ws.out_dir, name, gold_schema(table), R.POSITION).select(
+            F.lit(name).alias("resultado"), R.POSITION, F.col(key).alias("chave"), F.col(QT).alias("quantidade"))
+        for name, (table, key) in RESULT_FILES.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def export_round_trip(spark, sf_dir):
+    """Names with padding, tabs, quotes, backslashes, empty and missing text, exported and read again."""
+    name, code = F.col("s_name"), F.col("s_suppkey")
+    text = (
+        F.when(code % 7 == 0, F.concat(F.lit(" "), name, F.lit(" ")))
+        .when(code % 7 == 1, F.concat(F.lit("\t"), name))
+        .when(code % 7 == 2, F.lit(""))
+        .when(code % 7 == 3, F.lit(None).cast("string"))
+        .when(code % 7 == 4, F.concat(F.lit('"'), name, F.lit('" said')))
+        .when(code % 7 == 5, F.concat(F.lit("00"), code.cast("string")))
+        .otherwise(F.concat(name, F.lit(", \\x")))
+    )
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/supplier.parquet").select(code.cast("long").alias("n"), text.alias("t"))
+    out = new_scratch_path(spark, "export")
+    export_result(rows, out, "nomes")
+    return read_result(spark, out, "nomes", rows.schema)
 
 
 # ---------------------------------------------------------------- analytics --
@@ -276,6 +317,19 @@ def dq_outputs(spark, sf_dir):
     return Q.check_outputs(spark, _golds(spark, sf_dir), ws.out_dir, _ranked(spark, sf_dir))
 
 
+def dq_outputs_damaged(spark, sf_dir):
+    """The output checks over files of which one has a wrong quantity and lacks its last row."""
+    ws, golds = _ws(spark, sf_dir), _golds(spark, sf_dir)
+    out = new_scratch_path(spark, "damaged")
+    for name, (table, _) in RESULT_FILES.items():
+        rows = read_result_positions(spark, ws.out_dir, name, gold_schema(table), R.POSITION)
+        if name == "c_beneficiarios_por_municipio":
+            last = rows.agg(F.max(R.POSITION)).scalar()
+            rows = rows.filter(F.col(R.POSITION) < last).withColumn(QT, F.col(QT) + (F.col(R.POSITION) == 2).cast("long"))
+        export_result(rows.orderBy(R.POSITION).drop(R.POSITION), out, name)
+    return Q.check_outputs(spark, golds, out, _ranked(spark, sf_dir))
+
+
 def dq_reference(spark, sf_dir):
     return Q.check_reference(_golds(spark, sf_dir), _reference(spark, sf_dir))
 
@@ -289,6 +343,79 @@ def dq_report(spark, sf_dir):
     return full_report(spark, sf_dir)
 
 
+def dq_summary(spark, sf_dir):
+    return Q.summary(full_report(spark, sf_dir))
+
+
+# -------------------------------------------------------------- dirty rows --
+
+def _dirty(spark, sf_dir):
+    ws = workspace(spark, sf_dir, dirty=True)
+    return read_raw(spark, ws.raw_path), load_bronze(spark, ws.root), load_silver(spark, ws.root), load_golds(spark, ws.root)
+
+
+def silver_refine_dirty(spark, sf_dir):
+    return _dirty(spark, sf_dir)[2]
+
+
+def dq_report_dirty(spark, sf_dir):
+    """The suite over rows with faults: V2, V3 and V4 do not pass."""
+    return Q.checks(*_dirty(spark, sf_dir))
+
+
+def dq_summary_dirty(spark, sf_dir):
+    return Q.summary(dq_report_dirty(spark, sf_dir))
+
+
+def faixa_por_idade_dirty(spark, sf_dir):
+    fx = _dirty(spark, sf_dir)[3].faixa
+    return R.order_by_domain(R.flag_leader(fx, QT, FX), "de_faixa_etaria", age_band_domain())
+
+
+def gate_layers(spark, sf_dir):
+    """Whether each gate lets the next layer be written, for a clean and a dirty delivery."""
+    _, raw, bronze, silver, _ = _layers(spark, sf_dir)
+    d_raw, d_bronze, d_silver, _ = _dirty(spark, sf_dir)
+    rows = []
+    for load, gate, checks in (
+        ("clean", "ingest", Q.check_ingest(raw, bronze)), ("clean", "silver", Q.check_silver(bronze, silver)),
+        ("dirty", "ingest", Q.check_ingest(d_raw, d_bronze)), ("dirty", "silver", Q.check_silver(d_bronze, d_silver)),
+    ):
+        try:
+            Q.assert_all(checks)
+            rows.append((load, gate, True))
+        except Q.ChecksFailed:
+            rows.append((load, gate, False))
+    return spark.createDataFrame(rows, "entrega string, portao string, promovido boolean")
+
+
+# ----------------------------------------------------------------- catalog --
+
+def catalog_tables(spark, sf_dir):
+    """Every layer table registered, listed and counted through the catalog.
+
+    The registration holds for the session, so it is made again for each
+    folder of test tables.
+    """
+    ws = _ws(spark, sf_dir)
+    register_layers(spark, ws.root)
+    parts = [
+        read_table(spark, layer, table).agg(
+            F.lit(layer).alias("camada"), F.lit(table).alias("tabela"), F.count(F.lit(1)).alias("n_linhas"))
+        for layer in ("bronze", "silver", "gold") for table in list_tables(spark, layer) if not table.startswith("ranking_")
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def bronze_audit(spark, sf_dir):
+    """Rows of bronze, and those with a load time and a source file."""
+    return _bronze(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_linhas"), F.count(INGESTED_AT).alias("com_carga"), F.count(SOURCE_FILE).alias("com_arquivo"))
+
+
 # ------------------------------------------------- refresh / incremental --
 
 def idempotent_refresh(spark, sf_dir):
@@ -305,37 +432,70 @@ def idempotent_refresh(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _fresh_silver(spark, sf_dir) -> tuple[Workspace, str]:
-    ws = _ws(spark, sf_dir)
-    root = new_scratch_path(spark, "incremental")
-    run(spark, ws.raw_path, root, steps=["bronze", "silver"])
-    return ws, root
+def _silver_copy(spark, sf_dir, rows: DataFrame | None = None) -> tuple[DataFrame, str]:
+    """The built lake's silver (or some rows of it), and a fresh lake root that holds a copy."""
+    silver, root = _silver(spark, sf_dir), new_scratch_path(spark, "incremental")
+    write_layer(silver if rows is None else rows, root, *SILVER, partition_by=[MONTH])
+    return silver, root
 
 
-def _latest_month_batch(spark, root) -> DataFrame:
-    """The latest month's rows of one sex code, re-derived from bronze."""
-    silver_rows = to_silver(load_bronze(spark, root))
-    latest = silver_rows.agg(F.max(MONTH)).scalar()
-    return silver_rows.filter((F.col(MONTH) == latest) & (F.col("tp_sexo") == BATCH_SEX))
+def _latest(spark, silver: DataFrame) -> str:
+    """The latest month, from the partition folders' names."""
+    return silver.agg(F.max(MONTH)).first()[0]
 
 
 def incremental_month(spark, sf_dir):
-    """Replace only the latest month with a corrected delivery."""
-    _, root = _fresh_silver(spark, sf_dir)
-    load_month(_latest_month_batch(spark, root), root)
+    """Replace the whole latest month by a corrected delivery (X1): every quantity one more."""
+    silver, root = _silver_copy(spark, sf_dir)
+    month = _latest(spark, silver)
+    corrected = silver.filter(F.col(MONTH) == month).withColumn("qt_beneficiario_ativo", F.col("qt_beneficiario_ativo") + 1)
+    load_month(corrected, root, month)
     return _by_month(load_silver(spark, root))
 
 
 def upsert_month(spark, sf_dir):
-    """Upsert a batch into silver by key (X2); the batch doubles the active count."""
-    _, root = _fresh_silver(spark, sf_dir)
-    batch = _latest_month_batch(spark, root).withColumn(
+    """Upsert a batch into silver by key (X2); the batch doubles one sex code's active count in the latest month.
+
+    The test tables have several rows of a key, so a key stands for all its rows.
+    """
+    silver, root = _silver_copy(spark, sf_dir)
+    month = _latest(spark, silver)
+    batch = silver.filter((F.col(MONTH) == month) & (F.col("tp_sexo") == BATCH_SEX)).withColumn(
         "qt_beneficiario_ativo", F.col("qt_beneficiario_ativo") * 2
     )
-    upsert(spark, batch, root, *SILVER, UPSERT_KEYS, schema=SILVER_SCHEMA, partition_by=[MONTH])
+    upsert(spark, batch, root, *SILVER, UPSERT_KEYS, schema=SILVER_SCHEMA, partition_by=[MONTH], unique=False)
     return _by_month(load_silver(spark, root))
 
 
+def upsert_null_partition(spark, sf_dir):
+    """Upsert into a NULL month: the month's other keys stay."""
+    silver = _silver(spark, sf_dir).filter(F.col(MONTH) >= "1998")
+    old = silver.withColumn(MONTH, F.when(F.col("tp_sexo") != "N", F.col(MONTH)))
+    _, root = _silver_copy(spark, sf_dir, old)
+    batch = old.filter(F.col(MONTH).isNull() & (F.col("cd_municipio") == "1")).withColumn(
+        "qt_beneficiario_ativo", F.col("qt_beneficiario_ativo") * 2
+    )
+    upsert(spark, batch, root, *SILVER, UPSERT_KEYS, schema=SILVER_SCHEMA, partition_by=[MONTH], unique=False)
+    return _by_month(load_silver(spark, root))
+
+
+def monthly_loads(spark, sf_dir):
+    """A lake of all months but the last two, then these one by one from delivery to results."""
+    raw, base = _raw(spark, sf_dir), new_scratch_path(spark, "monthly")
+    month = MONTH.upper()
+    last = [r[0] for r in _silver(spark, sf_dir).select(MONTH).distinct().orderBy(F.desc(MONTH)).limit(2).collect()][::-1]
+    write_raw_csv(raw.filter(~F.col(month).isin(last)), f"{base}/raw/before")
+    run(spark, f"{base}/raw/before", f"{base}/lake", steps=["bronze", "silver"])
+    for m in last:
+        write_raw_csv(raw.filter(F.col(month) == m), f"{base}/raw/{m}")
+        run_month(spark, f"{base}/raw/{m}", f"{base}/lake", f"{base}/out", m)
+    parts = [
+        g.select(F.lit(t).alias("tabela"), F.col(GOLD_KEYS[t][0]).alias("chave"), F.col(QT).alias("quantidade"))
+        for t, g in load_golds(spark, f"{base}/lake").by_table().items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def stream_ingest_query(spark, sf_dir):
     """Stream the delivered raw files into a fresh bronze table.
 
@@ -346,7 +506,18 @@ def stream_ingest_query(spark, sf_dir):
     base = new_scratch_path(spark, "stream")
     for _ in range(2):
         stream_ingest(spark, ws.raw_path, f"{base}/bronze", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/bronze").drop(INGESTED_AT, SOURCE_FILE)
+    return read_layer(spark, base, "bronze", "", recursive=True).drop(INGESTED_AT, SOURCE_FILE)
+
+
+def stream_after_batch(spark, sf_dir):
+    """A bronze table of a batch load and two streamed deliveries, one after the other."""
+    raw, base = _raw(spark, sf_dir), new_scratch_path(spark, "stream")
+    third = F.pmod(F.xxhash64(*raw.columns), F.lit(3))
+    write_layer(to_bronze(raw.filter(third == 0), source="batch"), base, *BRONZE)
+    for k in (1, 2):
+        write_raw_csv(raw.filter(third == k), f"{base}/in/delivery={k}")
+        stream_ingest(spark, f"{base}/in/*", f"{base}/{'/'.join(BRONZE)}", f"{base}/checkpoint")
+    return load_bronze(spark, base).select(*raw.columns)
 
 
 QUERIES: dict[str, Query] = {
@@ -388,8 +559,22 @@ QUERIES: dict[str, Query] = {
     "dq_outputs": dq_outputs,
     "dq_reference": dq_reference,
     "dq_report": dq_report,
+    "dq_summary": dq_summary,
+    "dq_outputs_damaged": dq_outputs_damaged,
+    "results_content": results_content,
+    "export_round_trip": export_round_trip,
+    "silver_refine_dirty": silver_refine_dirty,
+    "dq_report_dirty": dq_report_dirty,
+    "dq_summary_dirty": dq_summary_dirty,
+    "faixa_por_idade_dirty": faixa_por_idade_dirty,
+    "gate_layers": gate_layers,
+    "catalog_tables": catalog_tables,
+    "bronze_audit": bronze_audit,
     "idempotent_refresh": idempotent_refresh,
     "incremental_month": incremental_month,
     "upsert_month": upsert_month,
+    "upsert_null_partition": upsert_null_partition,
+    "monthly_loads": monthly_loads,
     "stream_ingest": stream_ingest_query,
+    "stream_after_batch": stream_after_batch,
 }

@@ -7,7 +7,6 @@ lost later never forces a recompute from the raw file).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,7 +19,7 @@ from tiermill.operators.ranking import rank_with_share
 from tiermill.plans.results import RESULTS, result
 from tiermill.schemas import GOLD_KEYS, GOLD_MEASURE, MONTH, SILVER_SCHEMA, gold_schema
 from tiermill.sources.layers import read_layer, register_table, write_layer
-from tiermill.session import cut_lineage
+from tiermill.session import cut_lineage, new_scratch_path, remove_path
 from tiermill.sources.raw_csv import read_raw
 from tiermill.sources.results import export_result
 
@@ -30,7 +29,7 @@ STEPS = ("bronze", "silver", "gold", "results")
 MAX_CONCURRENT_WRITES = 4
 
 
-def _concurrently(jobs: dict[str, Callable[[], str]]) -> dict[str, str]:
+def _concurrently(jobs: dict[str, Callable[[], str]], at_once: int = MAX_CONCURRENT_WRITES) -> dict[str, str]:
     """Run independent write jobs from a few driver threads.
 
     Spark schedules jobs submitted from different threads side by side, so
@@ -40,13 +39,13 @@ def _concurrently(jobs: dict[str, Callable[[], str]]) -> dict[str, str]:
     """
     if len(jobs) <= 1:
         return {name: job() for name, job in jobs.items()}
-    with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_WRITES, len(jobs))) as pool:
+    with ThreadPoolExecutor(max_workers=min(at_once, len(jobs))) as pool:
         futures = {name: pool.submit(job) for name, job in jobs.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
 def load_bronze(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    return read_layer(spark, root, *BRONZE, fmt=fmt)
+    return read_layer(spark, root, *BRONZE, fmt=fmt, recursive=True)
 
 
 def load_silver(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
@@ -97,7 +96,7 @@ def run(
     steps: list[str] | None = None,
     *,
     fmt: str = "parquet",
-    silver_layout: str = "local",
+    silver_layout: str = "rebalance",
     gold_one_pass: bool = True,
     register: bool = False,
     gate: bool = False,
@@ -134,7 +133,7 @@ def run(
             source = None if source_per_file else raw_path
             paths["bronze"] = write_layer(to_bronze(raw, source=source), root, *BRONZE, fmt=fmt)
             if register:
-                register_table(spark, root, *BRONZE, fmt=fmt)
+                register_table(spark, root, *BRONZE, fmt=fmt, recursive=True)
         elif step == "silver":
             bronze = load_bronze(spark, root, fmt)
             if gate:
@@ -145,20 +144,11 @@ def run(
             if register:
                 register_table(spark, root, *SILVER, fmt=fmt, partitioned=True)
         elif step == "gold":
-            silver = load_silver(spark, root, fmt)
             if gate:
-                quality.assert_all(quality.check_silver(load_bronze(spark, root, fmt), silver))
-            golds = split_golds(cut_lineage(golds_one_pass(silver))) if gold_one_pass else to_golds(silver)
-            paths.update(
-                _concurrently(
-                    {
-                        t: (lambda t=t, g=g: write_layer(g, root, "gold", t, fmt=fmt))
-                        for t, g in golds.by_table().items()
-                    }
-                )
-            )
+                quality.assert_all(quality.check_silver(load_bronze(spark, root, fmt), load_silver(spark, root, fmt)))
+            paths.update(refresh_gold(spark, root, fmt, gold_one_pass))
             if register:
-                for table in golds.by_table():
+                for table in GOLD_KEYS:
                     register_table(spark, root, "gold", table, fmt=fmt)
         elif step == "results":
             if gate:
@@ -169,32 +159,132 @@ def run(
     return paths
 
 
+def refresh_gold(spark: SparkSession, root: str, fmt: str = "parquet", one_pass: bool = True) -> dict[str, str]:
+    """Rebuild the three golds from the stored silver."""
+    silver = load_silver(spark, root, fmt)
+    golds = split_golds(cut_lineage(golds_one_pass(silver))) if one_pass else to_golds(silver)
+    return _concurrently(
+        {t: (lambda t=t, g=g: write_layer(g, root, "gold", t, fmt=fmt)) for t, g in golds.by_table().items()}
+    )
+
+
+def register_layers(spark: SparkSession, root: str, fmt: str = "parquet") -> list[str]:
+    """Expose every written layer table in the session catalog."""
+    out = [
+        register_table(spark, root, *BRONZE, fmt=fmt, recursive=True),
+        register_table(spark, root, *SILVER, fmt=fmt, partitioned=True),
+    ]
+    return out + [register_table(spark, root, "gold", table, fmt=fmt) for table in GOLD_KEYS]
+
+
+def run_month(
+    spark: SparkSession, raw_path: str, root: str, out_dir: str, month: str, *, fmt: str = "parquet", gate: bool = False,
+    raw_schema=None,
+) -> dict[str, str]:
+    """One month's delivery from end to end: bronze, silver's month, golds, rankings and results.
+
+    The delivery gets a folder of its own in bronze and replaces its month in
+    silver, so loading it again leaves the same state; the golds, rankings
+    and results are rebuilt from silver. With ``gate`` the month's rows must
+    pass the ingest and silver checks, and the golds must reconcile, before
+    anything that depends on them is written.
+    """
+    raw = read_raw(spark, raw_path, raw_schema)
+    place = f"{root.rstrip('/')}/{BRONZE[0]}/{BRONZE[1]}/month-{month}"
+    to_bronze(raw, source=raw_path).write.mode("overwrite").format(fmt).save(place)
+    bronze = spark.read.format(fmt).load(place)
+    rows = to_silver(bronze)
+    if gate:
+        quality.assert_all(quality.check_ingest(raw, bronze))
+        quality.assert_all(quality.check_silver(bronze, rows))
+    paths = {"bronze": place, "silver": load_month(rows, root, month, fmt)}
+    paths.update(refresh_gold(spark, root, fmt))
+    if gate:
+        quality.assert_all(quality.check_gold(load_silver(spark, root, fmt), load_golds(spark, root, fmt)))
+    paths.update(publish(spark, root, out_dir, fmt))
+    return paths
+
+
+class WrongMonth(ValueError):
+    """The rows given for a month hold rows of another one."""
+
+
 def load_month(
-    month_rows: DataFrame, root: str, fmt: str = "parquet", *, layout: str = "local"
+    month_rows: DataFrame, root: str, month: str | None, fmt: str = "parquet", *, layout: str = "rebalance",
+    only: bool = False,
 ) -> str:
-    """Replace only the months present in ``month_rows`` in silver.
+    """Replace one reference month of silver by ``month_rows``.
 
-    Dynamic partition overwrite: other months are kept, and loading the same
-    month twice leaves the same state.
+    Rows of another month raise :class:`WrongMonth` before anything is
+    written; with ``only=True`` they are left out instead. Other months are
+    kept, and loading the same month twice leaves the same state. A month
+    without rows stays as it is (there is nothing to replace it by).
     """
-    path = f"{root.rstrip('/')}/{SILVER[0]}/{SILVER[1]}"
+    if layout not in ("rebalance", "local"):
+        raise ValueError(f"unknown layout: {layout}")
     out = month_rows.select(*[f.name for f in SILVER_SCHEMA.fields])
+    mine = F.col(MONTH).eqNullSafe(F.lit(month).cast("string"))
+    if only:
+        out = out.filter(mine)
+    else:
+        other = out.filter(~mine).select(MONTH).limit(1).collect()
+        if other:
+            raise WrongMonth(f"rows of month {other[0][0]!r} among those of {month!r}")
+    return _overwrite_partitions(out, f"{root.rstrip('/')}/{SILVER[0]}/{SILVER[1]}", [MONTH], fmt, layout)
+
+
+def _overwrite_partitions(rows: DataFrame, path: str, partition_by: list[str], fmt: str, layout: str = "rebalance") -> str:
+    """Replace the partitions that ``rows`` hold, and no others."""
     if layout == "rebalance":
-        out = out.hint("rebalance", MONTH)
-    elif layout == "range":
-        n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, F.col(MONTH), F.xxhash64(*[F.col(c) for c in out.columns]))
+        rows = rows.hint("rebalance", *partition_by)
     (
-        out.sortWithinPartitions(MONTH)
+        rows.sortWithinPartitions(*partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .format(fmt)
-        .partitionBy(MONTH)
+        .partitionBy(*partition_by)
         .save(path)
     )
     return path
 
 
+class DuplicateKeys(ValueError):
+    """The batch of an upsert holds several rows of one key."""
+
+
+#: Most partitions that an upsert names in its read of the old table; a batch touching more is joined instead.
+NAMED_PARTITIONS = 1000
+
+
+def _touched(old: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The old rows in the partitions that the batch touches, NULL partitions included.
+
+    The batch's partition values are named as literals, so the read lists and
+    scans those folders only. Beyond :data:`NAMED_PARTITIONS` a null-safe
+    semi join selects them.
+    """
+    values = batch.select(*partition_by).distinct()
+    named = values.limit(NAMED_PARTITIONS + 1).collect()
+    if len(named) > NAMED_PARTITIONS:
+        cond = [F.col(f"o.{c}").eqNullSafe(F.col(f"t.{c}")) for c in partition_by]
+        return old.alias("o").join(values.alias("t"), cond, "left_semi")
+    hit = F.lit(False)
+    first = partition_by[0]
+    rest = partition_by[1:]
+    if not rest:
+        known = [r[0] for r in named if r[0] is not None]
+        hit = F.col(first).isin(known) if known else hit
+        if any(r[0] is None for r in named):
+            hit = hit | F.col(first).isNull()
+        return old.filter(hit)
+    for r in named:
+        one = F.lit(True)
+        for c in partition_by:
+            one = one & (F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]))
+        hit = hit | one
+    return old.filter(hit)
+
+
 def upsert(
     spark: SparkSession,
     new_rows: DataFrame,
@@ -206,40 +296,44 @@ def upsert(
     schema=None,
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
+    unique: bool = True,
 ) -> str:
     """Replace the rows whose key appears in ``new_rows`` and add the new ones.
 
-    Old rows whose key is in the batch are removed with a left anti join on
-    null-safe key equality (the batch's distinct keys are shuffled, never
-    collected) and the batch is appended. When the table is partitioned by
-    columns that are part of the key, only the partitions the batch touches
-    can change: just those are read (a semi join on the partition values,
-    which partition pruning turns into a scan of those folders) and written
-    back with dynamic partition overwrite; every other partition is left as
-    it is. The merged rows are staged under a fresh path first, since a plan
-    cannot overwrite its own input.
+    The batch is staged once in the shared scratch folder and read from
+    there. Several batch rows of one key (compared null-safely) raise
+    :class:`DuplicateKeys` before anything is written, unless ``unique`` is
+    false, when a key stands for all its rows. Old rows whose key is in the
+    batch are removed by a null-safe left anti join on its distinct keys.
+
+    When the table is partitioned by columns of the key, only the partitions
+    the batch touches can change: only those are read (their values are named
+    in the read, so others are pruned) and written back; NULL partitions
+    count like any other. The merged rows are staged in the scratch folder as
+    well, since a plan cannot overwrite its own input; both staged tables are
+    removed in the end.
     """
-    old = read_layer(spark, root, layer, table, schema=schema, fmt=fmt)
-    scoped = bool(partition_by) and set(partition_by) <= set(keys)
-    if scoped:
-        touched = new_rows.select(*partition_by).dropDuplicates()
-        old = old.join(touched, partition_by, "left_semi")
-    batch_keys = new_rows.select(*keys).dropDuplicates().alias("b")
-    cond = [F.col(f"o.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    kept = old.alias("o").join(batch_keys, cond, "left_anti")
-    merged = kept.unionByName(new_rows.select(*old.columns))
-    staging = f"_staging_{table}_{uuid.uuid4().hex[:10]}"
-    write_layer(merged, root, layer, staging, partition_by=partition_by, fmt=fmt)
-    staged = read_layer(spark, root, layer, staging, schema=schema, fmt=fmt)
     path = f"{root.rstrip('/')}/{layer}/{table}"
-    if not scoped:
-        return write_layer(staged, root, layer, table, partition_by=partition_by, fmt=fmt)
-    (
-        staged.sortWithinPartitions(*partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .format(fmt)
-        .partitionBy(*partition_by)
-        .save(path)
-    )
-    return path
+    old = read_layer(spark, root, layer, table, schema=schema, fmt=fmt)
+    staged, merged_at = new_scratch_path(spark, "upsert-batch"), new_scratch_path(spark, "upsert-merged")
+    try:
+        new_rows.select(*old.columns).write.parquet(staged)
+        batch = spark.read.schema(old.schema).parquet(staged)
+        batch_keys = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tm_n"))
+        if unique:
+            twice = batch_keys.filter("_tm_n > 1").limit(1).collect()
+            if twice:
+                raise DuplicateKeys(f"several rows of the key {twice[0].asDict()}")
+        scoped = bool(partition_by) and set(partition_by) <= set(keys)
+        if scoped:
+            old = _touched(old, batch, partition_by)
+        cond = [F.col(f"o.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+        kept = old.alias("o").join(batch_keys.alias("b"), cond, "left_anti")
+        kept.unionByName(batch).write.parquet(merged_at)
+        merged = spark.read.schema(old.schema).parquet(merged_at)
+        if scoped:
+            return _overwrite_partitions(merged, path, partition_by, fmt)
+        return write_layer(merged, root, layer, table, partition_by=partition_by, fmt=fmt, layout="rebalance")
+    finally:
+        remove_path(spark, staged)
+        remove_path(spark, merged_at)

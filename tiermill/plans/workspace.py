@@ -10,22 +10,27 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tiermill.plans.medallion import run
 from tiermill.session import new_scratch_path, session_id
-from tiermill.sources.fixture import raw_file_count, raw_from_tpch, write_raw_csv
+from tiermill.sources.fixture import expected_reference, raw_from_tpch, write_raw_csv
 
 
 @dataclass(frozen=True)
 class Workspace:
     sf_dir: str
     base: str
+    dirty: bool = False
 
     @property
     def raw_path(self) -> str:
         return f"{self.base}/raw/beneficiarios"
 
+    @property
+    def reference_path(self) -> str:
+        return f"{self.base}/reference"
+
     @property
     def root(self) -> str:
         return f"{self.base}/lake"
@@ -35,28 +40,38 @@ class Workspace:
         return f"{self.base}/output"
 
 
-_BUILT: dict[tuple[str, str], Workspace] = {}
+_BUILT: dict[tuple[str, str, bool], Workspace] = {}
 
 
-def build_workspace(spark: SparkSession, sf_dir: str) -> Workspace:
+def build_workspace(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Workspace:
     """Derive the raw file and run all layers into a fresh scratch folder."""
-    ws = Workspace(sf_dir.rstrip("/"), new_scratch_path(spark, "lake"))
-    write_raw_csv(raw_from_tpch(spark, ws.sf_dir), ws.raw_path, files=raw_file_count(spark, ws.sf_dir))
+    ws = Workspace(sf_dir.rstrip("/"), new_scratch_path(spark, "lake"), dirty)
+    write_raw_csv(raw_from_tpch(spark, ws.sf_dir, dirty), ws.raw_path)
     run(spark, ws.raw_path, ws.root, ws.out_dir)
     return ws
 
 
-def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
+def workspace(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Workspace:
     """The lake for ``sf_dir`` in this application, built on first use."""
-    key = (session_id(spark), sf_dir.rstrip("/"))
+    key = (session_id(spark), sf_dir.rstrip("/"), dirty)
     if key not in _BUILT:
-        _BUILT[key] = build_workspace(spark, sf_dir)
+        _BUILT[key] = build_workspace(spark, sf_dir, dirty)
     return _BUILT[key]
 
 
+def reference_row(spark: SparkSession, ws: Workspace) -> DataFrame:
+    """The expected reference values, computed from the test tables on first use and stored as one row."""
+
+    def build() -> DataFrame:
+        expected_reference(spark, ws.sf_dir).write.mode("overwrite").parquet(ws.reference_path)
+        return spark.read.parquet(ws.reference_path)
+
+    return workspace_frame(spark, ws, "reference", build)
+
+
 def adopt_workspace(spark: SparkSession, ws: Workspace) -> None:
     """Register an already built lake so the registered queries reuse it."""
-    _BUILT[(session_id(spark), ws.sf_dir)] = ws
+    _BUILT[(session_id(spark), ws.sf_dir, ws.dirty)] = ws
 
 
 _FRAMES: dict[tuple[str, str, str], object] = {}

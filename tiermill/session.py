@@ -39,10 +39,6 @@ def get_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "static")
     )
-    if master.startswith("local"):
-        # One machine: listing a few hundred partition folders on the driver
-        # is cheaper than a distributed listing job (Spark's default past 32).
-        builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "1024")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -73,11 +69,11 @@ def scratch_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
+    master = spark.conf.get("spark.master", None)
+    if master is None or not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(
-            "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
-            "(HDFS, object store) that every executor can write and read"
+            "spark.checkpoint.dir is not set: unless the session runs in one local process it must "
+            "name a shared folder (HDFS, object store) that every executor can write and read"
         )
     global _LOCAL_SCRATCH
     if _LOCAL_SCRATCH is None:
@@ -101,7 +97,37 @@ def session_id(spark: SparkSession) -> str:
 
 def new_scratch_path(spark: SparkSession, prefix: str) -> str:
     """A fresh, never-reused path under the shared scratch folder."""
-    return f"{scratch_root(spark)}/tiermill/{prefix}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/tiermill/{prefix}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the library made, on whatever file system it lies."""
+    sc = _context(spark)
+    if sc is None:  # a remote session has no file system to call; the folder's retention policy removes it
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything the library has written under the scratch folder in this application.
+
+    For the end of an application: lakes built by queries, lineage cuts and
+    streaming checkpoints go, so frames that still read them fail afterwards.
+    """
+    for path in _MADE:
+        remove_path(spark, path)
+    _MADE.clear()
+
+
+_MADE: list[str] = []
+
+
+def active_session(app_name: str = "tiermill") -> SparkSession:
+    """The session that is running or was submitted, with its own settings; a plain local one otherwise."""
+    return SparkSession.getActiveSession() or SparkSession.builder.appName(app_name).getOrCreate()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -52,25 +52,45 @@ def _wall_clock_date(df: DataFrame, name: str, spark: SparkSession) -> Column:
     return col.cast("date")
 
 
-def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw frame (19 text columns) derived from the test tables.
-
-    Dimension chain first: region and nation are fixed-size (25 and 5 rows
-    in the TPC-H model), so they are broadcast into customer; customer,
-    orders, part and supplier grow with the scale factor and are left to
-    the size-based planner and AQE (broadcast only when their measured size
-    is under the threshold, shuffle joins otherwise).
+def _spoil(m: Column, cols: dict[str, Column]) -> dict[str, Column]:
+    """Faults that deliveries have, on some of every 23 rows (``m`` is the row's number modulo 23).
+
+    Numbers that are none, overflow, are blank or negative; dates that are
+    not ISO or missing; missing ids; accents; unknown and missing bands.
+    """
+    faults = {
+        "QT_BENEFICIARIO_ATIVO": {0: "abc", 1: "99999999999", 2: None, 3: "  ", 4: "-5"},
+        "DT_CARGA": {5: "31/12/2024", 6: None},
+        "NR_CNPJ": {7: None},
+        "NM_MUNICIPIO": {8: F.concat(F.lit("São "), cols["NM_MUNICIPIO"])},
+        "DE_FAIXA_ETARIA": {9: "Ignorado", 10: None},
+        "QT_BENEFICIARIO_ADERIDO": {11: "12.7"},
+    }
+    out = dict(cols)
+    for name, values in faults.items():
+        for k, value in values.items():
+            bad = value if isinstance(value, Column) else F.lit(value).cast("string")
+            out[name] = F.when(m == k, bad).otherwise(out[name])
+    return out
+
+
+def raw_from_tpch(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+    """The raw frame (19 text columns) derived from the test tables, spoiled by a rule if ``dirty``.
+
+    Dimension chain first; every join is left to the size-based planner and
+    AQE (broadcast only when the measured size is under the threshold,
+    shuffle joins otherwise).
     """
     t = lambda name: _table(spark, sf_dir, name)
     geo = (
         t("nation")
-        .join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", "n_name", "r_name")
     )
     cust = (
         t("customer")
         .select("c_custkey", "c_nationkey", "c_mktsegment")
-        .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("c_custkey", "c_mktsegment", "n_nationkey", "n_name", "r_name")
     )
     orders = (
@@ -112,30 +132,20 @@ def raw_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship,
         F.substring(ship, 1, 7),
     ]
-    return joined.select(*[c.alias(n) for c, n in zip(cols, RAW_COLUMNS)])
-
-
-ROWS_PER_FILE = 75_000
-
-
-def raw_file_count(spark: SparkSession, sf_dir: str, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Number of raw files for a scale: one per ``rows_per_file`` lines, at
-    most the shuffle width (the line count is read from Parquet metadata)."""
-    rows = _table(spark, sf_dir, "lineitem").count()
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(width, -(-rows // rows_per_file)))
+    named = dict(zip(RAW_COLUMNS, cols, strict=True))
+    if dirty:
+        named = _spoil((F.col("l_orderkey") + F.col("l_linenumber")) % 23, named)
+    return joined.select(*[c.alias(n) for n, c in named.items()])
 
 
-def write_raw_csv(raw: DataFrame, path: str, *, files: int | None = None) -> str:
+def write_raw_csv(raw: DataFrame, path: str) -> str:
     """Write the raw frame as ``;``-separated, fully quoted UTF-8 text.
 
-    Rows are range-partitioned on (month, row hash) so each file holds a
-    contiguous run of months, like monthly deliveries, while a month holding
-    most rows is still spread over several balanced files.
+    Rows are rebalanced by month: files hold one or a few months, like
+    monthly deliveries, and adaptive execution sizes them, so a month with
+    most rows is spread over several files at any data size.
     """
-    n = files or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row_hash = F.xxhash64(*[F.col(c) for c in raw.columns])
-    out = raw.repartitionByRange(n, F.col(MONTH.upper()), row_hash)
+    out = raw.hint("rebalance", MONTH.upper()).sortWithinPartitions(MONTH.upper())
     out.write.mode("overwrite").options(**RAW_WRITE_OPTIONS).csv(path)
     return path
 
@@ -171,7 +181,7 @@ def expected_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_order = lead(line, "l_orderkey").withColumnRenamed("qt", "q")
     by_nation = (
         lead(per_order.join(geo, F.col("l_orderkey") == F.col("o_orderkey")), "c_nationkey")
-        .join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     nat = top(by_nation, [F.col("qt").desc(), F.col("c_nationkey").cast("string")], F.col("n_name"))
     # each leader is attached once as a column, then its fields are read

@@ -26,21 +26,21 @@ def write_layer(
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
     *,
-    layout: str = "local",
+    layout: str = "rebalance",
     max_records_per_file: int | None = None,
 ) -> str:
     """Full-refresh write of a layer table; re-running gives the same state.
 
     ``layout`` decides how rows reach the writers of a partitioned table:
 
-    * ``"local"`` (default): no shuffle; each task sorts its rows by the
-      partition columns and writes one file per partition value it holds.
-      Right for monthly loads, where an input split holds one month.
-    * ``"rebalance"``: one shuffle by the partition columns with Spark's
+    * ``"local"``: no shuffle; each task sorts its rows by the partition
+      columns and writes one file per partition value it holds. Right where
+      each input split holds one month.
+    * ``"rebalance"`` (default): one shuffle by the partition columns with Spark's
       ``REBALANCE`` hint; adaptive execution splits a partition value that
       holds a third of all rows into advisory-sized tasks and merges small
       ones, so files come out near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
-      whatever the data size. The choice for multi-month backfills.
+      whatever the data size.
     * ``"range"``: range-partition on the partition columns plus a row hash
       into ``spark.sql.shuffle.partitions`` tasks; balanced by sampling, but
       the task count is fixed by the session rather than by the data.
@@ -75,13 +75,20 @@ def read_layer(
     table: str,
     schema: StructType | None = None,
     fmt: str = "parquet",
+    *,
+    recursive: bool = False,
 ) -> DataFrame:
     """Scan a layer table by path, without a catalog.
 
+    ``recursive`` also reads the batch folders of an unpartitioned table that
+    a stream appends to (see :mod:`tiermill.streaming`).
+
     Pass the layer schema for partitioned tables so that a numeric-looking
     partition value (``202508``) keeps its declared STRING type.
     """
     reader = spark.read.format(fmt)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(layer_path(root, layer, table))
@@ -94,12 +101,17 @@ def register_table(
     table: str,
     fmt: str = "parquet",
     partitioned: bool = False,
+    recursive: bool = False,
 ) -> str:
-    """Expose a written layer table as ``layer.table`` in the session catalog."""
+    """Expose a written layer table as ``layer.table`` in the session catalog.
+
+    ``recursive`` includes the batch folders of an unpartitioned table.
+    """
     ensure_layer(spark, root, layer)
     name = f"`{layer}`.`{table}`"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(f"{layer}.{table}", path=layer_path(root, layer, table), source=fmt)
+    options = {"recursiveFileLookup": "true"} if recursive else {}
+    spark.catalog.createTable(f"{layer}.{table}", path=layer_path(root, layer, table), source=fmt, **options)
     if partitioned:
         spark.catalog.recoverPartitions(f"{layer}.{table}")
     return f"{layer}.{table}"

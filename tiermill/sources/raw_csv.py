@@ -13,6 +13,8 @@ RAW_OPTIONS = {
     "quote": '"',
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
+    # every file's header must name the schema's columns in their order
+    "enforceSchema": "false",
 }
 
 
@@ -32,7 +34,9 @@ def read_raw(
 
     Without ``schema`` the column names come from the header line and every
     column is a string (no inference pass over the data). Short rows are
-    padded with NULL, extra fields are dropped, blank lines are skipped.
+    padded with NULL, extra fields are dropped, blank lines are skipped. A
+    file whose header differs from the others' (or from ``schema``) is an
+    error when it is read, not a swap of columns.
     A missing path raises :class:`SourceNotFound` on any file system.
     """
     reader = spark.read.options(**{**RAW_OPTIONS, **options})

@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-RESULT_OPTIONS = {"header": "true", "encoding": "UTF-8"}
+#: Values come back as they were: white space, quotes (doubled, as other readers expect), empty text and NULL.
+RESULT_OPTIONS = {
+    "header": "true",
+    "encoding": "UTF-8",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\\N",
+    "emptyValue": "",
+}
 
 # Columns used to recover the written order of a multi-part result folder.
 _PART = "_tm_file_part"
@@ -30,7 +39,7 @@ def export_result(
     """
     out = df.coalesce(1) if single_file else df
     path = result_path(out_dir, name)
-    out.write.mode("overwrite").options(**RESULT_OPTIONS).csv(path)
+    out.write.mode("overwrite").options(**{**RESULT_OPTIONS, "emptyValue": '""'}).csv(path)
     return path
 
 
@@ -47,7 +56,7 @@ def read_result(
     The explicit schema keeps codes such as ``006246`` as text (inference
     would turn them into numbers). With ``keep_order_columns`` the frame also
     carries (part number, block start, line id) whose ascending order is the
-    order the rows were written in; see :func:`result_in_written_order`.
+    order the rows were written in; see :func:`written_order`.
     """
     df = spark.read.schema(schema).options(**RESULT_OPTIONS).csv(result_path(out_dir, name))
     if not keep_order_columns:
@@ -77,19 +86,17 @@ def read_result_positions(
     """Re-read an exported result with each row's 1-based position in the file order.
 
     Lazy and deterministic: the order key is (part number, split start,
-    line id) read from the files themselves. Rows are numbered inside each
-    file split (one split is what one task reads), and per-split counts, one
-    row per split, give the starting offsets, which are broadcast back.
+    line id) read from the files themselves. Line ids run on inside a file
+    split (one split is what one task reads), so a row's place in its split is
+    its id less the split's first; per-split counts, one row per split, give
+    the splits' offsets.
     """
     df = read_result(spark, out_dir, name, schema, keep_order_columns=True)
-    split = [F.col(_PART), F.col(_BLOCK)]
-    local = F.row_number().over(Window.partitionBy(*split).orderBy(F.col(_LINE)))
-    numbered = df.withColumn("_tm_local", local)
-    counts = df.groupBy(_PART, _BLOCK).agg(F.count(F.lit(1)).alias("_tm_n"))
+    splits = df.groupBy(_PART, _BLOCK).agg(F.count(F.lit(1)).alias("_tm_n"), F.min(_LINE).alias("_tm_first"))
     before = Window.orderBy(_PART, _BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PART, _BLOCK, F.coalesce(F.sum("_tm_n").over(before), F.lit(0)).alias("_tm_off"))
+    shift = F.coalesce(F.sum("_tm_n").over(before), F.lit(0)) - F.col("_tm_first") + 1
     return (
-        numbered.join(F.broadcast(offsets), [_PART, _BLOCK])
-        .withColumn(position, (F.col("_tm_off") + F.col("_tm_local")).cast("long"))
-        .drop(_PART, _BLOCK, _LINE, "_tm_local", "_tm_off")
+        df.join(splits.select(_PART, _BLOCK, shift.alias("_tm_shift")), [_PART, _BLOCK])
+        .withColumn(position, (F.col(_LINE) + F.col("_tm_shift")).cast("long"))
+        .drop(_PART, _BLOCK, _LINE, "_tm_shift")
     )

@@ -2,13 +2,17 @@
 
 A file-source stream over the delivery folder, run with
 ``trigger(availableNow=True)``: every run ingests exactly the files that
-arrived since the last run (tracked in the checkpoint), then stops. The
-file sink's commit log makes the bronze folder exactly-once, so a run that
-dies half-way is simply re-run.
+arrived since the last run (tracked in the checkpoint), then stops. Each
+micro-batch overwrites a folder of its own inside the bronze table, named
+after the checkpoint and the batch, so a batch that is run again after a
+failure replaces itself, and rows written by other loads (a batch load, other
+streams) stay readable beside it.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,6 +41,9 @@ def stream_ingest(
 ) -> str:
     """Append the newly delivered raw files to a bronze table and stop.
 
+    The table is read with its batch folders (``read_layer(recursive=True)``,
+    as ``load_bronze`` does). A full refresh of bronze replaces them all.
+
     ``archive_dir`` moves each ingested file there once its batch commits
     (``cleanSource=archive``), so the delivery folder the source lists on
     every run stays small however many months have been loaded. Other file
@@ -54,12 +61,16 @@ def stream_ingest(
         F.current_timestamp().alias(INGESTED_AT),
         F.col("_metadata.file_path").alias(SOURCE_FILE),
     )
+    tag = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+    def append(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{out_path.rstrip('/')}/stream-{tag}-{number}")
+
     query = (
-        bronze.writeStream.format(fmt)
+        bronze.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
-        .start(out_path)
+        .start()
     )
     query.awaitTermination()
     if query.exception() is not None:
