@@ -176,7 +176,10 @@ def _end(stack: list[Node], tag: str) -> None:
     cell = _CELLS if border else set()
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag == tag:
-            del stack[i:]
+            if tag not in _BLOCK | _CELLS | _SECTIONS | {"tr"} and any(n.tag in _BLOCK for n in stack[i + 1 :]):
+                del stack[i]  # the end of a style inside a block does not end the block
+            else:
+                del stack[i:]
             return
         if stack[i].tag in border or stack[i].tag in cell:
             break
