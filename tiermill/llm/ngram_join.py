@@ -8,9 +8,12 @@ Unrelated documents are all at distance 1 from any pivot, so cells around
 freely chosen pivots would not part them. Pivots are therefore reached by
 content: documents within r must share one of the first few n-grams of an
 order common to all (the prefix), so every prefix n-gram held by two sets
-makes a region, whose pivot is its smallest member. The order puts the most
-frequent n-grams last (found by counting every batch of all the data; any set
-of them is right, it only sets the cost) and goes by hash otherwise.
+makes a region, whose pivot is its smallest member. The order goes by the
+binary logarithm of the frequency of the frequent n-grams (found by counting
+every batch of all the data; any set of them is right, it only sets the cost),
+the others first, and by hash otherwise. A pair is looked at in the region of
+its first shared n-gram only if what follows that in both could still make a
+link, which parts copies whose own words come first.
 
 1. Every member is compared with its regions' pivots, each pair once. The
    sets' sizes and parity sketches bound distances from below, without loss;
@@ -58,7 +61,7 @@ from tiermill.llm.common import (
 from tiermill.session import cut_lineage
 
 #: N-grams in this share of the documents or more go last in the order; at most its inverse times the mean set size.
-FREQUENT = 1 / 400
+FREQUENT = 1 / 1000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,8 +78,8 @@ def _per_slice(batches: Iterator[pa.RecordBatch], words: int):
             yield batch, a, b - a, *shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
 
 
-def frequent_shingles(rows: DataFrame, words: int, share: float = FREQUENT) -> np.ndarray:
-    """N-grams that stand in ``share`` of all documents or more, and in as large a share of some batch.
+def frequent_shingles(rows: DataFrame, words: int, share: float = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams, binary logarithms of their counts): those that stand in ``share`` of all documents or more, and in as large a share of some batch.
 
     One that frequent overall is that frequent in at least one batch, so each
     batch passes on only its own frequent ones.
@@ -92,28 +95,31 @@ def frequent_shingles(rows: DataFrame, words: int, share: float = FREQUENT) -> n
 
     seen = rows.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     least = max(3, share * rows.select("key").count() / 2)
-    got = seen.where(F.col("n") >= least).select("token").toPandas()
-    return np.sort(got["token"].to_numpy(np.int64).view(np.uint64))
+    got = seen.where(F.col("n") >= least).toPandas()
+    token, n = got["token"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
+    order = np.argsort(token)
+    return token[order], np.log2(np.maximum(n, 1)).astype(np.uint8)[order]
 
 
-def features(rows: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(key, id, n, h1, h2, sketch, prefix) of each row: set size, set hash, parity sketch, prefix n-grams."""
+def features(rows: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(key, id, n, h1, h2, sketch, prefix) of each row: set size, set hash, parity sketch, prefix n-grams in order."""
     spark = rows.sparkSession
     last = spark.sparkContext.broadcast(frequent)
     schema = "key long, id long, n long, h1 long, h2 long, sketch binary, prefix array<long>"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = last.value
+        often, level = last.value
         for batch, a, rows_, row, h in _per_slice(batches, words):
             n = np.bincount(row, minlength=rows_)
             bounds = np.concatenate([[0], np.cumsum(n)])
             h1 = group_sums(mix64(h), bounds)
             h2 = group_sums(mix64(h ^ np.uint64(0x5851F42D4C957F2D)), bounds)
             sketch = [_sketch(h[bounds[i] : bounds[i + 1]]) for i in range(rows_)]
-            late = np.zeros(len(h), bool)
+            late = np.zeros(len(h), np.int64)
             if len(often):
-                late = often[np.minimum(np.searchsorted(often, h), len(often) - 1)] == h
-            order = np.argsort(row * 2 + late, kind="stable")
+                at = np.minimum(np.searchsorted(often, h), len(often) - 1)
+                late = np.where(often[at] == h, 1 + level[at].astype(np.int64), 0)
+            order = np.argsort(row * 128 + late, kind="stable")
             size = np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
             first = np.arange(len(h)) - bounds[row] < size[row]
             prefix = pa.ListArray.from_arrays(
@@ -221,13 +227,23 @@ def components(rows: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     full = feat.where("n > 0")
     classes = cut_lineage(full.groupBy("h1", "h2").agg(F.min("key").alias("rep")))
     sets = cut_lineage(full.join(classes.select(F.col("rep").alias("key")), "key", "left_semi").select("key", "n", "sketch", "prefix"))
-    held = sets.select("key", F.explode("prefix").alias("token"))
-    regions = held.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("pivot")).where("c > 1")
-    members = cut_lineage(held.join(regions.select("token", "pivot"), "token"))
+    # left: n-grams from this one on
+    held = sets.select("key", "n", F.posexplode("prefix").alias("place", "token")).select(
+        "token", "key", (F.col("n") - F.col("place")).cast("int").alias("left"), F.col("n").cast("int").alias("n"))
+    regions = held.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "left", "n")).alias("p")).where("c > 1")
+    members = cut_lineage(held.join(
+        regions.select("token", F.col("p.key").alias("pivot"), F.col("p.left").alias("pivot_left"), F.col("p.n").alias("pivot_n")),
+        "token"))
     sets = sets.drop("prefix")
 
+    def could_link(left_x, n_x, left_y, n_y):
+        most = F.least(left_x, left_y)
+        return most * (100 + percent) >= (n_x + n_y) * percent
+
     # 1: members and pivots
-    pairs = members.where("key <> pivot").select(F.col("key").alias("x"), F.col("pivot").alias("y")).distinct()
+    c = F.col
+    pairs = members.where("key <> pivot").where(could_link(c("left"), c("n"), c("pivot_left"), c("pivot_n")))
+    pairs = pairs.select(F.col("key").alias("x"), F.col("pivot").alias("y")).distinct()
     bound = cut_lineage(_bounded(pairs, sets, percent))
     shared = cut_lineage(_shared(rows, bound.where(_may_link(percent)), words))
     links = _links(shared, sets, percent).where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -243,16 +259,16 @@ def components(rows: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     )
     member = (
         members.join(joined.toDF("key", "root"), "key", "left")
-        .select("token", "key", "pivot", F.coalesce("root", "key").alias("comp"))
+        .select("token", "key", "pivot", "left", "n", F.coalesce("root", "key").alias("comp"))
     )
     member = cut_lineage(member)
     open_ = member.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q")).where("p <> q").select("token")
     member = (
         member.join(open_, "token", "left_semi")
         .join(known, ["key", "pivot"], "left")
-        .join(sets.select("key", "n"), "key")
         .join(joined.toDF("pivot", "pivot_root"), "pivot", "left")
-        .select("token", "key", "comp", "n", "lo", "hi", (F.col("key") == F.col("pivot")).alias("is_pivot"),
+        .select("token", "key", "comp", "n", "left", F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi"),
+                (F.col("key") == F.col("pivot")).alias("is_pivot"),
                 (F.col("comp") != F.coalesce("pivot_root", "pivot")).alias("outside"))
     )
     member = cut_lineage(member.where("not is_pivot").drop("is_pivot"))
@@ -262,7 +278,7 @@ def components(rows: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         x,
         (F.col("y.token") == F.col("x.token")) & (F.col("y.comp") != F.col("x.comp"))
         & (~F.col("x.outside") | (F.col("x.key") < F.col("y.key")))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        & could_link(c("x.left"), c("x.n"), c("y.left"), c("y.n"))
         & (F.col("y.lo") - F.col("x.hi") <= r) & (F.col("x.lo") - F.col("y.hi") <= r),
     ).select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).distinct()
     close = _bounded(again, sets, percent).where(_may_link(percent))
