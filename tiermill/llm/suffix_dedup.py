@@ -19,9 +19,12 @@ A corpus does not fit one suffix array, so starts are dealt out by content:
    group of copies, however large, is one context.
 3. The distinct contexts below a gram meet in a task, in a suffix array of
    windows built by prefix doubling. A gram with more than ``group_limit``
-   distinct contexts is too much for a task; its windows are grouped by their
-   hashes in Spark instead, with the least and greatest place of each taken
-   before the shuffle. Both ways are exact and cover every window.
+   distinct contexts is too much for a task; it is split further instead: its
+   windows, by their distance from the anchor, into blocks. Windows of two
+   blocks can only be equal if the bytes common to a block's windows are equal;
+   blocks equal as a whole repeat as a whole; only one of each goes on to
+   single windows. Counts are taken before the shuffle. Both ways are exact and
+   cover every window.
 
 Texts are shuffled only for documents that hold a repeated gram. Null and empty
 texts have no bytes; texts shorter than ``length`` keep all. Repeated rows are
@@ -171,13 +174,42 @@ def _rank(values: np.ndarray) -> np.ndarray:
     return rank
 
 
+def _stretches(
+    contexts: list[np.ndarray], keys: np.ndarray, starts: np.ndarray, length: int
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The contexts from their first to their last window whose hash some other window has."""
+    sizes = np.array([len(c) for c in contexts])
+    count = np.maximum(sizes - length + 1, 0)
+    before = np.cumsum(count) - count
+    owner = np.repeat(np.arange(len(contexts)), count)
+    within = np.arange(len(owner)) - before[owner]
+    h = _Hashes(np.concatenate(contexts)).all_of(length)[(np.cumsum(sizes) - sizes)[owner] + within]
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    twice = np.zeros(len(h), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    at = np.flatnonzero(twice)
+    if not len(at):
+        return [], keys[:0], starts[:0]
+    first = np.flatnonzero(np.concatenate([[True], owner[at][1:] != owner[at][:-1]]))
+    last = np.append(first[1:], len(at)) - 1
+    which, a, b = owner[at[first]], within[at[first]], within[at[last]] + length
+    return [contexts[i][x:y] for i, x, y in zip(which, a, b, strict=True)], keys[which], starts[which] + a
+
+
 def repeated_windows(
     contexts: list[np.ndarray], keys: np.ndarray, starts: np.ndarray, length: int, keep: str
 ) -> Iterator[tuple[int, int, int]]:
     """(key, from, to): bytes of the contexts covered by windows to be removed.
 
-    Context i lies at ``starts[i]`` of document ``keys[i]``.
+    Context i lies at ``starts[i]`` of document ``keys[i]``. Contexts are cut
+    down first to the stretch of windows whose hash comes twice; equal windows
+    have equal hashes, so all of them stay.
     """
+    contexts, keys, starts = _stretches(contexts, keys, starts, length)
+    if not contexts:
+        return
     sizes = np.array([len(c) for c in contexts])
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     rank = window_ranks(np.concatenate(contexts), length)
@@ -206,22 +238,25 @@ def repeated_windows(
         yield int(key[at[a]]), int(start[at[a]]), int(start[at[b]]) + length
 
 
-def _covered(lists: list, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merged (starts, ends) of byte ranges, clipped to [0, n)."""
-    if not lists:
-        z = np.zeros(0, np.int64)
-        return z, z
-    r = np.array([(x["lo"], x["hi"]) for x in lists], np.int64)
-    r[:, 0], r[:, 1] = np.maximum(r[:, 0], 0), np.minimum(r[:, 1], n)
-    r = r[np.argsort(r[:, 0], kind="stable")]
-    end = np.maximum.accumulate(r[:, 1])
-    new = np.concatenate([[True], r[1:, 0] > end[:-1]])
-    at = np.flatnonzero(new)
-    return r[at, 0], end[np.append(at[1:] - 1, len(r) - 1)]
+def _covered(ranges: pa.Array, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each row, the merged (starts, ends) of its list of byte ranges, clipped to its size."""
+    none = np.zeros(0, np.int64)
+    flat = ranges.flatten()
+    count = ranges.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    last = np.cumsum(count)
+    lo, hi = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("lo", "hi"))
+    for size, a, b in zip(sizes, last - count, last, strict=True):
+        if a == b:
+            yield none, none
+            continue
+        order = np.argsort(lo[a:b], kind="stable")
+        start, end = np.maximum(lo[a:b][order], 0), np.maximum.accumulate(np.minimum(hi[a:b][order], size))
+        at = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+        yield start[at], end[np.append(at[1:] - 1, b - a - 1)]
 
 
 def removal_ranges(
-    rows: DataFrame, length: int, keep: str, gram: int | None = None, group_limit: int = 2000,
+    rows: DataFrame, length: int, keep: str, gram: int | None = None, group_limit: int = 400,
     task_bytes: int = 2 << 20,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(ranges, held, rest) of rows with key and text, and whatever else.
@@ -261,7 +296,7 @@ def removal_ranges(
                 text = data[offsets[i] : offsets[i + 1]]
                 for p in places:
                     lo = max(0, p["pos"] - reach)
-                    out.append((p["kh"], p["contexts"], keys_[i], lo, text[lo : p["pos"] + length].tobytes()))
+                    out.append((p["kh"], p["contexts"], keys_[i], lo, p["pos"] - lo, text[lo : p["pos"] + length].tobytes()))
                     if len(out) == 2000:
                         yield _context_rows(out)
                         out = []
@@ -269,7 +304,7 @@ def removal_ranges(
                 yield _context_rows(out)
 
     text_of = held.join(asked, "key").select("key", "text", "places").mapInArrow(
-        gather, "kh long, contexts long, key long, lo long, bytes binary")
+        gather, "kh long, contexts long, key long, lo long, anchor long, bytes binary")
     text_of = cut_lineage(text_of)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,32 +327,84 @@ def removal_ranges(
     small = text_of.where(F.col("contexts") <= group_limit).repartition("kh").sortWithinPartitions("kh")
     ranges = small.select("kh", "key", "lo", "bytes").mapInArrow(meet, "key long, lo long, hi long")
 
+    large = text_of.where(F.col("contexts") > group_limit)
+    if large.limit(1).count():
+        ranges = ranges.union(_split_groups(large, length, reach, keep))
+    return whole.union(ranges), held, rest
+
+
+#: Windows in a block.
+_BLOCK = 34
+
+
+def _blocks_of(size: int, anchor: int, length: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(block, least and greatest start by distance, least and greatest start inside the context) of its blocks."""
+    block = np.arange(-(-(reach + 1) // _BLOCK))
+    least = anchor - np.minimum((block + 1) * _BLOCK - 1, reach)
+    most = anchor - block * _BLOCK
+    a, b = np.maximum(least, 0), np.minimum(most, size - length)
+    some = a <= b
+    return block[some], least[some], most[some], a[some], b[some]
+
+
+def _split_groups(contexts: DataFrame, length: int, reach: int, keep: str) -> DataFrame:
+    """(key, lo, hi) for the contexts (kh, key, lo, anchor, bytes) below grams with many."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            out = []
+            for kh, key, lo, anchor, raw in zip(*columns, strict=True):
+                block, least, most, a, b = _blocks_of(len(raw), anchor, length, reach)
+                hashes = _Hashes(np.frombuffer(raw, np.uint8))
+                cut = mix64(((a - least) * _BLOCK + (most - b)).astype(np.uint64))
+                core, full = hashes.of(most, least + length), hashes.of(a, b + length) + cut
+                n = len(block)
+                out.append((np.full(n, kh), block, core.view(np.int64), full.view(np.int64), np.full(n, key), np.full(n, lo + anchor),
+                            lo + a, lo + b + length))
+            merged = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged], names=["kh", "block", "core", "full", "key", "at", "lo", "hi"])
+
+    schema = "kh long, block long, core long, full long, key long, at long, lo long, hi long"
+    contexts = contexts.select("kh", "key", "lo", "anchor", "bytes")
+    each = cut_lineage(contexts.mapInArrow(blocks, schema))
+    whole = each.groupBy("kh", "block", "core", "full").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo")).alias("first"))
+    whole = cut_lineage(whole)
+    cores = whole.groupBy("kh", "block", "core").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).where("total > 1")
+    named = whole.join(cores, ["kh", "block", "core"])
+    is_first = F.struct("key", "lo") == F.col("first")
+    found = cut_lineage(each.join(named, ["kh", "block", "core", "full"]).select(
+        "kh", "block", "key", "at", "lo", "hi", "n", "kinds", is_first.alias("is_first")))
+    marks = found.where("n > 1" if keep == "none" else "n > 1 and not is_first").select("key", "lo", "hi")
+    asked = found.where("is_first and kinds > 1").groupBy("kh", "key", "at").agg(F.collect_set("block").alias("blocks"))
+    # an anchor's place names its context; several may begin alike at a text's start
+    asked = contexts.withColumn("at", F.col("lo") + F.col("anchor")).join(asked, ["kh", "key", "at"])
+    asked = asked.select("kh", "key", "lo", "anchor", "bytes", "blocks")
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("kh", "key", "lo", "bytes")]
-            for kh, key, lo, raw in zip(*columns, strict=True):
-                h = _Hashes(np.frombuffer(raw, np.uint8)).all_of(length)
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for kh, key, lo, anchor, raw, wanted in zip(*columns, strict=True):
+                block, _, _, a, b = _blocks_of(len(raw), anchor, length, reach)
+                starts = np.concatenate([np.arange(x, y + 1) for j, x, y in zip(block, a, b, strict=True) if j in wanted])
+                h = _Hashes(np.frombuffer(raw, np.uint8)).of(starts, starts + length)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), kh)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), key)),
-                     pa.array(lo + np.arange(len(h)))], names=["kh", "wh", "key", "lo"])
+                    [pa.array(np.full(len(h), kh)), pa.array(anchor - starts), pa.array(h.view(np.int64)),
+                     pa.array(np.full(len(h), key)), pa.array(lo + starts)],
+                    names=["kh", "distance", "wh", "key", "lo"])
 
-    large = text_of.where(F.col("contexts") > group_limit)
-    if large.limit(1).count():
-        each = cut_lineage(large.select("kh", "key", "lo", "bytes").mapInArrow(windows, "kh long, wh long, key long, lo long"))
-        ends = each.groupBy("kh", "wh").agg(
-            F.min(F.struct("key", "lo")).alias("least"), F.max(F.struct("key", "lo")).alias("most")
-        ).where("least <> most").select("kh", "wh", "least")
-        hit = each.join(ends, ["kh", "wh"])
-        if keep == "first":
-            hit = hit.where(F.struct("key", "lo") != F.col("least"))
-        ranges = ranges.union(hit.select("key", "lo", (F.col("lo") + length).alias("hi")))
-    return whole.union(ranges), held, rest
+    single = cut_lineage(asked.mapInArrow(windows, "kh long, distance long, wh long, key long, lo long"))
+    ends = single.groupBy("kh", "distance", "wh").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo")).alias("first")).where("n > 1")
+    hit = single.join(ends.select("kh", "distance", "wh", "first"), ["kh", "distance", "wh"])
+    if keep == "first":
+        hit = hit.where(F.struct("key", "lo") != F.col("first"))
+    return marks.union(hit.select("key", "lo", (F.col("lo") + length).alias("hi")))
 
 
 def _context_rows(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    kinds = (*[pa.int64()] * 5, pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
-                                      names=["kh", "contexts", "key", "lo", "bytes"])
+                                      names=["kh", "contexts", "key", "lo", "anchor", "bytes"])
 
 
 def _range_rows(todo: list[tuple], length: int, keep: str) -> Iterator[pa.RecordBatch]:
@@ -345,9 +432,8 @@ def digest(docs: DataFrame, length: int = 400, keep: str = "none", id_col: str =
         for batch in batches:
             data, offsets = utf8_view(batch.column(1))
             rows = []
-            for i, lists in enumerate(batch.column(2).to_pylist()):
+            for i, (a, b) in enumerate(_covered(batch.column(2), np.diff(offsets))):
                 text = data[offsets[i] : offsets[i + 1]]
-                a, b = _covered(lists, len(text))
                 sha, at = hashlib.sha256(), 0
                 for lo, hi in zip(a, b, strict=True):
                     sha.update(text[at:lo])
@@ -375,9 +461,8 @@ def remove_repeats(docs: DataFrame, length: int, keep: str = "first", id_col: st
         for batch in batches:
             data, offsets = utf8_view(batch.column(2))
             texts = []
-            for i, lists in enumerate(batch.column(4).to_pylist()):
+            for i, (a, b) in enumerate(_covered(batch.column(4), np.diff(offsets))):
                 text = data[offsets[i] : offsets[i + 1]].tobytes()
-                a, b = _covered(lists, len(text))
                 parts, at = [], 0
                 for lo, hi in zip(a.tolist(), b.tolist(), strict=True):
                     while lo < hi and text[lo] & 0xC0 == 0x80:
