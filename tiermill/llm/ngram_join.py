@@ -102,10 +102,10 @@ def frequent_shingles(rows: DataFrame, words: int, share: float = FREQUENT) -> t
 
 
 def features(rows: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, id, n, h1, h2, sketch, prefix) of each row: set size, set hash, parity sketch, prefix n-grams in order."""
+    """(key, id, n, h1, h2, sketch, wide, prefix) of each row: set size, set hash, parity sketches, prefix n-grams in order."""
     spark = rows.sparkSession
     last = spark.sparkContext.broadcast(frequent)
-    schema = "key long, id long, n long, h1 long, h2 long, sketch binary, prefix array<long>"
+    schema = "key long, id long, n long, h1 long, h2 long, sketch binary, wide array<long>, prefix array<long>"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, level = last.value
@@ -115,6 +115,7 @@ def features(rows: DataFrame, words: int, percent: int, frequent: tuple[np.ndarr
             h1 = group_sums(mix64(h), bounds)
             h2 = group_sums(mix64(h ^ np.uint64(0x5851F42D4C957F2D)), bounds)
             sketch = [_sketch(h[bounds[i] : bounds[i + 1]]) for i in range(rows_)]
+            wide = np.frombuffer(b"".join(_sketch(h[bounds[i] : bounds[i + 1]], _WIDE) for i in range(rows_)), np.int64)
             late = np.zeros(len(h), np.int64)
             if len(often):
                 at = np.minimum(np.searchsorted(often, h), len(often) - 1)
@@ -129,16 +130,21 @@ def features(rows: DataFrame, words: int, percent: int, frequent: tuple[np.ndarr
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)).slice(a, rows_) for c in ("key", "id")]
                 + [pa.array(n.astype(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-                   pa.array(sketch, pa.binary()), prefix],
-                names=["key", "id", "n", "h1", "h2", "sketch", "prefix"],
+                   pa.array(sketch, pa.binary()),
+                   pa.ListArray.from_arrays(pa.array(np.arange(rows_ + 1, dtype=np.int32) * (_WIDE // 64)), pa.array(wide)), prefix],
+                names=["key", "id", "n", "h1", "h2", "sketch", "wide", "prefix"],
             )
 
     return rows.select("key", "id", "text").mapInArrow(apply, schema)
 
 
-def _sketch(h: np.ndarray) -> bytes:
-    """Parity of the elements in each of at least len(h) places (a power of two)."""
-    bits = max(64, 1 << max(0, len(h) - 1).bit_length())
+#: Bits of the sketch that all sets have alike, for use inside Spark's joins.
+_WIDE = 512
+
+
+def _sketch(h: np.ndarray, bits: int | None = None) -> bytes:
+    """Parity of the elements in each of ``bits`` places (at least len(h), a power of two, if not given)."""
+    bits = bits or max(64, 1 << max(0, len(h) - 1).bit_length())
     parity = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
 
@@ -226,7 +232,7 @@ def components(rows: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     feat = cut_lineage(features(rows, words, percent, frequent_shingles(rows, words)))
     full = feat.where("n > 0")
     classes = cut_lineage(full.groupBy("h1", "h2").agg(F.min("key").alias("rep")))
-    sets = cut_lineage(full.join(classes.select(F.col("rep").alias("key")), "key", "left_semi").select("key", "n", "sketch", "prefix"))
+    sets = cut_lineage(full.join(classes.select(F.col("rep").alias("key")), "key", "left_semi").select("key", "n", "sketch", "wide", "prefix"))
     # left: n-grams from this one on
     held = sets.select("key", "n", F.posexplode("prefix").alias("place", "token")).select(
         "token", "key", (F.col("n") - F.col("place")).cast("int").alias("left"), F.col("n").cast("int").alias("n"))
@@ -271,14 +277,17 @@ def components(rows: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
                 (F.col("key") == F.col("pivot")).alias("is_pivot"),
                 (F.col("comp") != F.coalesce("pivot_root", "pivot")).alias("outside"))
     )
-    member = cut_lineage(member.where("not is_pivot").drop("is_pivot"))
+    member = member.where("not is_pivot").drop("is_pivot").join(sets.select("key", "wide"), "key")
+    member = cut_lineage(member)
     y, x = member.where("outside").alias("y"), member.alias("x")
+    apart = sum((F.bit_count(c("x.wide")[i].bitwiseXOR(c("y.wide")[i])) for i in range(_WIDE // 64)), F.lit(0))
     r = 1 - percent / 100 + 1e-9
     again = y.join(
         x,
         (F.col("y.token") == F.col("x.token")) & (F.col("y.comp") != F.col("x.comp"))
         & (~F.col("x.outside") | (F.col("x.key") < F.col("y.key")))
         & could_link(c("x.left"), c("x.n"), c("y.left"), c("y.n"))
+        & (apart * (100 + percent) <= (c("x.n") + c("y.n")) * (100 - percent))
         & (F.col("y.lo") - F.col("x.hi") <= r) & (F.col("x.lo") - F.col("y.hi") <= r),
     ).select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).distinct()
     close = _bounded(again, sets, percent).where(_may_link(percent))
