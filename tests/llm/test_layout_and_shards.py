@@ -113,6 +113,28 @@ def test_groups_stay_together_and_a_hot_one_is_split_no_more_than_it_must(spark)
     assert sum(len(s) > 1 for t, s in at.items() if t.startswith("pair")) <= 6
 
 
+def test_shards_without_room_swap_documents(spark):
+    """Every text has a copy, so that linked documents fill all quotas."""
+    docs = spark.createDataFrame([(i, f"text {i // 2}") for i in range(4800)], "doc_id long, text string")
+    rows = sharding.shard_by_rows(docs, shards=8).collect()
+    check_shards(rows, 4800, 8)
+    at = defaultdict(set)
+    for r in rows:
+        at[r["doc_id"] // 2].add(r["shard"])
+    assert sum(len(s) > 1 for s in at.values()) < 240  # a tenth of the pairs
+
+
+def test_an_exchange_fills_no_shard_beyond_its_room():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 5, 9):
+        wish, free = rng.integers(0, 40, (n, n)) * rng.integers(0, 2, (n, n)), rng.integers(0, 30, n)
+        np.fill_diagonal(wish, 0)
+        granted = np.array(sharding.exchange(wish.tolist(), free.tolist()))
+        assert (granted >= 0).all() and (granted <= wish).all()
+        assert (granted.sum(0) - granted.sum(1) <= free).all()
+    assert sharding.exchange([[0, 3, 0], [0, 0, 2], [4, 0, 0]], [0, 0, 0]) == [[0, 2, 0], [0, 0, 2], [2, 0, 0]]
+
+
 # -- benchmark ---------------------------------------------------------------
 
 
