@@ -157,6 +157,16 @@ def test_leaks_against_brute_force(spark, messy, empty):
     assert decontamination.without_leaks(messy, bench).count() == messy.count()
 
 
+def test_documents_shorter_than_the_item(spark):
+    item = prose(910, 40).split()
+    docs = [(1, " ".join(item[:-3])), (2, " ".join(item[4:])), (3, " ".join(item[:20])), (4, " ".join(item[:-3]) + " " + prose(4, 60))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r["doc_id"]: (round(r["similarity"], 6), r["first_word"], r["n_words"]) for r in decontamination.leaks(docs, bench).collect()}
+    assert found == {1: (round(33 / 36, 6), 0, 37), 2: (round(32 / 36, 6), 0, 36), 4: (round(33 / 39, 6), 0, 40)}
+    assert [r["doc_id"] for r in decontamination.without_leaks(docs, bench).collect()] == [3]
+
+
 def test_block_tables_find_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(2)
     items = [(i, rng.integers(0, 2**63, 20).astype(np.uint64)) for i in range(8)]

@@ -2,8 +2,8 @@
 
 Words are runs of ASCII letters and digits and of non-ASCII bytes, without
 ASCII case. A benchmark item of n words is compared with windows of n words of
-every document, by the weighted Jaccard index of their ``k``-word shingles (an
-item of fewer words is one shingle). A shingle that stands in m items weighs
+every document (a document of fewer words is one window), by the weighted
+Jaccard index of their ``k``-word shingles (an item of fewer words is one shingle). A shingle that stands in m items weighs
 1 / m, others 1. A document leaks an item if some window reaches ``threshold``.
 
 * Only windows that hold one of the items' shingles can reach any similarity,
@@ -118,16 +118,15 @@ class ItemIndex:
         for size, places in sizes.items():
             for lo, hi in _stretches(places, size, len(shingles)):
                 part = shingles[lo:hi]
-                if len(part) < size:
-                    continue
-                prints = window_fingerprints(part, self.weights_of(part), size)
+                span = min(size, len(part))  # a shorter document is one window as a whole
+                prints = window_fingerprints(part, self.weights_of(part), span)
                 table = self.tables[size]
                 found = reduce(np.logical_or, (table[b][prints[:, b]] for b in range(_BLOCKS)))
                 window, nth = np.nonzero(found)
                 item = np.array(self.of_size[size])[nth]
                 far = np.bitwise_count(prints[window] ^ self.prints[item]).sum(axis=1)
                 for w, i, d in zip(window[far <= RADIUS].tolist(), item[far <= RADIUS].tolist(), far[far <= RADIUS].tolist(), strict=True):
-                    s = self.similarity(part[w : w + size], self.items[i][1])
+                    s = self.similarity(part[w : w + span], self.items[i][1])
                     if s >= threshold and (-s, lo + w) < (-best.get(i, (0.0, 0, 0))[0], best.get(i, (0.0, 0, 0))[1]):
                         best[i] = (s, lo + w, d)
         return best
@@ -201,7 +200,7 @@ def _scan(index, threshold: float):
                             continue  # a shorter row's one shingle is of another width
                         best = items.matches(shingles[begin[r] : begin[r + 1]], mine, threshold)
                         for i, (s, at, d) in sorted(best.items()):
-                            n = len(items.items[i][1]) + width - 1
+                            n = min(len(items.items[i][1]) + width - 1, int(bounds[r + 1] - bounds[r]))
                             found.append((batch.column(0)[a + r].as_py(), items.items[i][0], s, at, n, d))
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
             columns = list(zip(*found, strict=True)) if found else [[]] * len(kinds)
