@@ -167,6 +167,19 @@ def test_documents_shorter_than_the_item(spark):
     assert [r["doc_id"] for r in decontamination.without_leaks(docs, bench).collect()] == [3]
 
 
+def test_items_that_repeat_or_share_a_passage_hide_nothing(spark, monkeypatch):
+    item = prose(920, 59).split()
+    near = item[:30] + ["changed"] + item[31:]
+    docs = spark.createDataFrame([(1, " ".join(near)), (2, prose(9, 80))], "doc_id long, text string")
+    items = [(i, " ".join(item)) for i in range(3)] + [(i, " ".join(item) + " question " + prose(921 + i, 9)) for i in range(3, 6)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    read = lambda: sorted((r["doc_id"], r["item_id"], round(r["similarity"], 6)) for r in decontamination.leaks(docs, bench).collect())
+    found = read()
+    assert [r for r in found if r[1] < 3] == [(1, i, round(50 / 60, 6)) for i in range(3)]
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", 1000)  # several blocks
+    assert read() == found
+
+
 def test_block_tables_find_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(2)
     items = [(i, rng.integers(0, 2**63, 20).astype(np.uint64)) for i in range(8)]

@@ -3,14 +3,18 @@
 Words are runs of ASCII letters and digits and of non-ASCII bytes, without
 ASCII case. A benchmark item of n words is compared with windows of n words of
 every document (a document of fewer words is one window), by the weighted
-Jaccard index of their ``k``-word shingles (an item of fewer words is one shingle). A shingle that stands in m items weighs
-1 / m, others 1. A document leaks an item if some window reaches ``threshold``.
+Jaccard index of their ``k``-word shingles (an item of fewer words is one shingle). A shingle that stands in
+m distinct item texts of the whole benchmark weighs 1 / m, others 1. A
+document leaks an item if some window reaches ``threshold`` by these weights,
+or with weight 1 for all (so that passages which items share hide nothing);
+``similarity`` is the greater of the two.
 
 * Only windows that hold one of the items' shingles can reach any similarity,
   so the words of all texts are read, but only stretches around such shingles
   go on. This loses nothing.
 * Each window of a size that an item asks for has a 128-bit SimHash of its
-  weighted shingles. Sixteen blocks of eight bits are looked up in tables
+  weighted shingles and, if items share any, one of the shingles with weight 1.
+  Sixteen blocks of eight bits are looked up in tables
   that list the items within two bits of each block value; by the pigeonhole
   principle every fingerprint within ``RADIUS`` = 47 bits is among those found.
 * Candidates within the radius are verified exactly.
@@ -20,7 +24,8 @@ The radius is a generous one for the default threshold: windows of similarity
 beyond 47 is more than six deviations off.
 
 Items are read in blocks of bounded size (one block for all common
-benchmarks); each block is a map over the documents. Null and empty texts and
+benchmarks); each block is a map over the documents. The shingles that items
+share, with their counts, are made in Spark and go to every block. Null and empty texts and
 items match nothing; repeated rows and items are each on their own, extra
 columns do not matter, and an empty table (of either kind) gives an empty
 result.
@@ -37,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import ascii_lower, mix64, sendable, slices, span_hashes, utf8_view, word_shingles
+from tiermill.llm.common import ascii_lower, distinct_by_row, mix64, sendable, slices, span_hashes, utf8_view, word_shingles
 from tiermill.session import cut_lineage
 
 BITS = 128
@@ -77,14 +82,20 @@ def window_fingerprints(shingles: np.ndarray, weights: np.ndarray, size: int) ->
     return np.packbits(total[size:] - total[:-size] > 0, axis=1)
 
 
+def _ones(shingles: np.ndarray) -> np.ndarray:
+    return np.ones(len(shingles))
+
+
 class ItemIndex:
     """Items of one shingle width: their shingles, weights and block tables by window size."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
+    def __init__(self, items: list[tuple[int, np.ndarray]], shared: tuple[np.ndarray, np.ndarray] | None = None):
+        """``shared``: sorted shingles of several items and their counts; without it, they are counted here."""
         self.items = items
-        every, first, count = np.unique(np.concatenate([np.unique(s) for _, s in items]), return_index=True, return_counts=True)
-        del first
-        self.shingles, self.weight = every, 1.0 / count
+        every, count = np.unique(np.concatenate([np.unique(s) for _, s in items]), return_counts=True)
+        self.shingles = every
+        self.shared, count = shared if shared is not None else (every[count > 1], count[count > 1])
+        self.weight = 1.0 / count
         self.small = np.zeros(1 << 20, bool)
         self.small[(every & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.of_size: dict[int, list[int]] = defaultdict(list)
@@ -93,14 +104,22 @@ class ItemIndex:
             self.of_size[len(s)].append(i)
             for h in s.tolist():
                 self.where[h].add(len(s))
-        self.prints = np.vstack([window_fingerprints(s, self.weights_of(s), len(s)) for _, s in items])
+        # fingerprints and tables by weight, and with weight 1 if that is not the same
+        weighings = [self.weights_of, _ones] if len(self.shared) else [_ones]
+        self.ways = [(weigh, *self._look_up(weigh)) for weigh in weighings]
+        _, self.prints, self.tables = self.ways[0]
+
+    def _look_up(self, weigh) -> tuple[np.ndarray, dict[int, list[np.ndarray]]]:
+        prints = np.vstack([window_fingerprints(s, weigh(s), len(s)) for _, s in self.items])
         near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= _NEAR
         # tables[size][block][value]: which of the size's items are within two bits of that block value
-        self.tables = {size: [near[:, self.prints[which, b]] for b in range(_BLOCKS)] for size, which in self.of_size.items()}
+        return prints, {size: [near[:, prints[which, b]] for b in range(_BLOCKS)] for size, which in self.of_size.items()}
 
     def weights_of(self, shingles: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
-        return np.where(self.shingles[at] == shingles, self.weight[at], 1.0)
+        if not len(self.shared):
+            return _ones(shingles)
+        at = np.minimum(np.searchsorted(self.shared, shingles), len(self.shared) - 1)
+        return np.where(self.shared[at] == shingles, self.weight[at], 1.0)
 
     def known(self, shingles: np.ndarray) -> np.ndarray:
         """Places of shingles that stand in an item."""
@@ -119,13 +138,16 @@ class ItemIndex:
             for lo, hi in _stretches(places, size, len(shingles)):
                 part = shingles[lo:hi]
                 span = min(size, len(part))  # a shorter document is one window as a whole
-                prints = window_fingerprints(part, self.weights_of(part), span)
-                table = self.tables[size]
-                found = reduce(np.logical_or, (table[b][prints[:, b]] for b in range(_BLOCKS)))
-                window, nth = np.nonzero(found)
-                item = np.array(self.of_size[size])[nth]
-                far = np.bitwise_count(prints[window] ^ self.prints[item]).sum(axis=1)
-                for w, i, d in zip(window[far <= RADIUS].tolist(), item[far <= RADIUS].tolist(), far[far <= RADIUS].tolist(), strict=True):
+                near: dict[tuple[int, int], int] = {}
+                for weigh, item_prints, tables in self.ways:
+                    prints, table = window_fingerprints(part, weigh(part), span), tables[size]
+                    found = reduce(np.logical_or, (table[b][prints[:, b]] for b in range(_BLOCKS)))
+                    window, nth = np.nonzero(found)
+                    item = np.array(self.of_size[size])[nth]
+                    far = np.bitwise_count(prints[window] ^ item_prints[item]).sum(axis=1)
+                    for w, i, d in zip(window[far <= RADIUS].tolist(), item[far <= RADIUS].tolist(), far[far <= RADIUS].tolist(), strict=True):
+                        near[w, i] = min(d, near.get((w, i), d))
+                for (w, i), d in near.items():
                     s = self.similarity(part[w : w + span], self.items[i][1])
                     if s >= threshold and (-s, lo + w) < (-best.get(i, (0.0, 0, 0))[0], best.get(i, (0.0, 0, 0))[1]):
                         best[i] = (s, lo + w, d)
@@ -133,8 +155,12 @@ class ItemIndex:
 
     def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
         a, b = np.unique(a), np.unique(b)
-        both = self.weights_of(np.intersect1d(a, b, assume_unique=True)).sum()
-        return float(both / (self.weights_of(a).sum() + self.weights_of(b).sum() - both))
+        common = np.intersect1d(a, b, assume_unique=True)
+        out = 0.0
+        for weigh, *_ in self.ways:
+            both = weigh(common).sum()
+            out = max(out, float(both / (weigh(a).sum() + weigh(b).sum() - both)))
+        return out
 
 
 def _stretches(places: list[int], size: int, n: int) -> Iterator[tuple[int, int]]:
@@ -152,7 +178,24 @@ def _stretches(places: list[int], size: int, n: int) -> Iterator[tuple[int, int]
         yield lo, hi
 
 
-def _indexes(items: list[tuple[int, bytes]], k: int) -> dict[int, ItemIndex]:
+def shared_shingles(items: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that stand in several distinct texts of ``items`` (text), and in how many."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8_view(batch.column(0))
+            for a, b in slices(offsets):
+                words, bounds = words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                _, h = distinct_by_row(*word_shingles(words, bounds, k))
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+    found = items.select("text").distinct().mapInArrow(apply, "h long").groupBy("h").count().where("count > 1").toArrow()
+    h = found.column("h").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], found.column("count").to_numpy().astype(np.int64)[order]
+
+
+def _indexes(items: list[tuple[int, bytes]], k: int, shared: tuple[np.ndarray, np.ndarray]) -> dict[int, ItemIndex]:
     """An index for each shingle width in use (``k``, and the lengths of shorter items)."""
     by_width: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
     for item, raw in items:
@@ -160,7 +203,7 @@ def _indexes(items: list[tuple[int, bytes]], k: int) -> dict[int, ItemIndex]:
         if len(words):
             width = min(k, len(words))
             by_width[width].append((item, word_shingles(words, bounds, width)[1]))
-    return {width: ItemIndex(found) for width, found in by_width.items()}
+    return {width: ItemIndex(found, shared) for width, found in by_width.items()}
 
 
 def leaks(
@@ -173,12 +216,13 @@ def leaks(
     items = benchmark.select(benchmark[item_id].cast("long").alias("item"), benchmark[item_text].alias("text")).where(F.octet_length("text") > 0)
     size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = -(-size // ITEM_BYTES)
+    shared = shared_shingles(items, k)
     schema = "id long, item long, similarity double, first_word long, n_words long, hamming long"
     out = spark.createDataFrame([], schema)
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
         got = sorted((r["item"] if r["item"] is not None else -1, r["text"].encode()) for r in part.collect())
-        index = spark.sparkContext.broadcast(_indexes(got, k))
+        index = spark.sparkContext.broadcast(_indexes(got, k, shared))
         out = out.union(rows.mapInArrow(_scan(index, threshold), schema))
     return out.withColumnsRenamed({"id": id_col, "item": item_id})
 
