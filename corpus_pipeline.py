@@ -20,7 +20,7 @@ from tiermill.llm import decontamination, langid, ngram_join, packing, suffix_de
 from tiermill.llm.common import crc_of_id, read_table
 from tiermill.session import cut_lineage
 
-#: Least bytes of a repeated passage; fifty words and more hold over 200 bytes.
+#: Least bytes of a repeated passage; more than fifty words take over 200 bytes unless they are short.
 PASSAGE_BYTES = 200
 
 

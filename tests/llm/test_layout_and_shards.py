@@ -180,6 +180,15 @@ def test_items_that_repeat_or_share_a_passage_hide_nothing(spark, monkeypatch):
     assert read() == found
 
 
+def test_rows_go_by_themselves_not_by_their_id(spark):
+    item = prose(930, 30)
+    docs = [(None, item, "a"), (None, prose(1, 30), "b"), (7, item, "c"), (7, prose(2, 30), "d"), (8, prose(3, 30), "e")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, key string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontamination.without_leaks(docs, bench)
+    assert kept.columns == docs.columns and sorted(r["key"] for r in kept.collect()) == ["b", "d", "e"]
+
+
 def test_block_tables_find_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(2)
     items = [(i, rng.integers(0, 2**63, 20).astype(np.uint64)) for i in range(8)]

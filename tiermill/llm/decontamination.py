@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import ascii_lower, distinct_by_row, mix64, sendable, slices, span_hashes, utf8_view, word_shingles
+from tiermill.llm.common import ascii_lower, distinct_by_row, mix64, sendable, slices, span_hashes, utf8_view, with_key, without_key, word_shingles
 from tiermill.session import cut_lineage
 
 BITS = 128
@@ -257,6 +257,7 @@ def _scan(index, threshold: float):
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, k: int = 5,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that leak no item (rows with a null id always stay)."""
-    bad = leaks(docs.select(id_col, text_col), benchmark, threshold, k, id_col, text_col).select(id_col).dropna().distinct()
-    return docs.join(sendable(cut_lineage(bad)), id_col, "left_anti")
+    """The rows of ``docs`` that leak no item, whether or not their ids are null or shared."""
+    rows = with_key(docs, id_col, text_col, rest=True)
+    bad = leaks(rows.select("key", "text"), benchmark, threshold, k, "key", "text").select("key").distinct()
+    return without_key(rows.join(sendable(cut_lineage(bad)), "key", "left_anti"), docs, id_col, text_col)
