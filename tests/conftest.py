@@ -7,8 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tiermill.session import get_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,10 +19,3 @@ def scratch(spark):
     from tiermill.session import new_scratch_path
 
     return new_scratch_path(spark, "test")
-
-
-def local_path(path: str) -> str:
-    """Plain local path of a scratch location (tests only inspect local folders)."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    return path

@@ -11,7 +11,7 @@ from tiermill.sources.layers import list_tables, write_layer
 from tiermill.sources.raw_csv import read_raw
 from tiermill.streaming import stream_ingest
 
-from conftest import SF_SMALL, local_path
+from tests.support import SF_SMALL, local_path
 
 
 @pytest.fixture(scope="module")
