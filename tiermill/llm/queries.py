@@ -15,6 +15,7 @@ from tiermill.llm import (
     ngram_join,
     packing,
     quality,
+    sentence_pieces,
     sharding,
     spotsigs,
     suffix_dedup,
@@ -81,6 +82,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode(read_table(spark, sf_dir, "documents"), path)
+    return sentence_pieces.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -92,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
+    "op11_sentencepiece": op11_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {}
