@@ -174,6 +174,16 @@ def group_sums(values: np.ndarray, bounds: np.ndarray, op=np.add, empty=0) -> np
     return out
 
 
+def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
+    """min(x[i : i + width]) for each whole window, by block-wise running minima."""
+    n = len(x) - width + 1
+    pad = -len(x) % width
+    blocks = np.concatenate([x, np.full(pad, np.iinfo(x.dtype).max, x.dtype)]).reshape(-1, width)
+    before = np.minimum.accumulate(blocks, axis=1).ravel()
+    after = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(after[:n], before[width - 1 : width - 1 + n])
+
+
 # -- rows ----------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,6 +15,7 @@ from tiermill.llm import (
     langid,
     ngram_join,
     packing,
+    periodic_runs,
     quality,
     sentence_pieces,
     sharding,
@@ -92,6 +94,32 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Words of the tenth of the documents whose words from some place on repeat with some period."""
+    n, h = len(words), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect(read_table(spark, sf_dir, "documents"), least=12, rewrite=_repeated_tail)
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    comma, line = F.lit(","), F.lit("\n")
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), comma, r["length"].cast("string"), comma, r["period"].cast("string"), line))
+    found = found.withColumn("best", F.array_max(ranked))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -104,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
     "op11_sentencepiece": op11_sentencepiece,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -49,6 +49,7 @@ from tiermill.llm.common import (
     mix64,
     sendable,
     slices,
+    sliding_min,
     utf8_view,
     with_key,
     without_key,
@@ -75,16 +76,6 @@ class _Hashes:
         return mix64((self.prefix[size:] - self.prefix[:n]) * self.down[:n])
 
 
-def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
-    """min(x[i : i + width]) for each whole window, by block-wise running minima."""
-    n = len(x) - width + 1
-    pad = -len(x) % width
-    blocks = np.concatenate([x, np.full(pad, np.iinfo(x.dtype).max, x.dtype)]).reshape(-1, width)
-    before = np.minimum.accumulate(blocks, axis=1).ravel()
-    after = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(after[:n], before[width - 1 : width - 1 + n])
-
-
 def _anchors_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     """(row, place, gram hash, context hash) of the anchors of a slice's rows; places count from the row's start."""
     if len(data) < length:
@@ -93,7 +84,7 @@ def _anchors_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     hashes = _Hashes(data)
     grams = hashes.all_of(gram)
     order = (mix64(grams) >> np.uint64(_PLACE)) << np.uint64(_PLACE) | np.arange(len(grams), dtype=np.uint64)
-    least = _sliding_min(order, length - gram + 1)
+    least = sliding_min(order, length - gram + 1)
     row = np.searchsorted(offsets, np.arange(len(least)), side="right") - 1
     inside = np.flatnonzero(np.arange(len(least)) + length <= offsets[row + 1])
     at = (least[inside] & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
