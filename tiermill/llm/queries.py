@@ -16,6 +16,7 @@ from tiermill.llm import (
     ngram_join,
     packing,
     periodic_runs,
+    prefix_trie,
     quality,
     sentence_pieces,
     sharding,
@@ -94,6 +95,11 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.nodes(*prefix_trie.rebuilt(turns))
+
+
 def _repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Words of the tenth of the documents whose words from some place on repeat with some period."""
     n, h = len(words), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -132,7 +138,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: CRC-32 of a decimal number's text, bit by bit.
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, [ascii(ch)::BIGINT for ch in string_split(conv_id::VARCHAR, '')]),
+    lambda c, b: list_reduce(
+        list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op12_prefix_trie": f"""
+WITH own AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT DISTINCT conv_id AS c, conv_id - conv_id % 100 AS source, {_CRC32} % 6 AS h FROM own),
+turns AS (
+    SELECT c, pos, role, text FROM convs JOIN own ON own.conv_id = source AND pos < h
+    UNION ALL
+    SELECT c, pos, role, text FROM convs JOIN own ON own.conv_id = c AND pos >= h),
+placed AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY pos) AS d, length(text) AS size,
+           list({{'role': role, 'text': text}}) OVER (PARTITION BY c ORDER BY pos) AS path
+    FROM turns),
+walks AS (
+    SELECT c, d, size, path FROM placed
+    UNION ALL
+    SELECT c, 0, 0, [] FROM convs),
+lengths AS (SELECT c, max(d) AS n FROM walks GROUP BY c),
+named AS (
+    SELECT w.*, min(w.c) OVER (PARTITION BY w.d, w.path) AS node, w.d = n AS is_end
+    FROM walks w JOIN lengths USING (c)),
+nodes AS (
+    SELECT node, d, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS adds,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_end), '')) AS ends
+    FROM named GROUP BY node, d),
+steps AS (
+    SELECT DISTINCT b.node, b.d, a.node AS parent FROM named b JOIN named a ON a.c = b.c AND a.d = b.d - 1),
+children AS (SELECT parent, d - 1 AS d, count(*) AS n_children FROM steps GROUP BY ALL),
+below AS (SELECT DISTINCT a.node, a.d, b.node AS node_b, b.d AS d_b FROM named a JOIN named b ON a.c = b.c AND b.d >= a.d),
+sums AS (
+    SELECT below.node, below.d, sum(adds) AS saved, count(*) FILTER (k.n_children IS NULL) AS leaves
+    FROM below JOIN nodes x ON x.node = node_b AND x.d = d_b
+    LEFT JOIN children k ON k.parent = node_b AND k.d = d_b
+    GROUP BY ALL)
+SELECT nodes.node AS conv_id, nodes.d::BIGINT AS depth, steps.parent AS parent_conv_id, n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+       ends AS ends_sha256
+FROM nodes JOIN sums USING (node, d)
+LEFT JOIN steps USING (node, d)
+LEFT JOIN children ON children.parent = nodes.node AND children.d = nodes.d
+""",
+}
