@@ -50,26 +50,81 @@ def test_digest_of_documents(documents):
     assert sum(w[1] for w in want.values()) > 0
 
 
-def test_large_groups_take_the_other_way_with_the_same_result(spark):
+def words_covered(texts: list[str], length: int, keep: str) -> list[set]:
+    """Brute force over words: which word numbers go, or (shared) stand in another text as well."""
+    lists = [t.split() for t in texts]
+    where = defaultdict(list)
+    for d, w in enumerate(lists):
+        for i in range(len(w) - length + 1):
+            where[tuple(w[i : i + length])].append((d, i))
+    out = [set() for _ in texts]
+    for places in where.values():
+        for d, i in places:
+            gone = {"none": len(places) > 1, "first": (d, i) != min(places), "shared": len({x for x, _ in places}) > 1}[keep]
+            if gone:
+                out[d].update(range(i, i + length))
+    return out
+
+
+def awkward_texts() -> list[str]:
     shared = prose(50, 90)
-    rows = [(i, prose(100 + i, 40) + " " + shared + " " + prose(200 + i, 30)) for i in range(12)]
+    texts = [prose(100 + i, 40) + " " + shared + " " + prose(200 + i, 30) for i in range(12)]
+    texts += [" ".join(shared.split()[i:]) + " " + prose(400 + i, 9) for i in range(0, 40, 3)]
     # periodic texts name many anchors of one gram, near their starts as well
-    rows += [(12, "ab " * 90 + prose(7, 9)), (13, "ab " * 80 + prose(8, 9)), (14, "x" + "ab " * 60), (15, "b ab " + "ab " * 55 + "q")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return texts + ["ab " * 90 + prose(7, 9), "ab " * 80 + prose(8, 9), "x" + "ab " * 60, "b ab " + "ab " * 55 + "q", prose(9, 3) + " ab" * 70]
+
+
+@pytest.mark.parametrize("keep", ["none", "first", "shared"])
+@pytest.mark.parametrize("part_rows", [100_000, 1, 3])
+def test_parts_of_any_size_give_the_same_ranges(spark, keep, part_rows):
+    texts = awkward_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     keyed = with_key(docs, "doc_id", "text")
 
-    def bytes_of(keep, limit):
-        ranges, _, _ = suffix_dedup.removal_ranges(keyed, 120, keep, group_limit=limit)
-        out = defaultdict(set)
-        for r in ranges.collect():
-            out[r["key"]].update(range(max(0, r["lo"]), min(r["hi"], len(rows[r["key"]][1].encode()))))
+    def units(length, unit):
+        out, size = defaultdict(set), {i: len(t.encode() if unit == "bytes" else t.split()) for i, t in enumerate(texts)}
+        for r in suffix_dedup.repeats(keyed, length, unit, keep, part_rows=part_rows).collect():
+            assert 0 <= r["lo"] < r["hi"] <= size[r["key"]]
+            out[r["key"]].update(range(r["lo"], r["hi"]))
         return out
 
-    for keep in ("none", "first"):
-        want = covered([t.encode() for _, t in rows], 120, keep)
-        for limit in (2000, 1):
-            got = bytes_of(keep, limit)
-            assert all(got[i] == set(np.flatnonzero(want[i]).tolist()) for i in range(len(rows)))
+    want, got = words_covered(texts, 20, keep), units(20, "words")
+    if keep == "shared":
+        assert {i for i, w in enumerate(want) if w} == set(got)
+        assert all(got[i] <= want[i] for i in got)
+        return
+    assert [got[i] for i in range(len(texts))] == want
+    want, got = covered([t.encode() for t in texts], 120, keep), units(120, "bytes")
+    assert all(got[i] == set(np.flatnonzero(want[i]).tolist()) for i in range(len(texts)))
+
+
+def test_words_are_cut_out_whole(spark):
+    texts = awkward_texts() + ["  " + prose(50, 90).replace(" ", "\n\t ") + "  tail é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in suffix_dedup.remove_repeats(docs, 20, "words").collect()}
+    for i, gone in enumerate(words_covered(texts, 20, "first")):
+        assert out[i].split() == [w for k, w in enumerate(texts[i].split()) if k not in gone]
+    assert out[len(texts) - 1].startswith("  ") and out[len(texts) - 1].endswith("  tail é")
+
+
+def test_shares_passage(spark):
+    texts = [prose(1, 200), prose(2, 200), prose(3, 60) + " " + prose(1, 51), prose(4, 60) + " " + prose(2, 50), "a b c " * 60, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["shares_passage"] for r in suffix_dedup.digest(docs).collect()}
+    assert got == {0: 1, 1: 0, 2: 1, 3: 0, 4: 0, 5: 0}
+
+
+def test_nearest_smaller_positions_and_matches():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 7, 200):
+        values = rng.permutation(n)
+        want = [max((j for j in range(i) if values[j] < values[i]), default=-1) for i in range(n)]
+        assert suffix_dedup.previous_smaller(values).tolist() == want
+        rank = rng.integers(0, max(1, n // 3), n)
+        for later in (False, True):
+            sign = -1 if later else 1
+            got = suffix_dedup.has_match(rank, values, later)
+            assert got.tolist() == [any(rank[j] == rank[i] and sign * values[j] < sign * values[i] for j in range(n)) for i in range(n)]
 
 
 def test_remove_repeats_keeps_the_first_and_other_columns(messy, empty):
@@ -86,31 +141,35 @@ def test_remove_repeats_keeps_the_first_and_other_columns(messy, empty):
 
 def test_window_ranks_sort_as_strings():
     rng = np.random.default_rng(1)
-    data = rng.integers(97, 99, 300).astype(np.uint8)
+    data = rng.integers(97, 99, 300)
     for length in (3, 8, 13, 50):
         rank = suffix_dedup.window_ranks(data, length)
-        strings = [data[i : i + length].tobytes().ljust(length, b"\0") for i in range(len(data))]
+        strings = [tuple(data[i : i + length].tolist()) for i in range(len(data))]
         order = {s: k for k, s in enumerate(sorted(set(strings)))}
         assert [order[s] for s in strings] == rank.tolist()
 
 
 def test_a_very_long_text_is_read_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 2000)
-    monkeypatch.setattr(suffix_dedup, "_PLACE", 12)
-    data = np.frombuffer((prose(9, 900) + prose(10, 200) + prose(9, 300)).encode(), np.uint8)
-    offsets = np.array([0, len(data)])
-    whole = set()
-    monkeypatch.setattr(suffix_dedup, "_PLACE", 22)
-    _, at, kh, _ = suffix_dedup._anchors_of(data, offsets, 100, 30)
-    whole = set(zip(at.tolist(), kh.tolist(), strict=True))
-    parts = set()
-    monkeypatch.setattr(suffix_dedup, "_PLACE", 12)
-    for _, part, off, base, lo, hi in suffix_dedup._pieces(data, offsets, 100):
+    text = prose(9, 900) + prose(10, 200) + prose(9, 300)
+    for unit, length in (("bytes", 100), ("words", 17)):
+        data = np.frombuffer(text.encode(), np.uint8)
+        symbols, offsets = suffix_dedup._symbols(data, np.array([0, len(data)]), unit)
+        whole = set(zip(*(c.tolist() for c in suffix_dedup._anchors_of(symbols, offsets, length, 5)[1:]), strict=True))
+        monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 300)
+        assert (suffix_dedup._symbols(data, np.array([0, len(data)]), unit)[0] == symbols).all()
+        if unit == "words":
+            starts, ends = suffix_dedup._word_places(data)
+            assert [data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)] == text.split()
+        monkeypatch.setattr(suffix_dedup, "_PLACE", 9)
+        pieces = list(suffix_dedup._pieces(symbols, offsets, length))
         monkeypatch.setattr(suffix_dedup, "_PLACE", 22)
-        _, at, kh, _ = suffix_dedup._anchors_of(part, off, 100, 30)
-        monkeypatch.setattr(suffix_dedup, "_PLACE", 12)
-        parts |= {(a + base, k) for a, k in zip(at.tolist(), kh.tolist(), strict=True) if lo <= a + base < hi}
-    assert parts == whole
+        monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 1 << 20)
+        parts = set()
+        for part, off, base, lo, hi in pieces:
+            _, at, first, last, kh, ch = suffix_dedup._anchors_of(part, off, length, 5)
+            rows = zip(*(c.tolist() for c in (at + base, first + base, last + base, kh, ch)), strict=True)
+            parts |= {r for r in rows if lo <= r[0] < hi}
+        assert len(pieces) > 3 and parts == whole
 
 
 # -- n-gram Jaccard ----------------------------------------------------------

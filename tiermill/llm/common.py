@@ -7,7 +7,7 @@ of its own), so a task's memory follows the slice, not the partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -184,6 +184,21 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n], before[width - 1 : width - 1 + n])
 
 
+#: Empties the tables that operators keep in a worker process from task to task.
+_TABLES: list[Callable[[], None]] = []
+
+
+def keep_table(clear: Callable[[], None]) -> None:
+    """Registers a table that a worker process keeps from task to task."""
+    _TABLES.append(clear)
+
+
+def release_tables() -> None:
+    """Empties them; for tasks that need the memory and none of the tables."""
+    for clear in _TABLES:
+        clear()
+
+
 # -- rows ----------------------------------------------------------------
 
 

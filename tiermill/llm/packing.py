@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import with_key
+from tiermill.llm.common import keep_table, with_key
 from tiermill.session import cut_lineage
 
 
@@ -97,6 +97,7 @@ class WordEncoder:
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+keep_table(_ENCODERS.clear)
 
 
 def pieces(

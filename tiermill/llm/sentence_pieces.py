@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tiermill.llm.common import keep_table
+
 #: Characters of text that are worked on at once.
 SLICE_CHARS = 1 << 20
 #: Characters that a task's table of chunks may hold.
@@ -169,6 +171,7 @@ def parts(text: str, size: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
 
 
 _CODECS: dict[str, Codec] = {}
+keep_table(_CODECS.clear)
 
 
 def _codec(path: str) -> Codec:
