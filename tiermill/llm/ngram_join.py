@@ -1,4 +1,4 @@
-"""N-gram Jaccard join in the metric space of Jaccard distances: pivots, windows, exact recursion.
+"""N-gram Jaccard join in the metric space of Jaccard distances: pivots, windows, one further exact join.
 
 A document is the set of its word n-grams; two link when 100 times their
 shared n-grams reach ``percent`` times their union, that is at a Jaccard
@@ -19,10 +19,12 @@ link, which parts copies whose own words come first.
    sets' sizes and parity sketches bound distances from below, without loss;
    the pairs that remain are compared exactly. Distances at most r are links.
 2. Members linked with the pivot are joined through it. A region with members
-   outside its pivot's component joins again: each of these against every
-   member of another component in the triangle-inequality window, where
+   outside its pivot's component is joined once more: each of these against
+   every member of another component in the triangle-inequality window, where
    the known bounds of both distances to the pivot differ by at most r. What
-   the bounds leave is compared exactly.
+   the bounds leave is compared exactly. (One pass: members of a region that
+   are unrelated are all at distance 1, so pivots of a further recursion would
+   part off nothing but themselves.)
 3. Components of all links, by contraction in Spark.
 
 Every pair that could link shares a region, and there it has the pivot in it,
@@ -48,6 +50,7 @@ from tiermill.llm.common import (
     distinct_by_row,
     group_sums,
     mix64,
+    release_tables,
     sendable,
     slices,
     smallest_reachable,
@@ -60,8 +63,10 @@ from tiermill.llm.common import (
 )
 from tiermill.session import cut_lineage
 
-#: N-grams in this share of the documents or more go last in the order; at most its inverse times the mean set size.
-FREQUENT = 1 / 1000
+#: N-grams in so many documents or more go last in the order, the more the later.
+FREQUENT = 32
+#: If there are more of them than so many (9 bytes each, sent to all tasks), only the most frequent do.
+MOST_SENT = 1_000_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,24 +83,29 @@ def _per_slice(batches: Iterator[pa.RecordBatch], words: int):
             yield batch, a, b - a, *shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
 
 
-def frequent_shingles(rows: DataFrame, words: int, share: float = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams, binary logarithms of their counts): those that stand in ``share`` of all documents or more, and in as large a share of some batch.
+def frequent_shingles(rows: DataFrame, words: int, least: int = FREQUENT, most: int = MOST_SENT) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams, binary logarithms of their counts) of n-grams counted ``least`` times or more, at most ``most`` of them.
 
-    One that frequent overall is that frequent in at least one batch, so each
-    batch passes on only its own frequent ones.
+    Counted are those that stand in three documents of some batch at least:
+    the order is right with any set of them, and one that stands in a large
+    part of the corpus does so in some batch.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             found = [h for _, _, _, _, h in _per_slice([batch], words)]
             h, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            often = n >= max(3, share * batch.num_rows)
+            often = n >= 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["token", "n"])
 
     seen = rows.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    least = max(3, share * rows.select("key").count() / 2)
-    got = seen.where(F.col("n") >= least).toPandas()
+    seen = cut_lineage(seen.where(F.col("n") >= least))
+    # the least power of two that leaves few enough: one row for each power
+    sizes = {r["p"]: r["c"] for r in seen.groupBy(F.floor(F.log2("n")).cast("int").alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}
+    power = next((p for p in sorted(sizes) if sum(c for q, c in sizes.items() if q >= p) <= most), 64)
+    got = seen.where(F.floor(F.log2("n")) >= power).toPandas()
     token, n = got["token"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
     order = np.argsort(token)
     return token[order], np.log2(np.maximum(n, 1)).astype(np.uint8)[order]
@@ -108,6 +118,7 @@ def features(rows: DataFrame, words: int, percent: int, frequent: tuple[np.ndarr
     schema = "key long, id long, n long, h1 long, h2 long, sketch binary, wide array<long>, prefix array<long>"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         often, level = last.value
         for batch, a, rows_, row, h in _per_slice(batches, words):
             n = np.bincount(row, minlength=rows_)
@@ -184,37 +195,25 @@ def _may_link(percent: int):
 
 
 def _sets_of(rows: DataFrame, keys: DataFrame, words: int) -> DataFrame:
-    """(key, elements) of the rows with these keys; elements: sorted 64-bit n-gram hashes."""
+    """(key, elements) of the rows with these keys; elements: distinct 64-bit n-gram hashes."""
     wanted = rows.select("key", "text").join(sendable(cut_lineage(keys.distinct())), "key", "left_semi")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, a, n, row, h in _per_slice(batches, words):
-            bounds = np.searchsorted(row, np.arange(n + 1))
+            ends = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, n),
-                 pa.array([h[bounds[i] : bounds[i + 1]].tobytes() for i in range(n)], pa.binary())],
-                names=["key", "elements"],
-            )
+                [batch.column(0).slice(a, n), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))],
+                names=["key", "elements"])
 
-    return wanted.mapInArrow(apply, "key long, elements binary")
+    return wanted.mapInArrow(apply, "key long, elements array<long>")
 
 
 def _shared(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """(x, y, shared): the exact number of shared n-grams of pairs (x, y)."""
     pairs = cut_lineage(pairs.select("x", "y"))
     sets = cut_lineage(_sets_of(rows, pairs.select(F.explode(F.array("x", "y")).alias("key")), words))
-    both = pairs.join(sets.toDF("x", "ex"), "x").join(sets.toDF("y", "ey"), "y").select("x", "y", "ex", "ey")
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shared = []
-            for p, q in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (p, q))
-                at = np.minimum(np.searchsorted(q, p), max(0, len(q) - 1))
-                shared.append(int((q[at] == p).sum()) if len(q) else 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shared, pa.int64())], names=["x", "y", "shared"])
-
-    return both.mapInArrow(apply, "x long, y long, shared long")
+    both = pairs.join(sets.toDF("x", "ex"), "x").join(sets.toDF("y", "ey"), "y")
+    return both.select("x", "y", F.size(F.array_intersect("ex", "ey")).cast("long").alias("shared"))
 
 
 def _links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
