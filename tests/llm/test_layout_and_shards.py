@@ -1,5 +1,7 @@
 """Packing, sharding, decontamination and HTML text."""
 
+import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -9,6 +11,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.conftest import prose
 from tiermill.llm import decontamination, html_text, packing, sharding
+from tiermill.llm.common import word_shingles
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -202,6 +205,56 @@ def test_block_tables_find_every_fingerprint_in_the_radius():
         assert any(table[b][near[b]][i] for b in range(16))
 
 
+def test_all_windows_at_once_have_the_similarity_of_each():
+    rng = np.random.default_rng(6)
+    for n, span in ((30, 7), (7, 7), (200, 31)):
+        part = rng.integers(0, 25, n).astype(np.uint64)
+        item = rng.integers(0, 25, span).astype(np.uint64)
+        ways = [lambda h: 1.0 / (1 + h % np.uint64(3)), decontamination._ones]
+        got = decontamination._Windows(part, span, ways).similarity(item)
+        for w in range(n - span + 1):
+            a, b = set(part[w : w + span].tolist()), set(item.tolist())
+            want = max(
+                sum(f(np.array([h], np.uint64))[0] for h in a & b) / sum(f(np.array([h], np.uint64))[0] for h in a | b) for f in ways)
+            assert abs(got[w] - want) < 1e-9
+
+
+def test_a_phrase_that_many_items_share_costs_no_time():
+    phrase = prose(940, 12)
+    items = [(i, (phrase + " " + prose(2000 + i, 28)).encode()) for i in range(201)]
+    index = decontamination._indexes(items, 5, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))[5]
+    data = np.frombuffer(" ".join([phrase] * (50_000 // len(phrase))).encode(), np.uint8)
+    words, bounds = decontamination.words_of(data, np.array([0, len(data)]))
+    _, shingles = word_shingles(words, bounds, 5)
+    begin = time.perf_counter()
+    assert index.matches(shingles, index.known(shingles), 0.8) == {}
+    assert time.perf_counter() - begin < 10  # 38 s and more when every window was compared by itself
+
+
+def test_items_without_an_id_are_told_from_others(spark):
+    item = prose(950, 30)
+    docs = spark.createDataFrame([(1, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (-1, item), (-1, prose(951, 30))], "item_id long, text string")
+    assert sorted(str(r["item_id"]) for r in decontamination.leaks(docs, bench).collect()) == ["-1", "None"]
+
+
+def test_recall_of_edited_items_by_length(spark):
+    """One word dropped, put in or changed inside a longer text: found from the lengths the threshold allows."""
+    rng, docs, items = random.Random(7), [], []
+    for n in (20, 30, 40, 50, 60, 80, 120):
+        for j in range(4):
+            words, at = prose(5000 + 10 * n + j, n).split(), rng.randrange(6, n - 6)
+            items.append((100 * n + j, " ".join(words)))
+            for kind, edited in enumerate((words[:at] + words[at + 1 :], words[:at] + ["added"] + words[at:], words[:at] + ["other"] + words[at + 1 :])):
+                docs.append((100_000 * (kind + 1) + 100 * n + j, prose(1, 40) + " " + " ".join(edited) + " " + prose(2, 40)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r["doc_id"] // 100_000, r["item_id"] // 100) for r in decontamination.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+             if r["doc_id"] % 100_000 == r["item_id"]}
+    longest_missed = {kind: max(n for n in (10, 20, 30, 40, 50, 60, 80, 120) if (kind, n) not in found) for kind in (1, 2, 3)}
+    print("longest item length with a miss, by kind (dropped, added, changed):", longest_missed)
+    assert all(n <= 40 for n in longest_missed.values())
+
+
 # -- HTML --------------------------------------------------------------------
 
 

@@ -17,7 +17,10 @@ or with weight 1 for all (so that passages which items share hide nothing);
   Sixteen blocks of eight bits are looked up in tables
   that list the items within two bits of each block value; by the pigeonhole
   principle every fingerprint within ``RADIUS`` = 47 bits is among those found.
-* Candidates within the radius are verified exactly.
+* Candidates within the radius are verified exactly, all windows of a stretch
+  together: the weights that distinct shingles add to each window are running
+  sums, so a document that repeats a phrase of many items costs its length
+  times those items. Of equally similar windows the first counts.
 
 The radius is a generous one for the default threshold: windows of similarity
 0.8 differ in about 20 bits of 128 with a deviation of 4, so that a window
@@ -35,7 +38,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,8 @@ BITS = 128
 RADIUS = 47
 _BLOCKS = BITS // 8
 _NEAR = 2
+#: Pairs of a window and an item looked up at once.
+PAIRS_AT_ONCE = 1 << 20
 #: Text bytes of items in one block.
 ITEM_BYTES = 4 << 20
 
@@ -89,7 +93,7 @@ def _ones(shingles: np.ndarray) -> np.ndarray:
 class ItemIndex:
     """Items of one shingle width: their shingles, weights and block tables by window size."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], shared: tuple[np.ndarray, np.ndarray] | None = None):
+    def __init__(self, items: list[tuple[int | None, np.ndarray]], shared: tuple[np.ndarray, np.ndarray] | None = None):
         """``shared``: sorted shingles of several items and their counts; without it, they are counted here."""
         self.items = items
         every, count = np.unique(np.concatenate([np.unique(s) for _, s in items]), return_counts=True)
@@ -138,29 +142,81 @@ class ItemIndex:
             for lo, hi in _stretches(places, size, len(shingles)):
                 part = shingles[lo:hi]
                 span = min(size, len(part))  # a shorter document is one window as a whole
-                near: dict[tuple[int, int], int] = {}
-                for weigh, item_prints, tables in self.ways:
-                    prints, table = window_fingerprints(part, weigh(part), span), tables[size]
-                    found = reduce(np.logical_or, (table[b][prints[:, b]] for b in range(_BLOCKS)))
-                    window, nth = np.nonzero(found)
-                    item = np.array(self.of_size[size])[nth]
-                    far = np.bitwise_count(prints[window] ^ item_prints[item]).sum(axis=1)
-                    for w, i, d in zip(window[far <= RADIUS].tolist(), item[far <= RADIUS].tolist(), far[far <= RADIUS].tolist(), strict=True):
-                        near[w, i] = min(d, near.get((w, i), d))
-                for (w, i), d in near.items():
-                    s = self.similarity(part[w : w + span], self.items[i][1])
-                    if s >= threshold and (-s, lo + w) < (-best.get(i, (0.0, 0, 0))[0], best.get(i, (0.0, 0, 0))[1]):
-                        best[i] = (s, lo + w, d)
+                window, item, far = self._near(part, size, span)
+                if not len(item):
+                    continue
+                windows = _Windows(part, span, [weigh for weigh, *_ in self.ways])
+                for i in np.unique(item).tolist():
+                    mine = item == i
+                    w, d = window[mine], far[mine]
+                    s = windows.similarity(self.items[i][1])[w]
+                    at = int(np.lexsort((w, -s))[0])
+                    found = (float(s[at]), lo + int(w[at]), int(d[at]))
+                    if found[0] >= threshold and (-found[0], found[1]) < (-best.get(i, (0.0, 0, 0))[0], best.get(i, (0.0, 0, 0))[1]):
+                        best[i] = found
         return best
 
-    def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
-        a, b = np.unique(a), np.unique(b)
-        common = np.intersect1d(a, b, assume_unique=True)
-        out = 0.0
-        for weigh, *_ in self.ways:
-            both = weigh(common).sum()
-            out = max(out, float(both / (weigh(a).sum() + weigh(b).sum() - both)))
-        return out
+    def _near(self, part: np.ndarray, size: int, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, item, Hamming distance) of windows and items of ``size`` within the radius, each pair once."""
+        which, width = np.array(self.of_size[size]), 0
+        found = []
+        step = max(1, PAIRS_AT_ONCE // len(which))
+        for weigh, item_prints, tables in self.ways:
+            prints = window_fingerprints(part, weigh(part), span)
+            width = len(prints)
+            for a in range(0, width, step):
+                some = prints[a : a + step]
+                may = tables[size][0][some[:, 0]]
+                for b in range(1, _BLOCKS):
+                    may |= tables[size][b][some[:, b]]
+                w, nth = np.nonzero(may)
+                far = np.bitwise_count(some[w] ^ item_prints[which[nth]]).sum(axis=1).astype(np.int64)
+                ok = far <= RADIUS
+                found.append(np.stack([w[ok] + a, which[nth[ok]], far[ok]]))
+        window, item, far = np.concatenate(found, axis=1)
+        order = np.lexsort((far, window, item))  # the lesser distance of the two weighings
+        window, item, far = window[order], item[order], far[order]
+        one = np.concatenate([[True], (window[1:] != window[:-1]) | (item[1:] != item[:-1])]) if len(item) else np.zeros(0, bool)
+        return window[one], item[one], far[one]
+
+
+class _Windows:
+    """All windows of ``span`` shingles of a stretch, for their exact similarity with an item.
+
+    A shingle counts once in a window: its place counts for those windows that
+    begin after its last place before, so that sums over distinct shingles of
+    all windows are one running sum.
+    """
+
+    def __init__(self, part: np.ndarray, span: int, ways: list):
+        n = len(part)
+        order = np.argsort(part, kind="stable")
+        again = part[order][1:] == part[order][:-1]
+        before = np.full(n, -1)
+        before[order[1:][again]] = order[:-1][again]
+        self.part, self.count = part, n - span + 1
+        self.first = np.maximum(before + 1, np.arange(n) - span + 1)
+        self.past = np.minimum(np.arange(n), n - span) + 1
+        self.some = self.first < self.past
+        self.ways = [(weigh, w := weigh(part), self._sums(np.arange(n), w)) for weigh in ways]
+
+    def _sums(self, places: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Sum of the weights of the distinct shingles at ``places``, for every window."""
+        places = places[self.some[places]]
+        step = np.zeros(self.count + 1)
+        np.add.at(step, self.first[places], weight[places])
+        np.subtract.at(step, self.past[places], weight[places])
+        return np.cumsum(step)[: self.count]
+
+    def similarity(self, item: np.ndarray) -> np.ndarray:
+        item = np.unique(item)
+        at = np.minimum(np.searchsorted(item, self.part), len(item) - 1)
+        places = np.flatnonzero(item[at] == self.part)
+        out = np.zeros(self.count)
+        for weigh, weight, total in self.ways:
+            both = self._sums(places, weight)
+            np.maximum(out, both / (total + weigh(item).sum() - both), out=out)
+        return np.round(out, 12)  # running sums of weights; equal windows have equal results
 
 
 def _stretches(places: list[int], size: int, n: int) -> Iterator[tuple[int, int]]:
@@ -195,9 +251,9 @@ def shared_shingles(items: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     return h[order], found.column("count").to_numpy().astype(np.int64)[order]
 
 
-def _indexes(items: list[tuple[int, bytes]], k: int, shared: tuple[np.ndarray, np.ndarray]) -> dict[int, ItemIndex]:
+def _indexes(items: list[tuple[int | None, bytes]], k: int, shared: tuple[np.ndarray, np.ndarray]) -> dict[int, ItemIndex]:
     """An index for each shingle width in use (``k``, and the lengths of shorter items)."""
-    by_width: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
+    by_width: dict[int, list[tuple[int | None, np.ndarray]]] = defaultdict(list)
     for item, raw in items:
         words, bounds = words_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         if len(words):
@@ -221,7 +277,7 @@ def leaks(
     out = spark.createDataFrame([], schema)
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        got = sorted((r["item"] if r["item"] is not None else -1, r["text"].encode()) for r in part.collect())
+        got = sorted(((r["item"], r["text"].encode()) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         index = spark.sparkContext.broadcast(_indexes(got, k, shared))
         out = out.union(rows.mapInArrow(_scan(index, threshold), schema))
     return out.withColumnsRenamed({"id": id_col, "item": item_id})
