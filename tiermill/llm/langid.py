@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import group_sums, slices, utf8_view
+from tiermill.llm.common import group_sums, sendable, slices, utf8_view
+from tiermill.session import cut_lineage
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 15
@@ -109,25 +110,24 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sample_per_class(
-    rows: DataFrame, id_col: str, label: Column, per_class: int, max_classes: int, seed: int
+    rows: DataFrame, id_col: str, label: Column, per_class: int, max_rows: int, seed: int
 ) -> DataFrame:
     """About ``per_class`` rows of each label, by a hash of the id: the same rows each time.
 
-    Rare labels keep all their rows. At most ``max_classes`` labels, the most
-    frequent ones, are counted in, which bounds the sample.
+    Rare labels keep all their rows. With many labels each has fewer rows, so
+    that all together have about ``max_rows`` (or one a label); no label is
+    left out.
     """
-    counts = (
-        rows.select(label.alias("label")).where("label is not null").groupBy("label").count()
-        .orderBy(F.desc("count"), "label").limit(max_classes).collect()
-    )
-    if not counts:
-        return rows.where(F.lit(False)).withColumn("label", label)
+    labelled = rows.withColumn("label", label)
+    counts = labelled.where("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("_count"))
+    labels = counts.count()
+    if not labels:
+        return labelled.where(F.lit(False))
     scale = 1_000_000
-    share = F.coalesce(*[
-        F.when(label == F.lit(r["label"]), F.lit(min(scale, -(-per_class * scale // r["count"]))))
-        for r in counts
-    ])
-    return rows.withColumn("label", label).where(F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(scale)) < share)
+    wanted = max(1, min(per_class, max_rows // labels))
+    share = counts.select("label", F.least(F.lit(scale), F.ceil(F.lit(wanted * scale) / F.col("_count"))).alias("_share"))
+    drawn = labelled.join(sendable(cut_lineage(share)), "label").where(F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(scale)) < F.col("_share"))
+    return drawn.select(*labelled.columns)
 
 
 def fit(
@@ -136,7 +136,7 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     per_lang: int = 800,
-    max_langs: int = 64,
+    max_texts: int = 51_200,
     max_text_bytes: int = 1 << 16,
     segment_bytes: int = 240,
     max_segments: int = 16_000,
@@ -148,14 +148,14 @@ def fit(
 ) -> LanguageModel:
     """Train on about ``per_lang`` texts of each language (texts of at most ``max_text_bytes``).
 
-    The sample, at most ``per_lang * max_langs`` texts and a little, is all
-    that comes to the driver. Training samples are pieces of ``segment_bytes``
+    The sample, at most ``max_texts`` texts and a little (or one a language), is
+    all that comes to the driver; every language in it is learned. Training samples are pieces of ``segment_bytes``
     of its texts, so that short texts are met too. One text in five calibrates.
     """
     rows = labelled.select(id_col, text_col, lang_col).where(
         F.col(text_col).isNotNull() & (F.octet_length(text_col) <= max_text_bytes)
     )
-    drawn = sample_per_class(rows, id_col, F.col(lang_col), per_lang, max_langs, seed)
+    drawn = sample_per_class(rows, id_col, F.col(lang_col), per_lang, max_texts, seed)
     got = sorted((r["label"], r[text_col]) for r in drawn.select("label", text_col).collect())
     langs = sorted({lang for lang, _ in got})
     if not langs:

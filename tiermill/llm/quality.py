@@ -152,7 +152,7 @@ def fit(
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna()
     known = known.groupBy("id").agg(F.max("y").alias("y"))
-    drawn = sample_per_class(known, "id", F.col("y"), per_class, 2, seed).select("id", "label")
+    drawn = sample_per_class(known, "id", F.col("y"), per_class, 2 * per_class, seed).select("id", "label")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         F.octet_length("text") <= max_text_bytes)
     got = sorted((r["id"], r["label"], r["text"]) for r in texts.join(F.broadcast(drawn), "id").select("id", "label", "text").collect())
