@@ -20,8 +20,8 @@ from tiermill.llm import decontamination, langid, ngram_join, packing, suffix_de
 from tiermill.llm.common import crc_of_id, read_table
 from tiermill.session import cut_lineage
 
-#: Least bytes of a repeated passage; more than fifty words take over 200 bytes unless they are short.
-PASSAGE_BYTES = 200
+#: Least words of a repeated passage.
+PASSAGE_WORDS = 51
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated passages are cut out, the first one stays."""
-    out = suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES, keep="first")
+    """Later copies of passages of over fifty words are cut out, the first one stays."""
+    out = suffix_dedup.remove_repeats(docs, length=PASSAGE_WORDS, unit="words", keep="first")
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
