@@ -7,6 +7,8 @@ of its own), so a task's memory follows the slice, not the partition.
 
 from __future__ import annotations
 
+import ctypes
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -194,9 +196,13 @@ def keep_table(clear: Callable[[], None]) -> None:
 
 
 def release_tables() -> None:
-    """Empties them; for tasks that need the memory and none of the tables."""
+    """Empties them and gives freed memory back to the system; for tasks that need the memory and none of the tables."""
     for clear in _TABLES:
         clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+    if trim is not None:  # glibc
+        trim(0)
 
 
 # -- rows ----------------------------------------------------------------

@@ -44,7 +44,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import ascii_lower, distinct_by_row, mix64, sendable, slices, span_hashes, utf8_view, with_key, without_key, word_shingles
+from tiermill.llm.common import (
+    ascii_lower,
+    distinct_by_row,
+    mix64,
+    release_tables,
+    sendable,
+    slices,
+    span_hashes,
+    utf8_view,
+    with_key,
+    without_key,
+    word_shingles,
+)
 from tiermill.session import cut_lineage
 
 BITS = 128
@@ -285,6 +297,7 @@ def leaks(
 
 def _scan(index, threshold: float):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             data, offsets = utf8_view(batch.column(1))
             found: list[tuple] = []

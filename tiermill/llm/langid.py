@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import group_sums, sendable, slices, utf8_view
+from tiermill.llm.common import group_sums, release_tables, sendable, slices, utf8_view
 from tiermill.session import cut_lineage
 
 UNDETERMINED = "und"
@@ -222,6 +222,7 @@ def identify(
     names = np.array([*model.langs, UNDETERMINED], dtype=object)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             data, offsets = utf8_view(batch.column("_text"))
             best = np.full(batch.num_rows, len(model.langs))
@@ -246,6 +247,7 @@ def accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     rows = docs.select(F.struct(*docs.columns).alias("row"))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             data, offsets = utf8_view(batch.column(0).field(text_col))
             keep = np.zeros(batch.num_rows, bool)

@@ -65,6 +65,8 @@ from tiermill.session import cut_lineage
 
 #: N-grams in so many documents or more go last in the order, the more the later.
 FREQUENT = 32
+#: N-grams that a task counts at once (8 bytes each, and as much again to sort them).
+COUNTED_AT_ONCE = 4_000_000
 #: If there are more of them than so many (9 bytes each, sent to all tasks), only the most frequent do.
 MOST_SENT = 1_000_000
 
@@ -86,19 +88,26 @@ def _per_slice(batches: Iterator[pa.RecordBatch], words: int):
 def frequent_shingles(rows: DataFrame, words: int, least: int = FREQUENT, most: int = MOST_SENT) -> tuple[np.ndarray, np.ndarray]:
     """(n-grams, binary logarithms of their counts) of n-grams counted ``least`` times or more, at most ``most`` of them.
 
-    Counted are those that stand in three documents of some batch at least:
-    the order is right with any set of them, and one that stands in a large
-    part of the corpus does so in some batch.
+    Counted are those that stand in three documents of some run of
+    ``COUNTED_AT_ONCE`` n-grams at least: the order is right with any set of
+    them, and one that stands in a large part of the corpus does so in some run.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
-        for batch in batches:
-            found = [h for _, _, _, _, h in _per_slice([batch], words)]
-            h, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            often = n >= 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["token", "n"])
+        held: list[np.ndarray] = []
+
+        def often() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(h[n >= 3].view(np.int64)), pa.array(n[n >= 3].astype(np.int64))], names=["token", "n"])
+
+        for _, _, _, _, h in _per_slice(batches, words):
+            held.append(h)
+            if sum(map(len, held)) > COUNTED_AT_ONCE:
+                yield often()
+        yield often()
 
     seen = rows.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     seen = cut_lineage(seen.where(F.col("n") >= least))
@@ -199,6 +208,7 @@ def _sets_of(rows: DataFrame, keys: DataFrame, words: int) -> DataFrame:
     wanted = rows.select("key", "text").join(sendable(cut_lineage(keys.distinct())), "key", "left_semi")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch, a, n, row, h in _per_slice(batches, words):
             ends = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(

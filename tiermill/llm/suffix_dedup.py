@@ -380,6 +380,7 @@ def repeats(
     texts = rows.select("key", "text").join(sendable(asked.select("key")), "key", "left_semi").join(asked, "key")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             data, offsets = utf8_view(batch.column(1))
             keys, lists = batch.column(0).to_numpy(), batch.column(2)
@@ -420,6 +421,7 @@ def repeats(
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Groups lie one after the other; as many as fit share a suffix array."""
+        release_tables()
         todo: list[tuple] = []
         size = 0
         for batch in batches:
@@ -488,6 +490,7 @@ def digest(
     schema = "key long, id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             data, offsets = utf8_view(batch.column(2))
             rows = []
@@ -523,6 +526,7 @@ def remove_repeats(
     names = ["key", "id", "text", "rest"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             data, offsets = utf8_view(batch.column(2))
             places = [_word_places(data[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)] if unit == "words" else []
