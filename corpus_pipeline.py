@@ -24,30 +24,40 @@ from tiermill.session import cut_lineage
 PASSAGE_WORDS = 51
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Rows that go to Python at once: the operators work on a megabyte of text at a time, more only fills memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model rejects go."""
+    _small_batches(spark)
     model = langid.fit(docs.where(crc_of_id("doc_id") % 5 != 0))
     return langid.accepted(docs, model)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    _small_batches(spark)
     return ngram_join.one_per_component(docs, words=5, percent=80)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of passages of over fifty words are cut out, the first one stays."""
+    _small_batches(spark)
     out = suffix_dedup.remove_repeats(docs, length=PASSAGE_WORDS, unit="words", keep="first")
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
+    _small_batches(spark)
     return decontamination.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their places."""
+    _small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
 
 
