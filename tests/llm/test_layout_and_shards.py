@@ -59,7 +59,7 @@ def test_packing_leaves_little_padding(documents):
 def test_words_are_encoded_as_the_tokenizer_does():
     texts = ["Don't STOP, it's 3.5 µm—naïve ﬁn Straße", "<|endoftext|> x<|endoftext|>y", "ÀÉÎ õß ÿ. İ Σας z q", "a\x1cb  c\r\n\td", "étude 漢字 😀!!", ""]
     tokenizer = Tokenizer.from_file(PATH)
-    encoder = packing.WordEncoder(PATH, remember=3, remember_parts=3)
+    encoder = packing.WordEncoder(PATH, remember=3)
     for _ in range(3):
         for text, raw in zip(texts, encoder.encode(texts), strict=True):
             assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids

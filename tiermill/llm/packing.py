@@ -24,7 +24,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,19 +38,19 @@ class WordEncoder:
     White space (space, tab, line ends) splits a text into chunks whose ids
     are remembered, at most ``remember`` of them. A chunk of plain letters and
     trailing punctuation is looked up as its lower-case letters and its
-    punctuation, which the tokenizer splits as well.
+    punctuation, which the tokenizer splits as well; those are chunks too, in
+    the same table.
     """
 
     _MARKS = ".,!?;:|%*&$#"
     _LATIN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")
 
-    def __init__(self, path: str, remember: int = 500_000, remember_parts: int = 700_000):
+    def __init__(self, path: str, remember: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.remember, self.remember_parts = remember, remember_parts
-        self.chunks: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.remember = remember
+        self.known: dict[str, bytes] = {"": b""}
         # a plain word needs no splitting or composing: its bytes go to the tokenizer's model at once
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
@@ -66,29 +65,33 @@ class WordEncoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, missing: set[str]) -> None:
-        odd, parts = [], self.parts
-        if len(parts) > self.remember_parts:
-            parts.clear()
-            parts[""] = b""
+        odd, known = [], self.known
         for chunk in missing:
             word = chunk.rstrip(self._MARKS)
             if not (word.isalpha() and (word.isascii() or self._LATIN.fullmatch(word))):
                 odd.append(chunk)
                 continue
-            word, mark = word.lower(), chunk[len(word) :]
-            if word not in parts:
-                parts[word] = self._word(word)
-            if mark not in parts:
-                parts[mark] = self._whole([mark])[0]
-            self.chunks[chunk] = parts[word] + parts[mark]
+            mark = chunk[len(word) :]
+            if not word.islower():
+                word = word.lower()
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = self._word(word)
+            if mark:
+                if mark not in known:
+                    known[mark] = self._whole([mark])[0]
+                known[chunk] = ids + known[mark]
+            else:
+                known[chunk] = ids
         if odd:
-            self.chunks.update(zip(odd, self._whole(odd), strict=True))
+            known.update(zip(odd, self._whole(odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.chunks
+        known = self.known
         if len(known) > self.remember:
             known.clear()
+            known[""] = b""
         missing = set().union(*split).difference(known)
         if missing:
             self._learn(missing)
@@ -96,20 +99,23 @@ class WordEncoder:
         return [b"".join(map(get, words)) for words in split]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+#: Words that a task's table remembers, about 200 bytes each.
+REMEMBER = 600_000
+
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 keep_table(_ENCODERS.clear)
 
 
 def pieces(
-    rows: DataFrame, tokenizer_path: str, capacity: int, end_id: int, batch_chars: int = 1 << 20
+    rows: DataFrame, tokenizer_path: str, capacity: int, end_id: int, batch_chars: int = 1 << 20, remember: int = REMEMBER
 ) -> DataFrame:
     """(key, id, start, length, ids_crc32, doc_tokens) of every piece of (key, id, text) rows."""
     schema = "key long, id long, start long, length long, ids_crc32 long, doc_tokens long"
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(tokenizer_path, None) or WordEncoder(tokenizer_path)
-        _ENCODERS[tokenizer_path] = encoder
+        encoder = _ENCODERS.get((tokenizer_path, remember)) or WordEncoder(tokenizer_path, remember)
+        _ENCODERS[tokenizer_path, remember] = encoder
         for batch in batches:
             keys, ids = batch.column("key").to_pylist(), batch.column("id").to_pylist()
             texts = batch.column("text")
@@ -173,21 +179,23 @@ def pack(
     capacity: int = 4096,
     end_id: int = 2,
     group_bins: int = 512,
+    remember: int = REMEMBER,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """(id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every piece.
 
-    A group holds about ``group_bins`` sequences. Sequence ids are unique and
+    A task's table of words holds ``remember``: fewer take more time and less
+    memory. A group holds about ``group_bins`` sequences. Sequence ids are unique and
     not gapless: the group's number times 2**20, plus the bin's.
     """
-    cut = cut_lineage(pieces(with_key(docs, id_col, text_col), tokenizer_path, capacity, end_id))
+    cut = cut_lineage(pieces(with_key(docs, id_col, text_col), tokenizer_path, capacity, end_id, remember=remember))
     total = cut.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / (capacity * group_bins)))
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("key", "start"), F.lit(groups)))
     schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fill(pdf):
         pdf = pdf.sort_values(["length", "id", "start", "key"], ascending=[False, True, True, True])
         bins, offsets = first_fit(pdf["length"].tolist(), capacity)
         pdf["sequence_id"] = pdf["group"].to_numpy() * (1 << 20) + np.array(bins, np.int64)
