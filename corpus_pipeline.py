@@ -58,7 +58,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their places."""
     _small_batches(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2, remember=150_000)
 
 
 STAGES = [
