@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tiermill.plans import RESULTS, load_golds, load_month, load_silver, result, run, upsert
@@ -76,7 +77,11 @@ def test_gate_blocks_promotion(spark, scratch):
 
     with pytest.raises(ChecksFailed):
         run(spark, f"{scratch}/raw", f"{scratch}/lake", f"{scratch}/out", gate=True)
-    run(spark, f"{scratch}/raw", f"{scratch}/lake2", steps=["bronze", "silver"], gate=True)
+    with pytest.raises(ChecksFailed):  # silver fails its own checks before it is put in place
+        run(spark, f"{scratch}/raw", f"{scratch}/lake2", steps=["bronze", "silver"], gate=True)
+    assert load_bronze(spark, f"{scratch}/lake2").count() == 1
+    with pytest.raises(AnalysisException):
+        load_silver(spark, f"{scratch}/lake2").count()
 
 
 def test_catalog_registration(spark, lake, scratch):

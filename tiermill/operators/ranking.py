@@ -164,9 +164,32 @@ def page(
     )
 
 
-def search(df: DataFrame, col: str, term: str) -> DataFrame:
-    """Rows whose ``col`` contains ``term``, ignoring case (literal match)."""
-    return df.filter(F.lower(F.col(col)).contains(term.lower()))
+def search(df: DataFrame, col: str, term: str, *, accents: bool = True) -> DataFrame:
+    """Rows whose ``col`` contains ``term``, ignoring case (literal match).
+
+    With ``accents=False`` accents do not count either, on both sides: ``sao``
+    finds ``São`` (a case and accent insensitive collation of the column).
+    """
+    if accents:
+        return df.filter(F.lower(F.col(col)).contains(term.lower()))
+    return df.filter(F.contains(F.collate(F.col(col), "UNICODE_CI_AI"), F.collate(F.lit(term), "UNICODE_CI_AI")))
+
+
+def page_stored(
+    ranked: DataFrame, number: int, size: int, *, position: str = POSITION
+) -> DataFrame:
+    """One page of a stored ranking table, as :func:`page`, for tables written in order of position.
+
+    The number of rows is read first (from the files' footers, one number to
+    the driver), so the bounds are literals: the scan skips every file and row
+    group outside the page.
+    """
+    if size <= 0:
+        raise ValueError("page size must be positive")
+    n_pages = max(1, -(-ranked.count() // size))
+    current = min(max(number, 1), n_pages)
+    rows = ranked.filter((F.col(position) > (current - 1) * size) & (F.col(position) <= current * size))
+    return rows.withColumn("pagina", F.lit(current).cast("long")).withColumn("n_paginas", F.lit(n_pages).cast("long")).orderBy(position)
 
 
 # --- fixed values: display headings of the municipality table ---

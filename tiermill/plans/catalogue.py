@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tiermill.operators import quality as Q
 from tiermill.operators import ranking as R
-from tiermill.operators.layers import Golds, to_bronze
+from tiermill.operators import rejects
+from tiermill.operators.layers import Golds, to_bronze, to_silver
 from tiermill.plans.medallion import (
     BRONZE,
     SILVER,
@@ -43,10 +44,12 @@ from tiermill.schemas import (
 )
 from tiermill.session import new_scratch_path
 from tiermill.sources.raw_csv import read_raw
-from tiermill.sources.fixture import write_raw_csv
-from tiermill.sources.layers import list_tables, read_layer, read_table, write_layer
+from tiermill.sources.fixture import RAW_WRITE_OPTIONS, write_raw_csv
+from tiermill.sources.layers import layer_path, list_tables, read_layer, read_table, write_layer
 from tiermill.sources.results import export_result, read_result, read_result_positions
+from tiermill.sources.ledger import load_new
 from tiermill.streaming.ingest import stream_ingest
+from tiermill.streaming.months import stream_months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,7 +227,7 @@ def kpis(spark, sf_dir):
 
 
 def municipios_pagina(spark, sf_dir):
-    return R.page(_ranked(spark, sf_dir).municipio, PAGE_NUMBER, PAGE_SIZE)
+    return R.page_stored(_ranked(spark, sf_dir).municipio, PAGE_NUMBER, PAGE_SIZE)
 
 
 def municipios_busca(spark, sf_dir):
@@ -376,17 +379,65 @@ def gate_layers(spark, sf_dir):
     """Whether each gate lets the next layer be written, for a clean and a dirty delivery."""
     _, raw, bronze, silver, _ = _layers(spark, sf_dir)
     d_raw, d_bronze, d_silver, _ = _dirty(spark, sf_dir)
-    rows = []
-    for load, gate, checks in (
-        ("clean", "ingest", Q.check_ingest(raw, bronze)), ("clean", "silver", Q.check_silver(bronze, silver)),
-        ("dirty", "ingest", Q.check_ingest(d_raw, d_bronze)), ("dirty", "silver", Q.check_silver(d_bronze, d_silver)),
-    ):
-        try:
-            Q.assert_all(checks)
-            rows.append((load, gate, True))
-        except Q.ChecksFailed:
-            rows.append((load, gate, False))
-    return spark.createDataFrame(rows, "entrega string, portao string, promovido boolean")
+    parts = [
+        Q.summary(checks).select(F.lit(load).alias("entrega"), F.lit(gate).alias("portao"), F.col("all_passed").alias("promovido"))
+        for load, gate, checks in (
+            ("clean", "ingest", Q.check_ingest(raw, bronze)), ("clean", "silver", Q.check_silver(bronze, silver)),
+            ("dirty", "ingest", Q.check_ingest(d_raw, d_bronze)), ("dirty", "silver", Q.check_silver(d_bronze, d_silver)),
+        )
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def _gold_rows(spark, root: str) -> DataFrame:
+    parts = [
+        g.select(F.lit(t).alias("tabela"), F.col(GOLD_KEYS[t][0]).alias("chave"), F.col(QT).alias("quantidade"))
+        for t, g in load_golds(spark, root).by_table().items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def audit_keeps_old(spark, sf_dir):
+    """A lake after a dirty delivery that the gate stops: silver and golds are those of the clean one."""
+    ws, dirty = _ws(spark, sf_dir), workspace(spark, sf_dir, dirty=True)
+    root = new_scratch_path(spark, "audit")
+    run(spark, ws.raw_path, root, steps=["bronze", "silver", "gold"], gate=True)
+    try:
+        run(spark, dirty.raw_path, root, steps=["bronze", "silver", "gold"], gate=True)
+    except Q.ChecksFailed:
+        pass
+    silver = load_silver(spark, root).agg(
+        F.lit("silver").alias("tabela"), F.lit(None).cast("string").alias("chave"), F.sum("qt_beneficiario_ativo").cast("long").alias("quantidade"))
+    return silver.unionByName(_gold_rows(spark, root))
+
+
+def rejected_rows(spark, sf_dir):
+    """Every fault of the dirty delivery: row, column, reason and value as delivered."""
+    raw = rejects.read_with_lines(spark, workspace(spark, sf_dir, dirty=True).raw_path)
+    return rejects.split(raw)[1].select("CD_OPERADORA", "CD_MUNICIPIO", MONTH.upper(), "coluna", "motivo", "valor")
+
+
+def accepted_rows(spark, sf_dir):
+    """The dirty delivery without its rejected rows, refined."""
+    raw = rejects.read_with_lines(spark, workspace(spark, sf_dir, dirty=True).raw_path)
+    return to_silver(rejects.split(raw)[0])
+
+
+def busca_sem_acento(spark, sf_dir):
+    """Municipalities found as users type them, without accents."""
+    return R.search(_dirty(spark, sf_dir)[3].municipio, "nm_municipio", "sao nation_1", accents=False)
+
+
+def deliveries_once(spark, sf_dir):
+    """The delivery, the same rows in files of other names, and the first files again: bronze has each row once."""
+    raw, base = _raw(spark, sf_dir), new_scratch_path(spark, "once")
+    root = f"{base}/lake"
+    for k, name in enumerate(("first", "again", "first")):
+        if k < 2:  # as many files, of the same rows each
+            raw.repartition(4, "CD_OPERADORA").write.options(**RAW_WRITE_OPTIONS).csv(f"{base}/raw/{name}")
+        load_new(spark, f"{base}/raw/{name}", root, lambda rows, k=k: to_bronze(rows, source=str(k)).write.mode("append").parquet(
+            layer_path(root, *BRONZE)))
+    return load_bronze(spark, root).select(*raw.columns)
 
 
 # ----------------------------------------------------------------- catalog --
@@ -469,7 +520,7 @@ def upsert_month(spark, sf_dir):
 
 def upsert_null_partition(spark, sf_dir):
     """Upsert into a NULL month: the month's other keys stay."""
-    silver = _silver(spark, sf_dir).filter(F.col(MONTH) >= "1998")
+    silver = _silver(spark, sf_dir)
     old = silver.withColumn(MONTH, F.when(F.col("tp_sexo") != "N", F.col(MONTH)))
     _, root = _silver_copy(spark, sf_dir, old)
     batch = old.filter(F.col(MONTH).isNull() & (F.col("cd_municipio") == "1")).withColumn(
@@ -489,11 +540,20 @@ def monthly_loads(spark, sf_dir):
     for m in last:
         write_raw_csv(raw.filter(F.col(month) == m), f"{base}/raw/{m}")
         run_month(spark, f"{base}/raw/{m}", f"{base}/lake", f"{base}/out", m)
-    parts = [
-        g.select(F.lit(t).alias("tabela"), F.col(GOLD_KEYS[t][0]).alias("chave"), F.col(QT).alias("quantidade"))
-        for t, g in load_golds(spark, f"{base}/lake").by_table().items()
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _gold_rows(spark, f"{base}/lake")
+
+
+def stream_months_replaced(spark, sf_dir):
+    """All months by stream, then a corrected latest month by the same stream: it replaces the earlier one in silver and gold."""
+    raw, base = _raw(spark, sf_dir), new_scratch_path(spark, "stream-months")
+    month = MONTH.upper()
+    latest = _latest(spark, _silver(spark, sf_dir))
+    corrected = raw.filter(F.col(month) == latest).withColumn(
+        "QT_BENEFICIARIO_ATIVO", (F.col("QT_BENEFICIARIO_ATIVO").cast("int") + 1).cast("string"))
+    for k, rows in enumerate((raw, corrected)):
+        write_raw_csv(rows, f"{base}/in/delivery={k}")
+        stream_months(spark, f"{base}/in/*", f"{base}/lake", f"{base}/checkpoint")
+    return _gold_rows(spark, f"{base}/lake")
 
 
 def stream_ingest_query(spark, sf_dir):
@@ -568,6 +628,11 @@ QUERIES: dict[str, Query] = {
     "dq_summary_dirty": dq_summary_dirty,
     "faixa_por_idade_dirty": faixa_por_idade_dirty,
     "gate_layers": gate_layers,
+    "audit_keeps_old": audit_keeps_old,
+    "rejected_rows": rejected_rows,
+    "accepted_rows": accepted_rows,
+    "busca_sem_acento": busca_sem_acento,
+    "deliveries_once": deliveries_once,
     "catalog_tables": catalog_tables,
     "bronze_audit": bronze_audit,
     "idempotent_refresh": idempotent_refresh,
@@ -575,6 +640,7 @@ QUERIES: dict[str, Query] = {
     "upsert_month": upsert_month,
     "upsert_null_partition": upsert_null_partition,
     "monthly_loads": monthly_loads,
+    "stream_months_replaced": stream_months_replaced,
     "stream_ingest": stream_ingest_query,
     "stream_after_batch": stream_after_batch,
 }

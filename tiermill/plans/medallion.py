@@ -10,21 +10,24 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.operators import quality
-from tiermill.operators.layers import Golds, golds_one_pass, split_golds, to_bronze, to_golds, to_silver
+from tiermill.operators.layers import GID, Golds, golds_one_pass, split_golds, to_bronze, to_golds, to_silver
 from tiermill.operators.ranking import rank_with_share
 from tiermill.plans.results import RESULTS, result
-from tiermill.schemas import GOLD_KEYS, GOLD_MEASURE, MONTH, SILVER_SCHEMA, gold_schema
-from tiermill.sources.layers import read_layer, register_table, write_layer
+from tiermill.schemas import GOLD_KEYS, GOLD_MEASURE, MONTH, PARTIALS_SCHEMA, SILVER_SCHEMA, gold_schema
+from tiermill.sources.layers import layer_path, read_layer, register_table, write_layer
 from tiermill.session import cut_lineage, new_scratch_path, remove_path
 from tiermill.sources.raw_csv import read_raw
 from tiermill.sources.results import export_result
+from tiermill.sources.staging import promote, staged
 
 BRONZE = ("bronze", "beneficiarios")
 SILVER = ("silver", "beneficiarios")
+PARTIALS = ("gold", "_parciais_por_mes")
 STEPS = ("bronze", "silver", "gold", "results")
 MAX_CONCURRENT_WRITES = 4
 
@@ -105,10 +108,12 @@ def run(
 ) -> dict[str, str]:
     """Run the selected steps in order (all by default).
 
-    Unknown step names raise before anything runs. With ``gate=True`` a
-    layer is only promoted when the checks on its input pass: silver is
-    written only if the raw and bronze volumes agree, gold only if silver's
-    typing, masking and sanity checks pass, results only if gold reconciles.
+    Unknown step names raise before anything runs. With ``gate=True`` every
+    layer is written aside, checked there, and only then put in the place of
+    the former one (write, audit, publish): bronze if its volume agrees with
+    the raw files', silver if it passes the typing, masking and sanity checks,
+    gold if it reconciles with silver. A layer that fails leaves the former
+    one as it is and raises. Steps left out are checked as they are stored.
 
     ``gold_one_pass`` computes the three golds from one scan of silver
     (grouping sets), materialised once in the shared scratch folder and then
@@ -131,43 +136,140 @@ def run(
         if step == "bronze":
             raw = read_raw(spark, raw_path, raw_schema)
             source = None if source_per_file else raw_path
-            paths["bronze"] = write_layer(to_bronze(raw, source=source), root, *BRONZE, fmt=fmt)
+            paths["bronze"] = _published(
+                spark, root, [BRONZE], gate,
+                lambda to: write_layer(to_bronze(raw, source=source), to, *BRONZE, fmt=fmt),
+                lambda to: quality.check_ingest(raw, load_bronze(spark, to, fmt)))
             if register:
                 register_table(spark, root, *BRONZE, fmt=fmt, recursive=True)
         elif step == "silver":
             bronze = load_bronze(spark, root, fmt)
-            if gate:
+            if gate and "bronze" not in chosen:
                 quality.assert_all(quality.check_ingest(read_raw(spark, raw_path, raw_schema), bronze))
-            paths["silver"] = write_layer(
-                to_silver(bronze), root, *SILVER, partition_by=[MONTH], fmt=fmt, layout=silver_layout
-            )
+            paths["silver"] = _published(
+                spark, root, [SILVER], gate,
+                lambda to: write_layer(to_silver(bronze), to, *SILVER, partition_by=[MONTH], fmt=fmt, layout=silver_layout),
+                lambda to: quality.check_silver(bronze, load_silver(spark, to, fmt)))
+            _forget_partials(spark, root, fmt)
             if register:
                 register_table(spark, root, *SILVER, fmt=fmt, partitioned=True)
         elif step == "gold":
-            if gate:
+            if gate and "silver" not in chosen:
                 quality.assert_all(quality.check_silver(load_bronze(spark, root, fmt), load_silver(spark, root, fmt)))
-            paths.update(refresh_gold(spark, root, fmt, gold_one_pass))
+            _published(
+                spark, root, [("gold", t) for t in GOLD_KEYS], gate,
+                lambda to: refresh_gold(spark, root, fmt, gold_one_pass, to=to),
+                lambda to: quality.check_gold(load_silver(spark, root, fmt), load_golds(spark, to, fmt)))
+            paths.update({t: layer_path(root, "gold", t) for t in GOLD_KEYS})
             if register:
                 for table in GOLD_KEYS:
                     register_table(spark, root, "gold", table, fmt=fmt)
         elif step == "results":
-            if gate:
-                silver = load_silver(spark, root, fmt)
-                golds = load_golds(spark, root, fmt)
-                quality.assert_all(quality.check_gold(silver, golds))
+            if gate and "gold" not in chosen:
+                quality.assert_all(quality.check_gold(load_silver(spark, root, fmt), load_golds(spark, root, fmt)))
             paths.update(publish(spark, root, out_dir, fmt))
     return paths
 
 
-def refresh_gold(spark: SparkSession, root: str, fmt: str = "parquet", one_pass: bool = True) -> dict[str, str]:
-    """Rebuild the three golds from the stored silver."""
-    silver = load_silver(spark, root, fmt)
-    golds = split_golds(cut_lineage(golds_one_pass(silver))) if one_pass else to_golds(silver)
+def _published(
+    spark: SparkSession, root: str, tables: list[tuple[str, str]], gate: bool, write: Callable[[str], object],
+    checks: Callable[[str], DataFrame],
+) -> str:
+    """Write tables in place or, with ``gate``, aside; there they are checked, and promoted if all checks pass."""
+    if not gate:
+        write(root)
+    else:
+        with staged(spark, root) as aside:
+            write(aside)
+            quality.assert_all(checks(aside))
+            for layer, table in tables:
+                promote(spark, layer_path(aside, layer, table), layer_path(root, layer, table))
+    return layer_path(root, *tables[0])
+
+
+def _write_golds(golds: Golds, root: str, fmt: str) -> dict[str, str]:
     return _concurrently(
         {t: (lambda t=t, g=g: write_layer(g, root, "gold", t, fmt=fmt)) for t, g in golds.by_table().items()}
     )
 
 
+def refresh_gold(spark: SparkSession, root: str, fmt: str = "parquet", one_pass: bool = True, *, to: str | None = None) -> dict[str, str]:
+    """Rebuild the three golds from the stored silver (into the lake ``to`` if it is given)."""
+    silver = load_silver(spark, root, fmt)
+    golds = split_golds(cut_lineage(golds_one_pass(silver))) if one_pass else to_golds(silver)
+    return _write_golds(golds, to or root, fmt)
+
+
+# Golds by month: sums of every month on their own, so that a load scans its own months only.
+
+
+def load_partials(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
+    """The stored sums by month and gold key; None for a lake without any."""
+    try:
+        return read_layer(spark, root, *PARTIALS, schema=PARTIALS_SCHEMA, fmt=fmt)
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" not in str(err) and "Path does not exist" not in str(err):
+            raise
+        return None
+
+
+def _forget_partials(spark: SparkSession, root: str, fmt: str = "parquet") -> None:
+    """Silver was written anew: no month's sums hold any more."""
+    if load_partials(spark, root, fmt) is not None:
+        empty = spark.createDataFrame([], PARTIALS_SCHEMA)
+        write_layer(empty, root, *PARTIALS, partition_by=[MONTH], fmt=fmt, layout="local")
+
+
+def _month_in(months: list[str | None]):
+    """Literal month values, NULL among them, so that only their folders are listed and scanned."""
+    known = [m for m in months if m is not None]
+    hit = F.col(MONTH).isin(known) if known else F.lit(False)
+    return hit | F.col(MONTH).isNull() if None in months else hit
+
+
+def month_sums(silver: DataFrame) -> DataFrame:
+    """The gold sums of every month, from one scan: month, gold keys, grouping id and sum."""
+    keys = list(dict.fromkeys(k for ks in GOLD_KEYS.values() for k in ks))
+    sets = [[*ks, MONTH] for ks in GOLD_KEYS.values()]
+    sums = silver.groupingSets(sets, *keys, MONTH).agg(F.sum("qt_beneficiario_ativo").alias(GOLD_MEASURE), F.grouping_id().alias("_id"))
+    # without the month, which every set holds, the id is that of the golds
+    return sums.select(*keys, F.shiftright("_id", 1).cast("long").alias(GID), GOLD_MEASURE, MONTH)
+
+
+def refresh_partials(spark: SparkSession, root: str, months: list[str | None], fmt: str = "parquet") -> list[str | None]:
+    """Store the sums of the given months and of all whose sums are missing; returns the months scanned.
+
+    Which months are there comes from the folders' names of both tables.
+    Months that silver no longer has lose their sums.
+    """
+    silver, partials = load_silver(spark, root, fmt), load_partials(spark, root, fmt)
+    have = {r[0] for r in silver.select(MONTH).distinct().collect()}
+    stored = set() if partials is None else {r[0] for r in partials.select(MONTH).distinct().collect()}
+    if stored - have:
+        kept = cut_lineage(partials.filter(_month_in(list(stored & have))))
+        write_layer(kept, root, *PARTIALS, partition_by=[MONTH], fmt=fmt, layout="local")
+    todo = sorted((have & set(months)) | (have - stored), key=lambda m: (m is None, m or ""))
+    if todo:
+        scan = silver if set(todo) == have else silver.filter(_month_in(todo))
+        _overwrite_partitions(month_sums(scan), layer_path(root, *PARTIALS), [MONTH], fmt)
+    return todo
+
+
+def golds_from_partials(partials: DataFrame) -> Golds:
+    """The golds as sums of the months' sums (gold-sized rows a month, no scan of silver)."""
+    keys = [c for c in partials.columns if c not in (GOLD_MEASURE, MONTH)]
+    return split_golds(partials.groupBy(*keys).agg(F.sum(GOLD_MEASURE).alias(GOLD_MEASURE)))
+
+
+def refresh_gold_months(
+    spark: SparkSession, root: str, months: list[str | None], fmt: str = "parquet", *, to: str | None = None
+) -> dict[str, str]:
+    """The golds after a change of some months of silver: only these months are scanned."""
+    refresh_partials(spark, root, months, fmt)
+    golds = golds_from_partials(load_partials(spark, root, fmt))
+    return _write_golds(golds, to or root, fmt)
+
+
 def register_layers(spark: SparkSession, root: str, fmt: str = "parquet") -> list[str]:
     """Expose every written layer table in the session catalog."""
     out = [
@@ -184,23 +286,30 @@ def run_month(
     """One month's delivery from end to end: bronze, silver's month, golds, rankings and results.
 
     The delivery gets a folder of its own in bronze and replaces its month in
-    silver, so loading it again leaves the same state; the golds, rankings
-    and results are rebuilt from silver. With ``gate`` the month's rows must
-    pass the ingest and silver checks, and the golds must reconcile, before
-    anything that depends on them is written.
+    silver, so loading it again leaves the same state. The golds are merged
+    from stored sums by month: only the loaded month of silver is scanned
+    (all of it once, when a lake has no such sums yet). With ``gate`` each
+    layer is checked aside and only then put in place.
     """
     raw = read_raw(spark, raw_path, raw_schema)
-    place = f"{root.rstrip('/')}/{BRONZE[0]}/{BRONZE[1]}/month-{month}"
-    to_bronze(raw, source=raw_path).write.mode("overwrite").format(fmt).save(place)
-    bronze = spark.read.format(fmt).load(place)
-    rows = to_silver(bronze)
-    if gate:
-        quality.assert_all(quality.check_ingest(raw, bronze))
-        quality.assert_all(quality.check_silver(bronze, rows))
-    paths = {"bronze": place, "silver": load_month(rows, root, month, fmt)}
-    paths.update(refresh_gold(spark, root, fmt))
+    name = (BRONZE[0], f"{BRONZE[1]}/month-{month}")
+
+    def load(to: str) -> DataFrame:
+        return spark.read.format(fmt).load(layer_path(to, *name))
+
+    paths = {"bronze": _published(
+        spark, root, [name], gate,
+        lambda to: to_bronze(raw, source=raw_path).write.mode("overwrite").format(fmt).save(layer_path(to, *name)),
+        lambda to: quality.check_ingest(raw, load(to)))}
+    rows = to_silver(load(root))
     if gate:
-        quality.assert_all(quality.check_gold(load_silver(spark, root, fmt), load_golds(spark, root, fmt)))
+        quality.assert_all(quality.check_silver(load(root), rows))
+    paths["silver"] = load_month(rows, root, month, fmt)
+    _published(
+        spark, root, [("gold", t) for t in GOLD_KEYS], gate,
+        lambda to: refresh_gold_months(spark, root, [month], fmt, to=to),
+        lambda to: quality.check_gold(load_silver(spark, root, fmt), load_golds(spark, to, fmt)))
+    paths.update({t: layer_path(root, "gold", t) for t in GOLD_KEYS})
     paths.update(publish(spark, root, out_dir, fmt))
     return paths
 
@@ -230,7 +339,15 @@ def load_month(
         other = out.filter(~mine).select(MONTH).limit(1).collect()
         if other:
             raise WrongMonth(f"rows of month {other[0][0]!r} among those of {month!r}")
-    return _overwrite_partitions(out, f"{root.rstrip('/')}/{SILVER[0]}/{SILVER[1]}", [MONTH], fmt, layout)
+    path = _overwrite_partitions(out, layer_path(root, *SILVER), [MONTH], fmt, layout)
+    _silver_changed(out.sparkSession, root, [month], fmt)
+    return path
+
+
+def _silver_changed(spark: SparkSession, root: str, months: list[str | None], fmt: str) -> None:
+    """Stored sums, if there are any, follow the months that were written."""
+    if load_partials(spark, root, fmt) is not None:
+        refresh_partials(spark, root, months, fmt)
 
 
 def _overwrite_partitions(rows: DataFrame, path: str, partition_by: list[str], fmt: str, layout: str = "rebalance") -> str:
@@ -332,8 +449,15 @@ def upsert(
         kept.unionByName(batch).write.parquet(merged_at)
         merged = spark.read.schema(old.schema).parquet(merged_at)
         if scoped:
-            return _overwrite_partitions(merged, path, partition_by, fmt)
-        return write_layer(merged, root, layer, table, partition_by=partition_by, fmt=fmt, layout="rebalance")
+            _overwrite_partitions(merged, path, partition_by, fmt)
+        else:
+            write_layer(merged, root, layer, table, partition_by=partition_by, fmt=fmt, layout="rebalance")
+        if (layer, table) == SILVER:
+            if scoped and partition_by == [MONTH]:
+                _silver_changed(spark, root, [r[0] for r in batch.select(MONTH).distinct().collect()], fmt)
+            else:
+                _forget_partials(spark, root, fmt)
+        return path
     finally:
         remove_path(spark, staged)
         remove_path(spark, merged_at)

@@ -334,6 +334,19 @@ def _checks(*groups: list[str]) -> str:
     return _with(*_CHECK_CTES, *_OUTPUT_CTES) + "\n" + body
 
 
+_ACCEPTED = " AND ".join(
+    [f"({c} IS NULL OR try_cast(CASE WHEN regexp_matches({c}, '^[0-9+-]+$') THEN {c} END AS INTEGER) IS NOT NULL)" for _, c in QUANTITY_PAIRS]
+    + ["(DT_CARGA IS NULL OR try_cast(DT_CARGA AS DATE) IS NOT NULL)"])
+
+
+def _gold_rows_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS tabela, {k} AS chave, {QT} AS quantidade FROM {g}"
+        for t, g, k in (("beneficiarios_por_operadora", "g_operadora", "cd_operadora"),
+                        ("beneficiarios_por_faixa_etaria", "g_faixa", "de_faixa_etaria"),
+                        ("beneficiarios_por_municipio", "g_municipio", "cd_municipio")))
+
+
 def _checks_dirty(*groups: list[str]) -> str:
     body = "\nUNION ALL\n".join(s for g in groups for s in g)
     return _with_dirty(*_CHECK_CTES) + "\n" + body
@@ -487,6 +500,27 @@ FROM g_faixa g JOIN dom d ON g.de_faixa_etaria = d.de_faixa_etaria""",
             ("dirty", "silver", _checks_dirty(_checks_typing(), _checks_masking(), _checks_sanity())),
         )
     ),
+    "audit_keeps_old": _with() + """
+SELECT 'silver' AS tabela, CAST(NULL AS VARCHAR) AS chave, CAST(SUM(qt_beneficiario_ativo) AS BIGINT) AS quantidade FROM silver
+UNION ALL
+""" + _gold_rows_sql(),
+    "rejected_rows": _with_dirty() + "\n" + "\nUNION ALL\n".join(
+        f"SELECT CD_OPERADORA, CD_MUNICIPIO, ID_CMPT_MOVEL, '{c}' AS coluna, "
+        f"CASE WHEN trim({c}) = '' THEN 'em branco' ELSE '{why}' END AS motivo, {c} AS valor FROM raw WHERE {c} IS NOT NULL AND {bad}"
+        for c, why, bad in [(c, "nao inteiro", f"try_cast(CASE WHEN regexp_matches({c}, '^[0-9+-]+$') THEN {c} END AS INTEGER) IS NULL")
+                            for _, c in QUANTITY_PAIRS] + [("DT_CARGA", "nao e data", "try_cast(DT_CARGA AS DATE) IS NULL")]
+    ),
+    "accepted_rows": _with_dirty().replace("FROM raw\n)", "FROM raw\n  WHERE " + _ACCEPTED + "\n)", 1) + "\nSELECT * FROM silver",
+    "busca_sem_acento": _with_dirty() + "\nSELECT * FROM g_municipio WHERE strpos(strip_accents(lower(nm_municipio)), 'sao nation_1') > 0",
+    "deliveries_once": _with() + "\nSELECT * FROM raw",
+    "stream_months_replaced": _with(
+        _LATEST, "changed AS (SELECT * FROM silver WHERE id_cmpt_movel <> (SELECT MAX(id_cmpt_movel) FROM silver) "
+        "UNION ALL SELECT * REPLACE (qt_beneficiario_ativo + 1 AS qt_beneficiario_ativo) FROM latest)"
+    ) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS tabela, {k[0]} AS chave, CAST(SUM(qt_beneficiario_ativo) AS BIGINT) AS quantidade FROM changed GROUP BY {', '.join(k)}"
+        for t, k in (("beneficiarios_por_operadora", ("cd_operadora", "nm_razao_social")), ("beneficiarios_por_faixa_etaria", ("de_faixa_etaria",)),
+                     ("beneficiarios_por_municipio", ("cd_municipio", "nm_municipio")))
+    ),
     "idempotent_refresh": _with() + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{t}' AS tabela, COUNT(*) AS n_linhas, CAST(SUM({QT}) AS BIGINT) AS total FROM {g}"
         for t, g in _GOLD_CTE.items()
@@ -502,8 +536,7 @@ FROM g_faixa g JOIN dom d ON g.de_faixa_etaria = d.de_faixa_etaria""",
                         ("beneficiarios_por_municipio", "g_municipio", "cd_municipio"))
     ),
     "upsert_null_partition": _with(
-        "old AS (SELECT * REPLACE (CASE WHEN tp_sexo = 'N' THEN NULL ELSE id_cmpt_movel END AS id_cmpt_movel) FROM silver "
-        "WHERE id_cmpt_movel >= '1998')",
+        "old AS (SELECT * REPLACE (CASE WHEN tp_sexo = 'N' THEN NULL ELSE id_cmpt_movel END AS id_cmpt_movel) FROM silver)",
         "nb AS (SELECT * REPLACE (qt_beneficiario_ativo * 2 AS qt_beneficiario_ativo) FROM old "
         "WHERE id_cmpt_movel IS NULL AND cd_municipio = '1')",
         """kept AS (SELECT * FROM old s WHERE NOT EXISTS (

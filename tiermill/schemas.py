@@ -105,6 +105,12 @@ def gold_schema(table: str) -> StructType:
     )
 
 
+#: Gold sums by month: every gold's keys, the number that tells the golds apart, the sum, the month.
+PARTIALS_SCHEMA = StructType(
+    [StructField(k, StringType(), True) for k in dict.fromkeys(k for keys in GOLD_KEYS.values() for k in keys)]
+    + [StructField("_tm_gid", LongType(), True), StructField(GOLD_MEASURE, LongType(), True), StructField(MONTH, StringType(), True)]
+)
+
 CHECK_SCHEMA = StructType(
     [
         StructField("check", StringType(), False),
