@@ -195,11 +195,16 @@ def pack(
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("key", "start"), F.lit(groups)))
     schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-    def fill(pdf):
-        pdf = pdf.sort_values(["length", "id", "start", "key"], ascending=[False, True, True, True])
-        bins, offsets = first_fit(pdf["length"].tolist(), capacity)
-        pdf["sequence_id"] = pdf["group"].to_numpy() * (1 << 20) + np.array(bins, np.int64)
-        pdf["offset"] = np.array(offsets, np.int64)
-        return pdf[["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
-
-    return dealt.groupBy("group").applyInPandas(fill, schema).withColumnRenamed("id", id_col)
+    def fill(table: pa.Table) -> pa.Table:
+        column = {c: table.column(c).to_numpy() for c in ("length", "start", "key")}
+        ids = table.column("id").fill_null(0).to_numpy()
+        order = np.lexsort((column["key"], column["start"], ids, table.column("id").is_null().to_numpy(), -column["length"]))
+        bins, offsets = first_fit(column["length"][order].tolist(), capacity)
+        out = table.take(pa.array(order))
+        sequence = out.column("group").to_numpy() * (1 << 20) + np.array(bins, np.int64)
+        return pa.Table.from_arrays(
+            [*[out.column(c) for c in ("id", "start", "length", "ids_crc32", "doc_tokens")],
+             pa.array(sequence.astype(np.int64)), pa.array(offsets, pa.int64())],
+            names=[c.split()[0] for c in schema.split(", ")])
+
+    return dealt.groupBy("group").applyInArrow(fill, schema).withColumnRenamed("id", id_col)
