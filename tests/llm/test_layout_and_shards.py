@@ -4,14 +4,15 @@ import random
 import time
 import zlib
 from collections import defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tests.llm.conftest import prose
+from tests.llm.conftest import SF, prose
 from tiermill.llm import decontamination, html_text, packing, sharding
-from tiermill.llm.common import word_shingles
+from tiermill.llm.common import read_table, word_shingles
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -288,6 +289,78 @@ def test_broken_and_odd_pages():
     assert shown("<td>lone") == "lone"
 
 
+def test_inherited_visibility_and_style_sheets():
+    assert shown("<p style='visibility:hidden'>no <b style='visibility: visible'>seen</b> no") == "seen"
+    sheet = "<style>/* .x{display:none} */ .h, p#k{display:none} @media print {p{display:none}} i{visibility:collapse}</style>"
+    assert shown(sheet + "<p class='x h'>no<p>a<p id=k>no<div id=k>b<i>no</i></div>") == "a\n\nb"
+    assert shown(sheet + "<p class=h style='display:block'>a") == "a"
+    assert shown("<style>.h{display:none!important}</style><p class=h style='display:block'>a") == ""
+
+
+def test_forms_item_numbers_and_cells_over_rows():
+    assert shown("<select><option>a<option selected>b<option>c</select> <input type=submit value=Go><input type=hidden value=n>") == "b Go"
+    assert shown("<select size=3><option>a<option>b</select>") == "a\nb"
+    assert shown("<ol><li>a<li value=5>b<li>c</ol>") == "1. a\n5. b\n6. c"
+    assert shown("<table><tr><td rowspan=2>aa<td>b<tr><td>c<tr><td>d<td>e</table>") == "aa | b\n   | c\nd  | e"
+    assert shown("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e</table>") == "a | b | c\nd |   | e"
+
+
+def test_quotes_count_where_a_value_begins():
+    assert shown("<p title=it's>it's</p>") == "it's" and shown('<a "x>y') == "y"
+    assert shown("<a title='1 > 0' href=\"a>b\">t</a>") == "t"
+    assert shown('<a href="x>text</a>') == "text"
+    assert shown('<a x=" >" <b y=">" z') == '" " z'  # no quote counts there
+
+
+def test_long_malformed_pages_take_no_long():
+    began = time.time()
+    n = 20_000
+    for page in ("<a " + '"' * n, "<a " * n, "<a \"'=" * n, '<a x=" >" ' * n, "<div>" * n + "</x>" * n, "<b>" * n + "<div>" + "</b>" * n,
+                 "<table><tr><td>x" * n, "<ul><li>x" * n, "<select>" * n + "<option>x" * n,
+                 "<table><tr>" + "<td colspan=1000 rowspan=9999>x" * 1000 + "<tr><td>a" * n + "</table>",
+                 "<table><tr><td>" + "y" * n + "<td>b" + "<tr><td>a<td>b" * n + "</table>"):
+        assert len(shown(page)) < 250 * len(page)
+    assert time.time() - began < 60
+
+
+class Words(HTMLParser):
+    """A second reading of well-formed pages: all words outside of elements that are not shown."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.words = [], []
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        style = (a.get("style") or "").replace(" ", "").lower()
+        hidden = "hidden" in a or "display:none" in style or "visibility:hidden" in style
+        if tag not in ("br", "hr", "img", "input", "link", "meta", "wbr", "col", "source", "area", "base"):
+            self.open.append((tag, hidden or tag in ("head", "script", "style", "template", "noscript", "svg", "iframe", "title")))
+
+    def handle_endtag(self, tag):
+        while any(t == tag for t, _ in self.open):
+            if self.open.pop()[0] == tag:
+                break
+
+    def handle_data(self, data):
+        if not any(hidden for _, hidden in self.open):
+            self.words.append(data)
+
+
+def test_all_pages_show_the_words_of_a_second_reading(spark):
+    def bare(text: str) -> str:
+        return "".join(c for c in text if c.isalpha())
+
+    rows = read_table(spark, SF, "pages").select("html").collect()
+    texts = [shown(r["html"] or "") for r in rows]
+    for row, text in zip(rows, texts, strict=True):
+        other = Words()
+        other.feed(row["html"] or "")
+        other.close()
+        assert bare(text) == bare("".join(other.words))
+    assert sum(map(len, texts)) > 0
+
+
 def test_pages_with_nulls_and_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "<p>a", "x"), (None, None, "y"), (2, "", None), (2, "", None)], "page_id long, html string, page_text string")
     rows = sorted((r["page_id"] or 0, r["page_text"], r["n_lines"]) for r in html_text.extract(pages).collect())
