@@ -1,5 +1,6 @@
 """Classifiers: held-out accuracy, and defined results on messy rows."""
 
+import itertools
 import random
 
 import numpy as np
@@ -42,15 +43,65 @@ def test_toxicity_tells_spoiled_insults():
     assert ((scores >= 0.5) == y).mean() > 0.95
 
 
-def test_bounds_pass_over_nothing():
-    marks = toxicity.Landmarks.of([np.array([2, 12, 15, 3, 11]), np.array([4, 9, 13, 23, 9, 20]), np.array([8, 5, 1, 4])])
-    text = " ".join(t for _, t, _ in talk(40)).encode()
-    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text) // 2, len(text)])
-    words, bounds = toxicity._read(data, offsets)
-    slow = np.clip(words.sums(marks.table) - toxicity.FLOOR, 0, 1)
-    slow = np.stack([slow[bounds[i] : bounds[i + 1]].max(axis=0) for i in range(2)])
-    assert np.allclose(toxicity.likeness(marks, data, offsets), slow, atol=1e-5)
-    assert slow.max() > 0
+def plain_kernel(word: list[int], other: list[int]) -> float:
+    """Sum over shared three-character subsequences of the decays of their least spans in either."""
+    def spans(s):
+        out = {}
+        for i, j, k in itertools.combinations(range(len(s)), 3):
+            if k - i < 5:
+                out[s[i], s[j], s[k]] = min(out.get((s[i], s[j], s[k]), 9), k - i + 1)
+        return out
+
+    a, b = spans(word), spans(other)
+    return sum(toxicity.DECAY ** (a[f] + b[f]) for f in a.keys() & b.keys())
+
+
+def plain_words(text: str) -> list[list[int]]:
+    """Words without signs, runs of single letters joined."""
+    out, single = [], False
+    for word in text.lower().split():
+        letters = [ord({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}.get(c, c)) - 96 for c in word if c in "abcdefghijklmnopqrstuvwxyz013457"]
+        if not letters:
+            continue
+        if len(letters) == 1 and single:
+            out[-1] += letters
+        else:
+            out.append(letters)
+        single = len(letters) == 1
+    return out
+
+
+def test_worst_words_against_a_plain_kernel():
+    strings = [[2, 12, 15, 3, 11], [4, 9, 13, 23, 9, 20], [8, 5, 1, 4], [15, 12, 15, 12]]
+    marks = toxicity.Landmarks.of([np.array(s) for s in strings])
+    weights = np.array([1.0, 0.5, -0.75, 2.0], np.float32)
+    texts = [t for _, t, _ in talk(60)] + ["b-l-o-c-k", "d i m . w i t x", "h e", "", "?! -", "lolololol o l", "bl0ckhe4d's", "a b dimxwit"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    found = toxicity.worst_words(marks, weights, *toxicity._read(data, offsets))
+    for text, got in zip(texts, found, strict=True):
+        z = [0.0]
+        for word in plain_words(text):
+            like = np.array([plain_kernel(word, s) / plain_kernel(s, s) for s in strings])
+            z.append(float(np.clip((like - toxicity.FLOOR) / toxicity.RISE, 0, 1) @ weights))
+        assert abs(got - max(z)) < 1e-4, text
+    assert found.max() > 0.9
+
+
+def test_one_insult_parted_by_signs_spaces_or_a_letter_is_found():
+    rows = talk(600)
+    model = toxicity.fit_texts([(i, y, t) for i, t, y in rows])
+    clean = [t.split() for _, t, y in rows if not y]
+
+    def score(text: str) -> float:
+        raw = text.encode()
+        return float(model.scores(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
+
+    for n, word in enumerate(INSULTS):
+        for form in (word, "-".join(word), " ".join(word), word.upper() + "!!", word[:4] + "x" + word[4:]):
+            words = clean[n][:20]
+            assert score(" ".join([*words[:10], form, *words[10:]])) >= 0.7, form
+    assert np.mean([score(" ".join(w)) >= 0.7 for w in clean]) < 0.02
 
 
 def check_scores(rows, ids):

@@ -1,25 +1,31 @@
 """Toxicity from a subsequence string kernel, Nystroem landmarks and a support vector machine.
 
-The kernel counts the subsequences of three characters that two strings share,
-each weighted by ``DECAY`` to the power of the span it takes in either, so a
-string with a character put in or left out stays near. Spans reach five
-characters. Letters count without case, digits that stand for a letter as that
-letter. A sentence, and so a text, is the bag of its words; its likeness to a
-landmark is that of its nearest word, as a share of the landmark's likeness to
-itself, less ``FLOOR`` (an ordinary word's chance likeness) and zero below it.
+The kernel counts the different subsequences of three characters that two
+strings share, each weighted by ``DECAY`` to the power of the least span it
+takes in either, so a string with a character put in stays near and one that
+repeats itself comes no nearer. Spans reach five characters.
+Letters count without case, digits that stand for a letter as that letter;
+other signs are left out of a word, and single letters in a row are one word,
+so that letters parted by signs or spaces are read as if they stood together.
+A word's likeness to a landmark is a share of the landmark's likeness to
+itself, less ``FLOOR`` (an ordinary word's chance likeness), zero below it and
+one from ``RISE`` above it. A text scores as its worst word does.
 
 Landmarks are the short strings that best tell labelled texts apart and are
 not near one another. The Nystroem map (the inverse square root of the
 landmarks' own kernel matrix) turns likenesses into features, a linear
-squared-hinge machine separates them, and Platt's sigmoid, fitted on texts
-kept out, gives the probability. Fitting uses a sample bounded by parameters;
-scoring is a map over the rows, without a shuffle. Words whose upper bound
-over all landmarks is below the floor are passed over, which changes nothing.
-
-Null and empty texts score as a text without any likeness. Repeated rows,
-ties, nulls elsewhere and extra columns do not matter; an empty table gives an
-empty result. Without two classes of labels every score is label 1's share
-(0.5 if there are none).
+squared-hinge machine separates the words of clean texts from those words of
+toxic ones that hold a landmark and stand in no clean text, and Platt's
+sigmoid, fitted on texts kept out that hold any likeness, gives the probability. Fitting uses a
+sample bounded by parameters; scoring is a map over the rows, without a
+shuffle. Words whose upper bound over all landmarks is below the floor are
+passed over, which changes nothing.
+
+Null and empty texts score as a text without any likeness. A very long text is
+read as one slice of its own. Repeated rows, ties, nulls elsewhere and extra
+columns do not matter; an empty table gives an empty result. Without two
+classes of labels, or without a landmark, every score is label 1's share (0.5
+if there are no labels).
 """
 
 from __future__ import annotations
@@ -30,18 +36,29 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import group_sums, slices, span_hashes, word_spans
+from tiermill.llm.common import group_sums, span_hashes, word_spans
 from tiermill.llm.langid import sample_per_class
 
 DECAY = 0.7
-FLOOR = 0.55
+FLOOR = 0.45
+#: Likeness above the floor that counts in full: a string with one character put in reaches it.
+RISE = 0.25
+#: Least gain of a landmark, as a share of the best one's.
+TELLING = 0.3
+#: Least ratio of a landmark's shares among toxic and among clean texts.
+PURE = 30
+#: Landmarks are less alike than this.
+APART = 0.4
+#: Each part of the sample is scored by a machine that did not learn from it, for the sigmoid.
+FOLDS = 5
 #: Landmarks that share a bound.
 _GROUP = 8
 #: Places of the second and third character after the first.
 _GAPS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
 _SIZE = 1 << 15
 
-_SYMBOL = np.full(256, 31, np.int32)
+_SIGN = 31
+_SYMBOL = np.full(256, _SIGN, np.int32)
 _SYMBOL[97:123] = _SYMBOL[65:91] = np.arange(1, 27)
 _SYMBOL[128:] = 27 + np.arange(128) % 4
 for _digit, _letter in zip("013457", "oieast", strict=True):
@@ -66,8 +83,22 @@ class Words:
         places = np.repeat(self.at[:-1][which] - np.cumsum(n) + n, n) + np.arange(n.sum())
         return Words.of(self.symbols[places], n)
 
+    def kernel(self, table: np.ndarray) -> np.ndarray:
+        """For each word, the decayed sum of ``table`` over its distinct subsequences at their least span."""
+        codes, spans = [], []
+        word = np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
+        for a, b in _GAPS:  # least spans first
+            i = np.flatnonzero(self.left > b)
+            feature = (self.symbols[i] << 10) + (self.symbols[i + a] << 5) + self.symbols[i + b]
+            codes.append(word[i] * _SIZE + feature)
+            spans.append(np.full(len(i), b + 1))
+        code, first = np.unique(np.concatenate(codes), return_index=True)
+        weight = (DECAY ** np.concatenate(spans)[first]).astype(np.float32)
+        weight = weight.reshape(-1, *[1] * (table.ndim - 1))
+        return group_sums(weight * table[code % _SIZE], np.searchsorted(code // _SIZE, np.arange(len(self.at))))
+
     def sums(self, table: np.ndarray) -> np.ndarray:
-        """For each word, the decayed sum of ``table`` over its subsequences."""
+        """For each word, the decayed sum of ``table`` over all its subsequences: no less than ``kernel``."""
         per = np.zeros((len(self.symbols), *table.shape[1:]), np.float32)
         for a, b in _GAPS:
             i = np.flatnonzero(self.left > b)
@@ -83,15 +114,24 @@ def _table(strings: list[np.ndarray]) -> np.ndarray:
         for a, b in _GAPS:
             if len(s) > b:
                 i = np.arange(len(s) - b)
-                np.add.at(out[:, j], (s[i] << 10) + (s[i + a] << 5) + s[i + b], DECAY ** (b + 1))
+                np.maximum.at(out[:, j], (s[i] << 10) + (s[i + a] << 5) + s[i + b], DECAY ** (b + 1))
     return out
 
 
 def _read(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
+    """Words without their signs, runs of single letters as one word, and where each text's words begin."""
     starts, ends, bounds = word_spans(data, offsets)
     n = ends - starts
     places = np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
-    return Words.of(_SYMBOL[data[places]], n), bounds
+    symbols = _SYMBOL[data[places]]
+    kept = symbols != _SIGN
+    n = group_sums(kept.astype(np.int64), np.concatenate([[0], np.cumsum(n)]))
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))[n > 0]
+    n = n[n > 0]
+    joined = np.concatenate([[False], (n[1:] == 1) & (n[:-1] == 1) & (text[1:] == text[:-1])]) if len(n) else np.zeros(0, bool)
+    first = np.flatnonzero(~joined)
+    lengths = np.diff(np.append(np.concatenate([[0], np.cumsum(n)])[first], n.sum()))
+    return Words.of(symbols[kept], lengths), np.searchsorted(text[first], np.arange(len(offsets)))
 
 
 @dataclass(frozen=True)
@@ -110,35 +150,38 @@ class Landmarks:
         return cls(table, group, table.max(axis=1))
 
 
-def likeness(landmarks: Landmarks, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(texts, landmarks): likeness of each text's nearest word, less the floor.
+def likeness(landmarks: Landmarks, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words near a landmark, for each its row, rows of likenesses to the landmarks), equal words in one row.
 
-    A word goes on only where its bound, first over all landmarks and then
-    over a group of them, reaches the floor.
+    A word is near where its bound, first over all landmarks and then over a
+    group of them, reaches the floor.
     """
-    words, bounds = _read(data, offsets)
-    near = np.flatnonzero(words.sums(landmarks.bound) >= FLOOR)
-    out = np.zeros((len(offsets) - 1, landmarks.table.shape[1]), np.float32)
-    if not len(near):
-        return out
+    near = np.flatnonzero(words.sums(landmarks.bound) >= FLOOR) if len(words.symbols) else np.zeros(0, int)
     code = span_hashes(words.symbols.astype(np.uint8), words.at[near], words.at[near + 1])
     _, first, back = np.unique(code, return_index=True, return_inverse=True)
-    distinct = words.pick(near[first])
-    reach = distinct.sums(landmarks.group) >= FLOOR
-    text = np.searchsorted(bounds, near, side="right") - 1
-    for g in np.flatnonzero(reach.any(axis=0)):
-        these = np.flatnonzero(reach[:, g])
-        columns = slice(g * _GROUP, (g + 1) * _GROUP)
-        found = np.clip(distinct.pick(these).sums(landmarks.table[:, columns]) - FLOOR, 0, 1)
-        nth = np.full(len(first), -1)
-        nth[these] = np.arange(len(these))
-        mine = np.flatnonzero(nth[back] >= 0)
-        out[:, columns] = group_sums(found[nth[back[mine]]], np.searchsorted(text[mine], np.arange(len(out) + 1)), np.maximum)
-    return out
+    out = np.zeros((len(first), landmarks.table.shape[1]), np.float32)
+    if len(first):
+        distinct = words.pick(near[first])
+        reach = distinct.sums(landmarks.group) >= FLOOR
+        for g in np.flatnonzero(reach.any(axis=0)):
+            these = np.flatnonzero(reach[:, g])
+            columns = slice(g * _GROUP, (g + 1) * _GROUP)
+            out[these, columns] = np.clip((distinct.pick(these).kernel(landmarks.table[:, columns]) - FLOOR) / RISE, 0, 1)
+    return near, back, out
+
+
+def worst_words(landmarks: Landmarks, weights: np.ndarray, words: Words, bounds: np.ndarray) -> np.ndarray:
+    """For each text the greatest weighted likeness of its words; 0 for a word that is near no landmark."""
+    near, back, found = likeness(landmarks, words)
+    out = group_sums((found @ weights)[back], np.searchsorted(near, bounds), np.maximum)
+    return np.maximum(out, 0)
 
 
 def _candidates(words: Words, bounds: np.ndarray, y: np.ndarray, size: int, least: int) -> list[tuple[float, tuple]]:
-    """Strings of ``size`` symbols inside words with how well they tell label 1 (G statistic)."""
+    """Strings of ``size`` symbols inside words with how well they tell label 1 (G statistic).
+
+    Of texts with label 1 count those with different next words, so that copies of a text count once.
+    """
     i = np.flatnonzero(words.left >= size)
     code = np.zeros(len(i), np.int64)
     for j in range(size):
@@ -147,11 +190,17 @@ def _candidates(words: Words, bounds: np.ndarray, y: np.ndarray, size: int, leas
     pairs = np.unique(code << 32 | text)
     codes, back = np.unique(pairs >> 32, return_inverse=True)
     label = y[pairs & 0xFFFFFFFF]
-    pos, all_ = np.bincount(back, label), np.bincount(back)
     n1, n = y.sum(), len(y)
-    p, q = (pos + 0.5) / (n1 + 1), (all_ - pos + 0.5) / (n - n1 + 1)
+    names = span_hashes(words.symbols.astype(np.uint8), words.at[:-1], words.at[1:])
+    word = np.searchsorted(words.at, i, side="right") - 1
+    following = np.append(names[1:], 0)[word]
+    mine = np.flatnonzero(y[text] > 0)
+    _, once = np.unique(np.stack([code[mine].astype(np.uint64), following[mine]]), axis=1, return_index=True)
+    pos = np.bincount(np.searchsorted(codes, code[mine][once]), minlength=len(codes))
+    pos = np.minimum(pos, np.bincount(back, label))
+    p, q = (pos + 0.5) / (n1 + 1), (np.bincount(back, 1 - label) + 0.5) / (n - n1 + 1)
     gain = n1 * (p * np.log(p / q) + (1 - p) * np.log((1 - p).clip(1e-9) / (1 - q).clip(1e-9)))
-    good = np.flatnonzero((p > 3 * q) & (pos >= least))
+    good = np.flatnonzero((p > PURE * q) & (pos >= least))
     good = good[np.argsort(-gain[good], kind="stable")][:4000]
     return [(float(gain[k]), tuple(int(codes[k] >> (5 * (size - 1 - j))) & 31 for j in range(size))) for k in good]
 
@@ -167,7 +216,7 @@ class ToxicityModel:
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(offsets) - 1, self.constant)
-        z = likeness(self.landmarks, data, offsets) @ self.weights + self.bias
+        z = worst_words(self.landmarks, self.weights, *_read(data, offsets)) + self.bias
         a, b = self.sigmoid
         return 1 / (1 + np.exp(-np.clip(a * z + b, -40, 40)))
 
@@ -210,12 +259,12 @@ def fit_texts(got: list[tuple], landmarks: int = 96, ridge: float = 1e-3) -> Tox
     ranked = sorted((c for size in (4, 5, 6) for c in _candidates(words, bounds, y, size, 3)), key=lambda c: (-c[0], c[1]))
     chosen: list[np.ndarray] = []
     columns = np.zeros((_SIZE, 0), np.float32)
-    for _, string in ranked:
-        if len(chosen) == landmarks:
+    for gain, string in ranked:
+        if len(chosen) == landmarks or gain < TELLING * ranked[0][0]:
             break
         new = _table([np.array(string, np.int32)])
         norm = np.linalg.norm(new)
-        if norm and (not chosen or (columns.T @ new / norm).max() < 0.8):
+        if norm and (not chosen or (columns.T @ new / norm).max() < APART):
             chosen.append(np.array(string, np.int32))
             columns = np.hstack([columns, new / norm])
     if not chosen:
@@ -223,21 +272,44 @@ def fit_texts(got: list[tuple], landmarks: int = 96, ridge: float = 1e-3) -> Tox
     order = sorted(range(len(chosen)), key=lambda j: chosen[j].tolist())  # like ones share a bound
     chosen, columns = [chosen[j] for j in order], columns[:, order]
     marks = Landmarks.of(chosen)
-    parts = [(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
-    x = np.vstack([likeness(marks, *p) for p in parts]).astype(np.float64)
     values, vectors = np.linalg.eigh(columns.T.astype(np.float64) @ columns)
     nystroem = vectors @ np.diag(np.maximum(values, 1e-3) ** -0.5) @ vectors.T
-    f = x @ nystroem
-    held = np.arange(len(y)) % 5 == 0
-    w, b = _squared_hinge(f[~held], 2 * y[~held] - 1, ridge)
-    z = f @ w + b
-    return ToxicityModel(marks, (nystroem @ w).astype(np.float32), b, _platt(z[held], y[held]))
-
-
-def _squared_hinge(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 40) -> tuple[np.ndarray, float]:
+    owner = np.repeat(np.arange(len(y)), np.diff(bounds))
+    near, back, found = likeness(marks, words)
+    texts = owner[near]
+    in_clean = np.bincount(back[y[texts] == 0], minlength=len(found)) > 0
+
+    def machine(of: np.ndarray) -> tuple[np.ndarray, float]:
+        """Weights and bias learned from some texts; equal words count as often as they stand."""
+        clean = np.bincount(back[of[texts] & (y[texts] == 0)], minlength=len(found))
+        toxic = np.bincount(back[of[texts] & (y[texts] > 0)], minlength=len(found))
+        good, bad = clean > 0, (found >= 1).any(axis=1) & (toxic > 0) & ~in_clean
+        w, b = _squared_hinge(  # words near no landmark are all alike: one row, once for each clean text
+            np.vstack([np.zeros((1, len(chosen))), found[good], found[bad]]) @ nystroem,
+            np.concatenate([-np.ones(1 + good.sum()), np.ones(bad.sum())]),
+            np.concatenate([[(of & (y == 0)).sum()], clean[good], toxic[bad]]), ridge,
+        )
+        return nystroem @ w, b
+
+    z, some = np.zeros(len(y)), np.zeros(len(y), bool)
+    for fold in range(FOLDS):
+        held = np.arange(len(y)) % FOLDS == fold
+        w, b = machine(~held)
+        z[held] = (worst_words(marks, w, words, bounds) + b)[held]
+        some |= held & (z > b)  # of texts without a likeness the sigmoid can learn nothing
+    if len(set(y[some])) < 2:
+        some[:] = True
+    w, b = machine(np.ones(len(y), bool))
+    return ToxicityModel(marks, w.astype(np.float32), b, _platt(z[some], y[some]))
+
+
+def _squared_hinge(
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, steps: int = 40
+) -> tuple[np.ndarray, float]:
     """Primal squared-hinge machine by Newton steps on the rows inside the margin."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    total = {side: max(1.0, weight[y == side].sum()) for side in (1, -1)}
+    cost = 0.5 * weight / np.where(y > 0, total[1], total[-1])
     w = np.zeros(x.shape[1])
     keep = ridge * np.eye(x.shape[1])
     keep[-1, -1] = 1e-8
