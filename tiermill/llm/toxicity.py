@@ -47,6 +47,8 @@ RISE = 0.25
 TELLING = 0.3
 #: Least ratio of a landmark's shares among toxic and among clean texts.
 PURE = 30
+#: What a symbol more is worth to a landmark, as a share of its gain.
+LONGER = 0.1
 #: Landmarks are less alike than this.
 APART = 0.4
 #: Each part of the sample is scored by a machine that did not learn from it, for the sigmoid.
@@ -256,7 +258,9 @@ def fit_texts(got: list[tuple], landmarks: int = 96, ridge: float = 1e-3) -> Tox
     raw = [r[2].encode() for r in got]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     words, bounds = _read(data, offsets)
-    ranked = sorted((c for size in (4, 5, 6) for c in _candidates(words, bounds, y, size, 3)), key=lambda c: (-c[0], c[1]))
+    ranked = [c for size in (4, 5, 6) for c in _candidates(words, bounds, y, size, 3)]
+    # a longer string that tells nearly as well comes first: fewer ordinary words are near it
+    ranked.sort(key=lambda c: (-c[0] * (1 + LONGER * len(c[1])), c[1]))
     chosen: list[np.ndarray] = []
     columns = np.zeros((_SIZE, 0), np.float32)
     for gain, string in ranked:
