@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.support import SF_SMALL, local_path
 from tiermill.operators.layers import to_bronze, to_silver
 from tiermill.plans import workspace as W
-from tiermill.plans.medallion import load_silver
+from tiermill.plans.medallion import _may_match, load_silver, upsert
 from tiermill.session import _MADE
 from tiermill.sources.fixture import joined_lines, raw_from_tpch, raw_rows, write_raw_csv
 from tiermill.sources.layers import write_layer
@@ -62,3 +62,16 @@ def test_silver_of_two_files_is_written_by_their_two_tasks(spark, scratch):
     assert silver.select(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).alias("t")).distinct().count() <= 2
     want = to_silver(to_bronze(raw, source="x"))
     assert silver.exceptAll(want).count() == 0 and want.exceptAll(silver).count() == 0
+
+
+def test_upsert_joins_only_rows_that_can_have_a_key_of_the_batch(spark, scratch):
+    old = spark.createDataFrame(
+        [("1", "a", 1), ("1", None, 2), ("2", "a", 3), (None, "a", 4), (None, None, 5), ("3", "b", 6), ("1", "a", 7)],
+        "m string, c string, v int")
+    batch = spark.createDataFrame([("1", "a", 10), (None, None, 50)], "m string, c string, v int")
+    may = _may_match(batch, ["m", "c"])
+    assert sorted(r.v for r in old.filter(may).collect()) == [1, 2, 4, 5, 7]
+    assert old.filter(~may).count() == 2  # no row lost to an unknown condition
+    write_layer(old, scratch, "silver", "u")
+    upsert(spark, batch, scratch, "silver", "u", ["m", "c"])
+    assert sorted(r.v for r in spark.read.parquet(f"{scratch}/silver/u").collect()) == [2, 3, 4, 6, 10, 50]
