@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from tests.support import SF_SMALL, local_path
 from tiermill.operators.layers import to_bronze, to_silver
 from tiermill.plans import workspace as W
+from tiermill.plans.catalogue import deliveries_once
 from tiermill.plans.medallion import _may_match, load_silver, upsert
 from tiermill.session import _MADE
 from tiermill.sources.fixture import joined_lines, raw_from_tpch, raw_rows, write_raw_csv
 from tiermill.sources.layers import write_layer
+from tiermill.sources.ledger import CONTENT, fingerprints
 from tiermill.sources.raw_csv import read_raw
 
 
@@ -75,3 +77,12 @@ def test_upsert_joins_only_rows_that_can_have_a_key_of_the_batch(spark, scratch)
     write_layer(old, scratch, "silver", "u")
     upsert(spark, batch, scratch, "silver", "u", ["m", "c"])
     assert sorted(r.v for r in spark.read.parquet(f"{scratch}/silver/u").collect()) == [2, 3, 4, 6, 10, 50]
+
+
+def test_deliveries_of_other_names_have_the_same_files(spark):
+    rows = deliveries_once(spark, SF_SMALL)
+    base = [p for p in _MADE if "/once-" in p][-1]
+    first, again = (read_raw(spark, f"{base}/raw/entrega={name}") for name in ("first", "again"))
+    content = lambda raw: sorted(tuple(r) for r in fingerprints(raw).select(*CONTENT).collect())
+    assert content(first) == content(again)
+    assert rows.count() == first.count() and rows.exceptAll(first).count() == 0
