@@ -27,6 +27,7 @@ PASSAGE_WORDS = 51
 def _small_batches(spark: SparkSession) -> None:
     """Rows that go to Python at once: the operators work on a megabyte of text at a time, more only fills memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,3 +51,15 @@ def test_empty_documents(spark, scratch, empty):
     empty.write.parquet(f"{scratch}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
     assert corpus_pipeline.run(spark, scratch).collect() == []
+
+
+def test_text_goes_to_python_in_batches_of_bounded_bytes(spark):
+    from tiermill.llm import langid
+
+    corpus_pipeline._small_batches(spark)
+    try:
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "4m"
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert langid.SCORED_BYTES <= 1 << 18

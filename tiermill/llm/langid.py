@@ -31,6 +31,8 @@ from tiermill.llm.common import group_sums, release_tables, sendable, slices, ut
 from tiermill.session import cut_lineage
 
 UNDETERMINED = "und"
+#: Bytes of text scored at once: each letter has a row of logits for each of four n-grams, some 100 bytes a byte of text.
+SCORED_BYTES = 1 << 18
 BUCKETS = 1 << 15
 _SIZES = (1, 2, 3, 4)
 _ODD = np.array([0x01000193, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
@@ -227,7 +229,7 @@ def identify(
             data, offsets = utf8_view(batch.column("_text"))
             best = np.full(batch.num_rows, len(model.langs))
             prob = np.zeros(batch.num_rows)
-            for a, b in slices(offsets) if model.langs else ():
+            for a, b in slices(offsets, SCORED_BYTES) if model.langs else ():
                 part, off = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 p = model.probabilities(part, off)
                 found = has_letter(part, off)
@@ -251,7 +253,7 @@ def accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
         for batch in batches:
             data, offsets = utf8_view(batch.column(0).field(text_col))
             keep = np.zeros(batch.num_rows, bool)
-            for a, b in slices(offsets) if model.langs else ():
+            for a, b in slices(offsets, SCORED_BYTES) if model.langs else ():
                 part, off = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 keep[a:b] = has_letter(part, off) & (model.probabilities(part, off).max(axis=1) >= model.floor)
             yield batch.filter(pa.array(keep))
