@@ -2,15 +2,18 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.support import SF_SMALL, local_path
 from tiermill.operators.layers import to_bronze, to_silver
+from tiermill.plans import catalogue
 from tiermill.plans import workspace as W
 from tiermill.plans.catalogue import deliveries_once
 from tiermill.plans.medallion import _may_match, load_silver, upsert
 from tiermill.session import _MADE
-from tiermill.sources.fixture import joined_lines, raw_from_tpch, raw_rows, write_raw_csv
+from tiermill.sources import layers
+from tiermill.sources.fixture import DELIVERY_OPTIONS, joined_lines, raw_from_tpch, raw_rows, write_raw_csv
 from tiermill.sources.layers import write_layer
 from tiermill.sources.ledger import CONTENT, fingerprints
 from tiermill.sources.raw_csv import read_raw
@@ -86,3 +89,36 @@ def test_deliveries_of_other_names_have_the_same_files(spark):
     content = lambda raw: sorted(tuple(r) for r in fingerprints(raw).select(*CONTENT).collect())
     assert content(first) == content(again)
     assert rows.count() == first.count() and rows.exceptAll(first).count() == 0
+
+
+
+def test_small_tasks_read_few_bytes_each_and_leave_the_setting(spark, scratch, monkeypatch):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.range(600).repartition(6).write.parquet(f"{scratch}/t")
+    tasks = lambda: spark.read.parquet(f"{scratch}/t").rdd.getNumPartitions()
+    assert tasks() < 6
+    monkeypatch.setattr(layers, "TASK_BYTES", 4096)
+    with layers.small_tasks(spark):
+        assert tasks() == 6
+    with pytest.raises(ValueError), layers.small_tasks(spark):
+        raise ValueError
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "2k")  # a smaller one stays
+    try:
+        with layers.small_tasks(spark):
+            assert spark.conf.get(key) == "2048"
+        assert spark.conf.get(key) == "2k"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_sorted_layout_writes_a_file_per_task_and_value(spark, scratch):
+    rows = spark.range(3000).select((F.col("id") % 200).cast("string").alias("m"), "id").repartition(2, "id")
+    rows = rows.select(F.when(F.col("m") != "7", F.col("m")).alias("m"), "id")  # a NULL month among them
+    write_layer(rows, scratch, "silver", "t", partition_by=["m"], layout="sorted")
+    back = spark.read.schema(rows.schema).parquet(f"{scratch}/silver/t").select("m", "id")
+    assert len(_files(f"{scratch}/silver/t", ".parquet")) == 400
+    assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
+    with pytest.raises(ValueError, match="layout"):
+        write_layer(rows, scratch, "silver", "t", partition_by=["m"], layout="unknown")

@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--gate", action="store_true", help="promote a layer only when its checks pass")
     p.add_argument("--register", action="store_true", help="register layer tables in the session catalog")
     p.add_argument("--checks", action="store_true", help="run the validation suite afterwards")
-    p.add_argument("--silver-layout", default="rebalance", choices=["rebalance", "local", "range"])
+    p.add_argument("--silver-layout", default="rebalance", choices=["rebalance", "sorted", "local", "range"])
     p.add_argument("--source-per-file", action="store_true", help="record each row's input file in bronze")
     p.add_argument("--reference", help="JSON lines file with the row of expected values (adds those checks)")
     p.add_argument("--show", action="store_true", help="print the first 20 rows of each result")

@@ -21,7 +21,7 @@ from tiermill.operators.layers import GID, Golds, golds_one_pass, split_golds, t
 from tiermill.operators.ranking import rank_with_share
 from tiermill.plans.results import RESULTS, result
 from tiermill.schemas import GOLD_KEYS, GOLD_MEASURE, MONTH, PARTIALS_SCHEMA, SILVER_SCHEMA, gold_schema
-from tiermill.sources.layers import layer_path, read_layer, register_table, storage_options, unsorted_writes, write_layer
+from tiermill.sources.layers import layer_path, read_layer, register_table, small_tasks, storage_options, unsorted_writes, write_layer
 from tiermill.session import cut_lineage, new_scratch_path, remove_path
 from tiermill.sources.raw_csv import read_raw
 from tiermill.sources.results import export_result
@@ -101,7 +101,7 @@ def run(
     steps: list[str] | None = None,
     *,
     fmt: str = "parquet",
-    silver_layout: str = "local",
+    silver_layout: str = "sorted",
     gold_one_pass: bool = True,
     register: bool = False,
     gate: bool = False,
@@ -138,20 +138,22 @@ def run(
         if step == "bronze":
             raw = read_raw(spark, raw_path, raw_schema)
             source = None if source_per_file else raw_path
-            paths["bronze"] = _published(
-                spark, root, [BRONZE], gate,
-                lambda to: write_layer(to_bronze(raw, source=source), to, *BRONZE, fmt=fmt),
-                lambda to: quality.check_ingest(raw, load_bronze(spark, to, fmt)))
+            with small_tasks(spark):
+                paths["bronze"] = _published(
+                    spark, root, [BRONZE], gate,
+                    lambda to: write_layer(to_bronze(raw, source=source), to, *BRONZE, fmt=fmt),
+                    lambda to: quality.check_ingest(raw, load_bronze(spark, to, fmt)))
             if register:
                 register_table(spark, root, *BRONZE, fmt=fmt, recursive=True)
         elif step == "silver":
             bronze = load_bronze(spark, root, fmt)
             if gate and "bronze" not in chosen:
                 quality.assert_all(quality.check_ingest(read_raw(spark, raw_path, raw_schema), bronze))
-            paths["silver"] = _published(
-                spark, root, [SILVER], gate,
-                lambda to: write_layer(to_silver(bronze), to, *SILVER, partition_by=[MONTH], fmt=fmt, layout=silver_layout),
-                lambda to: quality.check_silver(bronze, load_silver(spark, to, fmt)))
+            with small_tasks(spark):
+                paths["silver"] = _published(
+                    spark, root, [SILVER], gate,
+                    lambda to: write_layer(to_silver(bronze), to, *SILVER, partition_by=[MONTH], fmt=fmt, layout=silver_layout),
+                    lambda to: quality.check_silver(bronze, load_silver(spark, to, fmt)))
             _forget_partials(spark, root, fmt)
             if register:
                 register_table(spark, root, *SILVER, fmt=fmt, partitioned=True)
@@ -219,7 +221,7 @@ def _forget_partials(spark: SparkSession, root: str, fmt: str = "parquet") -> No
     """Silver was written anew: no month's sums hold any more."""
     if load_partials(spark, root, fmt) is not None:
         empty = spark.createDataFrame([], PARTIALS_SCHEMA)
-        write_layer(empty, root, *PARTIALS, partition_by=[MONTH], fmt=fmt, layout="local")
+        write_layer(empty, root, *PARTIALS, partition_by=[MONTH], fmt=fmt, layout="sorted")
 
 
 def _month_in(months: list[str | None]):
@@ -249,7 +251,7 @@ def refresh_partials(spark: SparkSession, root: str, months: list[str | None], f
     stored = set() if partials is None else {r[0] for r in partials.select(MONTH).distinct().collect()}
     if stored - have:
         kept = cut_lineage(partials.filter(_month_in(list(stored & have))))
-        write_layer(kept, root, *PARTIALS, partition_by=[MONTH], fmt=fmt, layout="local")
+        write_layer(kept, root, *PARTIALS, partition_by=[MONTH], fmt=fmt, layout="sorted")
     todo = sorted((have & set(months)) | (have - stored), key=lambda m: (m is None, m or ""))
     if todo:
         scan = silver if set(todo) == have else silver.filter(_month_in(todo))
@@ -299,11 +301,12 @@ def run_month(
     def load(to: str) -> DataFrame:
         return spark.read.format(fmt).load(layer_path(to, *name))
 
-    paths = {"bronze": _published(
-        spark, root, [name], gate,
-        lambda to: to_bronze(raw, source=raw_path).write.mode("overwrite").format(fmt).options(**storage_options(fmt)).save(
-            layer_path(to, *name)),
-        lambda to: quality.check_ingest(raw, load(to)))}
+    with small_tasks(spark):
+        paths = {"bronze": _published(
+            spark, root, [name], gate,
+            lambda to: to_bronze(raw, source=raw_path).write.mode("overwrite").format(fmt).options(**storage_options(fmt)).save(
+                layer_path(to, *name)),
+            lambda to: quality.check_ingest(raw, load(to)))}
     rows = to_silver(load(root))
     if gate:
         quality.assert_all(quality.check_silver(load(root), rows))
@@ -322,7 +325,7 @@ class WrongMonth(ValueError):
 
 
 def load_month(
-    month_rows: DataFrame, root: str, month: str | None, fmt: str = "parquet", *, layout: str = "local",
+    month_rows: DataFrame, root: str, month: str | None, fmt: str = "parquet", *, layout: str = "sorted",
     only: bool = False,
 ) -> str:
     """Replace one reference month of silver by ``month_rows``.
@@ -332,7 +335,7 @@ def load_month(
     kept, and loading the same month twice leaves the same state. A month
     without rows stays as it is (there is nothing to replace it by).
     """
-    if layout not in ("rebalance", "local"):
+    if layout not in ("rebalance", "sorted", "local"):
         raise ValueError(f"unknown layout: {layout}")
     out = month_rows.select(*[f.name for f in SILVER_SCHEMA.fields])
     mine = F.col(MONTH).eqNullSafe(F.lit(month).cast("string"))
@@ -353,10 +356,12 @@ def _silver_changed(spark: SparkSession, root: str, months: list[str | None], fm
         refresh_partials(spark, root, months, fmt)
 
 
-def _overwrite_partitions(rows: DataFrame, path: str, partition_by: list[str], fmt: str, layout: str = "local") -> str:
+def _overwrite_partitions(rows: DataFrame, path: str, partition_by: list[str], fmt: str, layout: str = "sorted") -> str:
     """Replace the partitions that ``rows`` hold, and no others."""
     if layout == "rebalance":
-        rows = rows.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by)
+        rows = rows.hint("rebalance", *partition_by)
+    if layout != "local":
+        rows = rows.sortWithinPartitions(*partition_by)
     with unsorted_writes(rows.sparkSession) if layout == "local" else nullcontext():
         (
             rows.write.mode("overwrite")
@@ -475,7 +480,7 @@ def upsert(
         if scoped:
             _overwrite_partitions(merged, path, partition_by, fmt)
         else:
-            write_layer(merged, root, layer, table, partition_by=partition_by, fmt=fmt, layout="local")
+            write_layer(merged, root, layer, table, partition_by=partition_by, fmt=fmt, layout="sorted")
         if (layer, table) == SILVER:
             if scoped and partition_by == [MONTH]:
                 _silver_changed(spark, root, [r[0] for r in batch.select(MONTH).distinct().collect()], fmt)

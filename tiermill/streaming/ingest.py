@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tiermill.schemas import INGESTED_AT, RAW_SCHEMA, SOURCE_FILE
-from tiermill.sources.layers import storage_options
+from tiermill.sources.layers import small_tasks, storage_options
 from tiermill.sources.raw_csv import RAW_OPTIONS
 
 
@@ -65,7 +65,8 @@ def stream_ingest(
     tag = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def append(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").format(fmt).options(**storage_options(fmt)).save(f"{out_path.rstrip('/')}/stream-{tag}-{number}")
+        with small_tasks(batch.sparkSession):
+            batch.write.mode("overwrite").format(fmt).options(**storage_options(fmt)).save(f"{out_path.rstrip('/')}/stream-{tag}-{number}")
 
     query = (
         bronze.writeStream.foreachBatch(append)

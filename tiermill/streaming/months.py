@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from tiermill.operators.layers import to_silver
 from tiermill.plans.medallion import BRONZE, SILVER, _overwrite_partitions, publish, refresh_gold_months
 from tiermill.schemas import INGESTED_AT, MONTH, RAW_SCHEMA, SOURCE_FILE
-from tiermill.sources.layers import layer_path, storage_options
+from tiermill.sources.layers import layer_path, small_tasks, storage_options
 from tiermill.streaming.ingest import raw_stream
 
 
@@ -36,12 +36,14 @@ def stream_months(
 
     def load(batch: DataFrame, number: int) -> None:
         place = f"{layer_path(root, *BRONZE)}/stream-{tag}-{number}"
-        batch.write.mode("overwrite").format(fmt).options(**storage_options(fmt)).save(place)
+        with small_tasks(batch.sparkSession):
+            batch.write.mode("overwrite").format(fmt).options(**storage_options(fmt)).save(place)
         rows = to_silver(spark.read.format(fmt).load(place))
         months = [r[0] for r in rows.select(MONTH).distinct().collect()]
         if not months:
             return
-        _overwrite_partitions(rows, layer_path(root, *SILVER), [MONTH], fmt)
+        with small_tasks(spark):
+            _overwrite_partitions(rows, layer_path(root, *SILVER), [MONTH], fmt)
         refresh_gold_months(spark, root, months, fmt)
         if out_dir:
             publish(spark, root, out_dir, fmt)
