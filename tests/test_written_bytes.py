@@ -91,6 +91,13 @@ def test_deliveries_of_other_names_have_the_same_files(spark):
     assert rows.count() == first.count() and rows.exceptAll(first).count() == 0
 
 
+def test_deliveries_are_written_by_tasks_with_one_file_open(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(catalogue, "write_raw_csv", lambda raw, path: written.append(path.rsplit("/", 1)[1]) or write_raw_csv(raw, path))
+    rows = deliveries_once(spark, SF_SMALL)
+    assert written == ["entrega=first", "entrega=again"]
+    assert rows.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+
 
 def test_small_tasks_read_few_bytes_each_and_leave_the_setting(spark, scratch, monkeypatch):
     key = "spark.sql.files.maxPartitionBytes"

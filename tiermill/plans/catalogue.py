@@ -44,8 +44,8 @@ from tiermill.schemas import (
 )
 from tiermill.session import new_scratch_path
 from tiermill.sources.raw_csv import read_raw
-from tiermill.sources.fixture import DELIVERY_OPTIONS, write_raw_csv
-from tiermill.sources.layers import layer_path, list_tables, read_layer, read_table, storage_options, unsorted_writes, write_layer
+from tiermill.sources.fixture import write_raw_csv
+from tiermill.sources.layers import layer_path, list_tables, read_layer, read_table, storage_options, write_layer
 from tiermill.sources.results import export_result, read_result, read_result_positions
 from tiermill.sources.ledger import load_new
 from tiermill.streaming.ingest import stream_ingest
@@ -432,10 +432,10 @@ def deliveries_once(spark, sf_dir):
     """The delivery, the same rows in files of other names, and the first files again: bronze has each row once."""
     raw, base = _raw(spark, sf_dir), new_scratch_path(spark, "once")
     root = f"{base}/lake"
-    # one pass: each task writes its rows to a file of either name, so both deliveries have as many files, of the same rows each
-    twice = raw.withColumn("entrega", F.explode(F.array(F.lit("first"), F.lit("again"))))
-    with unsorted_writes(spark):
-        twice.write.partitionBy("entrega").options(**DELIVERY_OPTIONS).csv(f"{base}/raw")
+    # both times the same tasks read the same files, so both deliveries have as many files, of the same rows each; a task that
+    # writes rows in turn to two files takes longer than two tasks
+    for name in ("first", "again"):
+        write_raw_csv(raw, f"{base}/raw/entrega={name}")
     for k, name in enumerate(("first", "again", "first")):
         load_new(spark, f"{base}/raw/entrega={name}", root, lambda rows, k=k: to_bronze(rows, source=str(k)).write.mode("append").options(
             **storage_options("parquet")).parquet(layer_path(root, *BRONZE)))
@@ -488,7 +488,7 @@ def idempotent_refresh(spark, sf_dir):
 def _silver_copy(spark, sf_dir, rows: DataFrame | None = None) -> tuple[DataFrame, str]:
     """The built lake's silver (or some rows of it), and a fresh lake root that holds a copy."""
     silver, root = _silver(spark, sf_dir), new_scratch_path(spark, "incremental")
-    write_layer(silver if rows is None else rows, root, *SILVER, partition_by=[MONTH], layout="local")
+    write_layer(silver if rows is None else rows, root, *SILVER, partition_by=[MONTH], layout="sorted")
     return silver, root
 
 

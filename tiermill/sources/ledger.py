@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tiermill.schemas import RAW_COLUMNS
 from tiermill.session import cut_lineage
+from tiermill.sources.layers import small_tasks
 from tiermill.sources.raw_csv import read_raw
 
 LEDGER = "_ledger/deliveries"
@@ -59,10 +60,12 @@ def load_new(spark: SparkSession, raw_path: str | list[str], root: str, load) ->
     is none). The ledger is written after it, so a load that fails is made
     again by the next delivery. One row a file comes to the driver.
     """
-    report = cut_lineage(sort_out(spark, raw_path, root))
+    with small_tasks(spark):
+        report = cut_lineage(sort_out(spark, raw_path, root))
     new = report.filter(F.col("situacao") == "nova")
     files = [r[0] for r in new.select("arquivo").orderBy("arquivo").collect()]
     if files:
-        load(read_raw(spark, files))
+        with small_tasks(spark):
+            load(read_raw(spark, files))
         new.select("arquivo", *CONTENT).write.mode("append").parquet(f"{root.rstrip('/')}/{LEDGER}")
     return report
