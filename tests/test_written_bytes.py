@@ -129,3 +129,20 @@ def test_sorted_layout_writes_a_file_per_task_and_value(spark, scratch):
     assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
     with pytest.raises(ValueError, match="layout"):
         write_layer(rows, scratch, "silver", "t", partition_by=["m"], layout="unknown")
+
+
+def test_layers_of_the_runner_are_read_in_small_tasks_and_silver_is_sorted(spark, scratch, monkeypatch):
+    from tiermill.plans import medallion
+
+    seen, write = {}, medallion.write_layer
+
+    def watched(df, root, layer, table, *args, **kw):
+        seen[layer, table] = (int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")), kw.get("layout"))
+        return write(df, root, layer, table, *args, **kw)
+
+    monkeypatch.setattr(medallion, "write_layer", watched)
+    write_raw_csv(raw_from_tpch(spark, SF_SMALL).limit(50), f"{scratch}/raw")
+    medallion.run(spark, f"{scratch}/raw", f"{scratch}/lake", steps=["bronze", "silver", "gold"])
+    assert seen["bronze", "beneficiarios"][0] == layers.TASK_BYTES
+    assert seen["silver", "beneficiarios"] == (layers.TASK_BYTES, "sorted")
+    assert seen["gold", "beneficiarios_por_municipio"][0] > layers.TASK_BYTES  # files of silver are many and small already
