@@ -146,3 +146,11 @@ def test_layers_of_the_runner_are_read_in_small_tasks_and_silver_is_sorted(spark
     assert seen["bronze", "beneficiarios"][0] == layers.TASK_BYTES
     assert seen["silver", "beneficiarios"] == (layers.TASK_BYTES, "sorted")
     assert seen["gold", "beneficiarios_por_municipio"][0] > layers.TASK_BYTES  # files of silver are many and small already
+
+
+def test_raw_files_are_compressed_at_the_fastest_level(spark, scratch):
+    raw = raw_from_tpch(spark, SF_SMALL).coalesce(1)
+    write_raw_csv(raw, f"{scratch}/raw")
+    raw.write.options(**{**DELIVERY_OPTIONS, "zlib.compress.level": "BEST_COMPRESSION"}).csv(f"{scratch}/small")
+    size = lambda p: sum(map(os.path.getsize, _files(p, ".csv.gz")))
+    assert size(f"{scratch}/raw") > 1.15 * size(f"{scratch}/small")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.schemas import MONTH, RAW_COLUMNS
+from tiermill.sources.layers import small_tasks
 
 RAW_WRITE_OPTIONS = {
     "header": "true",
@@ -25,8 +26,9 @@ RAW_WRITE_OPTIONS = {
 }
 
 #: Text of repeated codes and names is a sixth of the bytes when compressed; readers tell it by the files' names.
-#: A compressed file is read by one task, so files stay small.
-DELIVERY_OPTIONS = {**RAW_WRITE_OPTIONS, "compression": "gzip", "maxRecordsPerFile": "1000000"}
+#: A compressed file is read by one task, so files stay small. The fastest level leaves two fifths more bytes than the usual
+#: one and makes half the writer's work.
+DELIVERY_OPTIONS = {**RAW_WRITE_OPTIONS, "compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "1000000"}
 
 #: A dimension of at most so many rows is sent to all tasks; a longer one is joined by a shuffle.
 SEND_ROWS = 500_000
@@ -164,7 +166,8 @@ def write_raw_csv(raw: DataFrame, path: str) -> str:
     Each task writes its rows as they are, without a shuffle, in files of
     a bounded number of rows (:data:`DELIVERY_OPTIONS`).
     """
-    raw.write.mode("overwrite").options(**DELIVERY_OPTIONS).csv(path)
+    with small_tasks(raw.sparkSession):
+        raw.write.mode("overwrite").options(**DELIVERY_OPTIONS).csv(path)
     return path
 
 
