@@ -44,7 +44,7 @@ def main() -> None:
     golds, ranked = load_golds(spark, ws.root), load_rankings(spark, ws.root)
     qt = "qt_beneficiarios_ativos"
     cases = [
-        ("Silver write input (local layout: no exchange, local sort by month)",
+        ("Silver write input (sorted layout: no exchange, local sort by month)",
          to_silver(bronze).sortWithinPartitions("id_cmpt_movel"), False),
         ("Silver write input with layout='rebalance' (one exchange, AQE splits skewed months)",
          to_silver(bronze).hint("rebalance", "id_cmpt_movel"), False),
